@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -13,7 +13,8 @@ from cohortsieve.vocabulary import NEGATIVE, POSITIVE
 
 
 def _with_statements(df: DataFrame, text: str, markers) -> DataFrame:
-    return df.withColumns({f"_said_{m}": R.statement(F.col(text), m) for m in markers})
+    lines = df.withColumn("_said_lines", R.marker_lines(F.col(text)))
+    return lines.withColumns({f"_said_{m}": R.statement(F.col("_said_lines"), m) for m in markers})
 
 
 def _drop_statements(df: DataFrame) -> DataFrame:
@@ -23,8 +24,8 @@ def _drop_statements(df: DataFrame) -> DataFrame:
 def extract(df: DataFrame, text: str, rules: R.RuleSet = R.CAREFUL) -> DataFrame:
     """Add one status column per marker, read from ``text`` by ``rules``.
 
-    Map-side only: each text is scanned once per marker for its statement, and the ladder of rules
-    then works on that short statement.
+    Map-side only: each whole text is scanned once for the lines that name a marker, and patterns and
+    rules then work on those few lines.
     """
     said = _with_statements(df, text, rules.ladders)
     return _drop_statements(said.withColumns(rules.statuses(lambda m: F.col(f"_said_{m}"))))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortsieve.operators.profiling import IDENTIFIERS
+from cohortsieve.operators.profiling import IDENTIFIERS, PRESENT
 
 FULL_ACCESS = ("admin", "coordinator")
 
@@ -20,26 +20,32 @@ def row_filter(df: DataFrame, protected: DataFrame, role: str, key: str = "perso
     return df if role in FULL_ACCESS else df.join(protected.select(key), key, "left_anti")
 
 
-def _redacted(col: Column) -> Column:
+def redact(df: DataFrame, col: str) -> DataFrame:
+    """Identifiers inside a text replaced by their kind. Texts without one are passed on as they are."""
     for kind, pattern in IDENTIFIERS.items():
-        col = F.regexp_replace(col, pattern, f"[{kind}]")
-    return col
+        text = F.col(col)
+        df = df.withColumn(col, F.when(text.rlike(PRESENT[kind]), F.regexp_replace(text, pattern, f"[{kind}]"))
+                           .otherwise(text))
+    return df
 
 
-MASKS = {
-    "hash": lambda c: F.sha2(c.cast("string"), 256),
-    "null": lambda c: F.lit(None),
-    "redact": _redacted,
-}
+def _hash(df: DataFrame, col: str) -> DataFrame:
+    return df.withColumn(col, F.sha2(F.col(col).cast("string"), 256))
+
+
+def _null(df: DataFrame, col: str) -> DataFrame:
+    return df.withColumn(col, F.lit(None).cast(df.schema[col].dataType))
+
+
+MASKS = {"hash": _hash, "null": _null, "redact": redact}
 
 
 def mask(df: DataFrame, strategies: dict[str, str], role: str) -> DataFrame:
     """Values as a role may see them: ``hash``, ``null`` or ``redact`` (identifiers inside text)."""
-    if role in FULL_ACCESS:
-        return df
-    types = {f.name: f.dataType for f in df.schema.fields}
-    hidden = {c: MASKS[s](F.col(c)) for c, s in strategies.items()}
-    return df.withColumns({c: e.cast(types[c]) if strategies[c] == "null" else e for c, e in hidden.items()})
+    if role not in FULL_ACCESS:
+        for col, strategy in strategies.items():
+            df = MASKS[strategy](df, col)
+    return df
 
 
 # Which inputs each result is made from.

@@ -18,6 +18,10 @@ IDENTIFIERS = {
 }
 
 
+# The same kinds where it is enough to know that one occurs, with less backtracking.
+PRESENT = {**IDENTIFIERS, "email": r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"}
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -143,7 +147,7 @@ def vector_profile(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def identifier_scan(df: DataFrame, patterns: dict[str, str] = IDENTIFIERS) -> DataFrame:
+def identifier_scan(df: DataFrame, patterns: dict[str, str] = PRESENT) -> DataFrame:
     """Values that look like an identifier, per text column and kind, from one pass over the rows."""
     columns = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     pairs = [(c, kind, p) for c in columns for kind, p in patterns.items()]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType
 
 # Trials up to this number travel inside the plan as one literal; beyond it they are joined.
 TRIALS_IN_PLAN = 64
@@ -96,13 +98,14 @@ SCREEN_COLUMNS = [
 
 
 def patient_frame(profile: DataFrame, demographics: DataFrame, therapy: DataFrame) -> DataFrame:
-    """One comparable row per person; no therapy row means no prior therapy.
+    """One comparable row per person; no therapy row means no prior therapy."""
+    return compared(demographics.join(profile, "person_id"), therapy)
 
-    All three inputs are already partitioned by ``person_id``, so nothing shuffles again here.
-    """
+
+def compared(people: DataFrame, therapy: DataFrame) -> DataFrame:
+    """The columns trials compare, from persons who have demographics and statuses on one row."""
     return (
-        profile.join(demographics, "person_id")
-        .join(therapy.select("person_id", "had_anti_her2_therapy"), "person_id", "left")
+        people.join(therapy.select("person_id", "had_anti_her2_therapy"), "person_id", "left")
         .select("person_id", F.col("gender_source_value").alias("gender"), "age_at_dx_years",
                 "her2_status", "er_status", "pr_status", "menopausal_status", "ajcc_stage",
                 "biomarker_source",
@@ -110,10 +113,6 @@ def patient_frame(profile: DataFrame, demographics: DataFrame, therapy: DataFram
     )
 
 
-def _literal(value) -> Column:
-    return F.array(*map(F.lit, value)) if isinstance(value, (list, tuple)) else F.lit(value)
-
-
 def with_trials(patients: DataFrame, criteria: DataFrame) -> DataFrame:
     """Each patient once per trial, without a cross join.
 
@@ -126,11 +125,9 @@ def with_trials(patients: DataFrame, criteria: DataFrame) -> DataFrame:
     if not rows:
         return patients.join(trials, F.lit(False))
     if len(rows) <= TRIALS_IN_PLAN:
-        catalogue = F.array(*(
-            F.struct(*(_literal(r[f.name]).cast(f.dataType).alias(f.name) for f in trials.schema))
-            for r in rows
-        ))
-        return patients.select("*", F.inline(catalogue))
+        catalogue = json.dumps([r.asDict(recursive=True) for r in rows], default=str)
+        # The parse has only constant inputs, so it happens once, while the query is planned.
+        return patients.select("*", F.inline(F.from_json(F.lit(catalogue), ArrayType(trials.schema))))
     return _grid_join(patients, trials, trials.count())
 
 

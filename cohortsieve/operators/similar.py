@@ -61,9 +61,8 @@ def similar_all(df: DataFrame, id_col: str, vec_col: str, k: int = 5) -> DataFra
     then, block against block, and each meeting hands on no more than ``k + 1`` rows per vector. No
     candidate that could count is ever left out.
     """
-    vectors = cut_lineage(
-        df.select(F.col(id_col).alias("id"), unit(F.col(vec_col)).alias("unit")).filter("unit is not null"),
-        "vectors")
+    vectors = df.filter(F.col(vec_col).isNotNull()) \
+        .select(F.col(id_col).alias("id"), unit(F.col(vec_col)).alias("unit"))
     distinct = cut_lineage(_distinct_vectors(vectors, k + 1), "distinct")
     pairs = _block_search(distinct, k + 1)
 

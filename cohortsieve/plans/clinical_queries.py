@@ -157,6 +157,11 @@ def _(d: Data):
 # Screening ---------------------------------------------------------------------------------------
 
 @query("e1_patient_frame", "SELECT * FROM patients", "patients")
+def _(d: Data):
+    return screen.patient_frame(d.unified, d.demographics, d.therapy)
+
+
+@query("e1_patients_of_the_build", "SELECT * FROM patients", "patients")
 def _(d: Data):
     return d.patients
 

@@ -56,7 +56,9 @@ class CohortBuild:
 
     @cached_property
     def patients(self) -> DataFrame:
-        return screen.patient_frame(self.unified, self.demographics, self.therapy)
+        """The same rows as ``patient_frame(unified, ...)``, without shuffling the unified profile."""
+        people = fuse.fuse_onto(self.demographics, self.profile, self.extracted, "person_id", STATUS_COLUMNS)
+        return screen.compared(people, self.therapy)
 
     @cached_property
     def prescreen(self) -> DataFrame:

@@ -18,6 +18,8 @@ def local_session(cores: str | int = "*", memory: str = "8g", partitions: int =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # No record of the Python line behind every column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

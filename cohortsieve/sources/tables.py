@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from cohortsieve import vocabulary as v
 from cohortsieve.sources.schemas import OMOP, conform, omop
@@ -46,5 +49,11 @@ class Source:
 
 def criteria(spark: SparkSession, rows: Iterable[tuple] = tuple(v.TRIALS),
              columns: str = v.TRIAL_COLUMNS) -> DataFrame:
-    """Trials as rows. A NULL requirement leaves that field open."""
-    return spark.createDataFrame(list(rows), columns)
+    """Trials as rows. A NULL requirement leaves that field open.
+
+    The rows go in as an Arrow table, which Spark keeps as a local relation: reading it needs no job.
+    """
+    schema = StructType.fromDDL(columns)
+    by_column = zip(*rows, strict=True)
+    table = pa.table(dict(zip(schema.names, map(list, by_column), strict=True)), to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema)
