@@ -12,9 +12,9 @@ from pyspark.sql.types import ArrayType
 
 # Trials up to this number travel inside the plan as one literal; beyond it they are joined.
 TRIALS_IN_PLAN = 64
-# Rows per cell when trials are joined.
+# Trials per cell and slices of patients when they are joined.
 TRIALS_PER_CELL = 64
-PATIENT_SLICES = 256
+PATIENT_SLICES = 1024
 
 
 @dataclass(frozen=True)
@@ -139,7 +139,7 @@ def _grid_join(patients: DataFrame, trials: DataFrame, n_trials: int) -> DataFra
     })
     right = trials.withColumns({
         "_cell": F.pmod(F.xxhash64("trial_id"), F.lit(cells)).cast("int"),
-        "_slice": F.explode(F.sequence(F.lit(0), F.lit(PATIENT_SLICES - 1))).cast("bigint"),
+        "_slice": F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(PATIENT_SLICES - 1).cast("bigint"))),
     })
     return left.join(right.hint("shuffle_hash"), ["_cell", "_slice"]).drop("_cell", "_slice")
 

@@ -24,6 +24,10 @@ def local_session(cores: str | int = "*", memory: str = "8g", partitions: int =
     )
 
 
+# Folders made for local sessions that name none.
+_LOCAL: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -35,9 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="cohortsieve-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="cohortsieve-")
+    return _LOCAL[app]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
