@@ -18,9 +18,13 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    """``a`` scaled to length one; a zero vector stays zero."""
-    length = F.greatest(norm(a), F.lit(NORM_FLOOR))
-    return F.transform(a, lambda x: x.cast("double") / length)
+    """``a`` scaled to length one; a zero vector stays zero.
+
+    The length is bound outside the scaling, so it is computed once per vector, not once per element.
+    """
+    measured = F.array(F.struct(a.alias("v"), F.greatest(norm(a), F.lit(NORM_FLOOR)).alias("length")))
+    scaled = F.transform(measured, lambda m: F.transform(m["v"], lambda x: x.cast("double") / m["length"]))
+    return F.element_at(scaled, 1)
 
 
 def cosine(a: Column, b: Column) -> Column:

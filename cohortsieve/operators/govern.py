@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortsieve.operators.profiling import IDENTIFIERS, PRESENT
+from cohortsieve.operators.profiling import IDENTIFIERS, occurs
 
 FULL_ACCESS = ("admin", "coordinator")
 
@@ -24,7 +24,7 @@ def redact(df: DataFrame, col: str) -> DataFrame:
     """Identifiers inside a text replaced by their kind. Texts without one are passed on as they are."""
     for kind, pattern in IDENTIFIERS.items():
         text = F.col(col)
-        df = df.withColumn(col, F.when(text.rlike(PRESENT[kind]), F.regexp_replace(text, pattern, f"[{kind}]"))
+        df = df.withColumn(col, F.when(occurs(text, kind), F.regexp_replace(text, pattern, f"[{kind}]"))
                            .otherwise(text))
     return df
 

@@ -21,6 +21,20 @@ IDENTIFIERS = {
 # The same kinds where it is enough to know that one occurs, with less backtracking.
 PRESENT = {**IDENTIFIERS, "email": r"[A-Za-z0-9._%+-]@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"}
 
+# What every identifier of a kind holds; testing for it first is far cheaper.
+HOLDS_TEXT = {"email": "@", "record_number": "MRN"}
+HOLDS_PATTERN = {"date": r"[0-9][-/][0-9]{1,2}[-/]"}
+
+
+def occurs(text: Column, kind: str, pattern: str | None = None) -> Column:
+    """Whether an identifier of this kind is in the text."""
+    found = text.rlike(pattern or PRESENT[kind])
+    if pattern not in (None, PRESENT.get(kind)):
+        return found
+    if kind in HOLDS_TEXT:
+        return text.contains(HOLDS_TEXT[kind]) & found
+    return text.rlike(HOLDS_PATTERN[kind]) & found if kind in HOLDS_PATTERN else found
+
 
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -152,7 +166,8 @@ def identifier_scan(df: DataFrame, patterns: dict[str, str] = PRESENT) -> DataFr
     columns = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     pairs = [(c, kind, p) for c in columns for kind, p in patterns.items()]
     tally = df.agg(*(F.count(c).alias(f"_v_{c}") for c in columns),
-                   *(F.count(F.when(F.col(c).rlike(p), 1)).alias(f"_m{i}") for i, (c, _, p) in enumerate(pairs)))
+                   *(F.count(F.when(occurs(F.col(c), kind, p), 1)).alias(f"_m{i}")
+                     for i, (c, kind, p) in enumerate(pairs)))
     rows = F.array(*(
         F.struct(F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.col(f"_m{i}").alias("matches"),
                  F.round(F.try_divide(100.0 * F.col(f"_m{i}"), F.col(f"_v_{c}")), 2).alias("pct"))
@@ -161,8 +176,23 @@ def identifier_scan(df: DataFrame, patterns: dict[str, str] = PRESENT) -> DataFr
     return tally.select(F.inline(rows))
 
 
+def first_rows(df: DataFrame, among: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
+    """The first ``n`` rows of ``df`` whose key is in ``among``, with all their columns.
+
+    The rows are chosen on ``order`` alone; whole texts are read for those ``n`` rows only and never
+    shuffle.
+    """
+    chosen = df.select(key, *(c for c in order if c != key)) \
+        .join(among.select(key).distinct(), key, "left_semi").orderBy(*order).limit(n)
+    # At most n rows.
+    return df.join(F.broadcast(chosen.distinct()), list({key: 0, **dict.fromkeys(order)}), "left_semi") \
+        .orderBy(*order).limit(n)
+
+
 def side_by_side(structured: DataFrame, notes: DataFrame, key: str, cols: list[str], text: str,
                  order: list[str], n: int) -> DataFrame:
-    """The first ``n`` entities' structured values next to their note."""
-    return structured.select(key, *cols).join(notes.select(key, *(c for c in order if c != key), text), key) \
-        .orderBy(*order).limit(n)
+    """The first ``n`` notes of entities with structured values, next to those values."""
+    shown = first_rows(notes.select(key, *(c for c in order if c != key), text), structured, key, order, n)
+    # At most n rows again.
+    return structured.select(key, *cols).join(F.broadcast(shown), key) \
+        .select(key, *cols, *(c for c in order if c != key), text).orderBy(*order).limit(n)

@@ -15,6 +15,9 @@ from cohortsieve.session import cut_lineage
 # Distinct vectors per block and most cells to divide them into; both bound what one task holds.
 BLOCK_ROWS = 2048
 MAX_CELLS = 256
+# Most copied vectors that are broadcast, and parts a copied vector's rows are spread over beyond that.
+COPIES_TO_BROADCAST = 1000
+SALTS = 32
 # Similarities are compared at this many decimals, so that rounding decides ties alike everywhere.
 DECIMALS = 6
 
@@ -64,7 +67,13 @@ def similar_all(df: DataFrame, id_col: str, vec_col: str, k: int = 5) -> DataFra
     vectors = df.filter(F.col(vec_col).isNotNull()) \
         .select(F.col(id_col).alias("id"), unit(F.col(vec_col)).alias("unit"))
     distinct = cut_lineage(_distinct_vectors(vectors, k + 1), "distinct")
-    pairs = _block_search(distinct, k + 1)
+    # One row: how many distinct vectors there are, their dimension, and how many have many copies.
+    size = distinct.agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("ids") == k + 1, 1)).alias("copied"),
+        F.max(F.size("unit")).alias("dim"), F.min(F.size("unit")).alias("low")).first()
+    if size["n"] and size["low"] != size["dim"]:
+        raise ValueError("vectors differ in dimension")
+    pairs = _block_search(distinct, k + 1, size["n"], size["dim"] or 1)
 
     best_first = Window.partitionBy("rep").orderBy(F.desc("similarity"), "other")
     nearest = pairs.withColumn("_n", F.row_number().over(best_first)).filter(F.col("_n") <= k + 1)
@@ -76,13 +85,34 @@ def similar_all(df: DataFrame, id_col: str, vec_col: str, k: int = 5) -> DataFra
         .withColumn("_n", F.row_number().over(by_id)).filter(F.col("_n") <= k + 1)
         .groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("_n", "neighbour_id", "similarity"))).alias("near"))
     )
-    asked = vectors.join(distinct.select("unit", "rep"), "unit").select("id", "rep")
     others = F.slice(F.filter("near", lambda x: x["neighbour_id"] != F.col("id")), 1, k)
-    return asked.join(shortlist, "rep").select("id", F.posexplode(others).alias("_pos", "_x")).select(
+    return _for_every_id(vectors, distinct, shortlist, k + 1, size["copied"]).select("id", F.posexplode(others).alias("_pos", "_x")).select(
         F.col("id").alias(id_col), F.col("_x.neighbour_id").alias("neighbour_id"),
         F.col("_x.similarity").alias("similarity"), (F.col("_pos") + 1).alias("rank"))
 
 
+def _for_every_id(vectors: DataFrame, distinct: DataFrame, shortlist: DataFrame, keep: int,
+                  n_copied: int) -> DataFrame:
+    """(id, near) for every row, copies included.
+
+    A vector with fewer than ``keep`` ids lists all of its rows already. Only vectors with more copies
+    are looked up among all rows: broadcast if they are few, else joined under a salt, because one of
+    them may stand for a large share of the rows.
+    """
+    answered = distinct.select("unit", "ids", "rep").join(shortlist, "rep")
+    few = answered.filter(F.size("ids") < keep).select(F.explode("ids").alias("id"), "near")
+    if n_copied == 0:
+        return few
+    many = answered.filter(F.size("ids") == keep).select("unit", "near")
+    if n_copied <= COPIES_TO_BROADCAST:
+        found = vectors.join(F.broadcast(many), "unit")
+    else:
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+        found = vectors.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")) \
+            .join(many.select("*", salts), ["unit", "_salt"])
+    return few.unionByName(found.select("id", "near"))
+
+
 def _distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
     """One row per distinct vector with its ``keep`` smallest ids; the smallest names it.
 
@@ -109,15 +139,13 @@ def _scores(a: pd.Series, b: pd.Series) -> np.ndarray:
     return np.round(np.stack(a.to_numpy()) @ np.stack(b.to_numpy()).T, DECIMALS) + 0.0
 
 
-def _block_search(distinct: DataFrame, keep: int) -> DataFrame:
+def _block_search(distinct: DataFrame, keep: int, n: int, dim: int) -> DataFrame:
     """(rep, other, similarity): a superset of every vector's ``keep`` nearest, itself included."""
-    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("unit")).alias("dim"),
-                        F.min(F.size("unit")).alias("low")).first()
-    if size["n"] and size["low"] != size["dim"]:
-        raise ValueError("vectors differ in dimension")
-    n_cells = max(1, min(MAX_CELLS, size["n"] // BLOCK_ROWS))
-    chosen = distinct.orderBy(F.xxhash64("rep"), "rep").limit(n_cells).select("unit").collect()
-    pivots = np.array([r["unit"] for r in chosen], dtype="float64").reshape(-1, size["dim"] or 1)
+    n_cells = max(1, min(MAX_CELLS, n // BLOCK_ROWS))
+    pivots = np.zeros((1, dim))
+    if n_cells > 1:
+        chosen = distinct.orderBy(F.xxhash64("rep"), "rep").limit(n_cells).select("unit").collect()
+        pivots = np.array([r["unit"] for r in chosen], dtype="float64")
     rep_type = distinct.schema["rep"].dataType.simpleString()
 
     def to_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

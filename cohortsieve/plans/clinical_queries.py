@@ -15,6 +15,7 @@ from cohortsieve.operators import coverage as G
 from cohortsieve.operators import evaluate as V
 from cohortsieve.operators import extract as X
 from cohortsieve.operators import fuse, report, review, screen, similar
+from cohortsieve.operators.profiling import first_rows
 from cohortsieve.plans.registry import Data, query, text
 from cohortsieve.session import new_folder
 from cohortsieve.sources.tables import criteria
@@ -57,8 +58,7 @@ SELECT person_id, note_id, note_text FROM note WHERE note_source_value = 'PATHOL
   AND person_id NOT IN (SELECT person_id FROM profile) ORDER BY person_id, note_id LIMIT 3""", "note", "profile")
 def _(d: Data):
     gap = G.only_in(d.reports, d.profile, "person_id")
-    return d.reports.join(gap, "person_id", "left_semi").select("person_id", "note_id", "note_text") \
-        .orderBy("person_id", "note_id").limit(3)
+    return first_rows(d.reports.select("person_id", "note_id", "note_text"), gap, "person_id", ["person_id", "note_id"], 3)
 
 
 @query("g3_extract", """

@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 from helpers import rows
 
 from cohortsieve.operators import ranking, similar
@@ -25,8 +26,10 @@ def found(spark, points, k):
     return sorted((r[0], r[1], r[2] + 0.0, r[3]) for r in similar.similar_all(df, "id", "e", k).collect())
 
 
-def test_many_blocks_copies_and_zero_vectors(spark, monkeypatch):
+@pytest.mark.parametrize("to_broadcast", [1000, 0])
+def test_many_blocks_copies_and_zero_vectors(spark, monkeypatch, to_broadcast):
     monkeypatch.setattr(similar, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(similar, "COPIES_TO_BROADCAST", to_broadcast)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(6, 8)) * 3
     points = {i: centres[i % 6] + rng.normal(size=8) * 0.2 for i in range(150)}
