@@ -59,12 +59,8 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None = No
     A NULL in ``other`` leaves no rows; a NULL ``key`` never qualifies; an empty ``other`` keeps all
     rows. Written this way the join shuffles both sides and needs no side to fit in memory.
     """
-    other_key = other_key or key
-    there = other.select(F.col(other_key).alias("_there"))
-    facts = there.agg(
-        F.count(F.lit(1)).alias("_rows"), F.count(F.when(F.col("_there").isNull(), 1)).alias("_nulls")
-    )
-    empty = facts.select(F.col("_rows") == 0).scalar()
-    has_null = facts.select(F.col("_nulls") > 0).scalar()
+    there = other.select(F.col(other_key or key).alias("_there"))
+    rows, known = F.count(F.lit(1)), F.count("_there")
+    kind = there.agg(F.when(rows == 0, "empty").when(known < rows, "holds null").otherwise("plain")).scalar()
     unmatched = df.join(there, F.col(key) == F.col("_there"), "left_anti")
-    return unmatched.filter(empty | (F.col(key).isNotNull() & ~has_null))
+    return unmatched.filter((kind == "empty") | ((kind == "plain") & F.col(key).isNotNull()))

@@ -503,18 +503,18 @@ def _(d: Data):
 
 # Embeddings --------------------------------------------------------------------------------------
 
-def letter_shares(texts: pd.Series) -> pd.Series:
-    """A stand-in for a user's embedding model: how often each of eight letters occurs per character."""
-    return texts.map(lambda t: [t.count(c) / max(len(t), 1) for c in "etaoinsr"])
+def letter_counts(texts: pd.Series) -> pd.Series:
+    """A stand-in for a user's embedding model: how often each of eight letters occurs."""
+    return texts.map(lambda t: [float(t.count(c)) for c in "etaoinsr"])
 
 
 @query("m1_embed_with", """
-SELECT note_id, 8 AS dim, round((length(note_text) - length(replace(note_text, 'e', ''))) / length(note_text), 4) AS first_value
+SELECT note_id, 8 AS dim, CAST(length(note_text) - length(replace(note_text, 'e', '')) AS DOUBLE) AS first_value
 FROM note WHERE note_source_value = 'PATHOLOGY_REPORT'""", "note")
 def _(d: Data):
-    return similar.embed_with(d.reports.select("note_id", "note_text"), "note_text", letter_shares) \
+    return similar.embed_with(d.reports.select("note_id", "note_text"), "note_text", letter_counts) \
         .select("note_id", F.size("embedding").alias("dim"),
-                F.round(F.col("embedding")[0].cast("double"), 4).alias("first_value"))
+                F.col("embedding")[0].cast("double").alias("first_value"))
 
 
 @query("m2_hash_embed")
