@@ -41,7 +41,10 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-_AT = r"(?:\x20?[\[({<]\x20?(?:at|AT|@)\x20?[\])}>]\x20?|\x20(?:AT|at)\x20(?=[A-Za-z0-9-]++(?:\x20(?:dot|DOT)\x20|\x20?[\[({<]\x20?(?:dot|DOT))))"
+#: Top-level domains that make an unbracketed "a at b dot c" an address (fixed values).
+_TOP = "com|org|net|edu|gov|info|io|de|fr|es|uk|example"
+_AT = (r"(?:\x20?[\[({<]\x20?(?:at|AT|@)\x20?[\])}>]\x20?"
+       r"|\x20(?:at|AT)\x20(?=[A-Za-z0-9-]++(?:\x20(?:dot|DOT)\x20[A-Za-z0-9-]++)*?\x20(?:dot|DOT)\x20(?:" + _TOP + r")(?![A-Za-z0-9])))")
 _DOT = r"(?:\.|\x20?[\[({<]\x20?(?:dot|DOT|\.)\x20?[\])}>]\x20?|\x20(?:dot|DOT)\x20)"
 #: Variants outside the base grammar.
 VARIANTS = {
@@ -177,12 +180,16 @@ def fit(docs: DataFrame) -> SpanModel:
 
 
 def cut_for(scored: list[tuple[float, float, float]]) -> float:
-    """The lowest probability from which on at least ``PRECISION`` of the held-out candidates are right."""
+    """The lowest probability from which on at least ``PRECISION`` of the held-out candidates are right.
+
+    It lies midway to the next lower candidate, and at most at 0.5 if there is none.
+    """
     best, n, good = math.inf, 0.0, 0.0
-    for p, count, right in sorted(scored, reverse=True):
+    ordered = sorted(scored, reverse=True)
+    for (p, count, right), lower in zip(ordered, [*(x[0] for x in ordered[1:]), None]):
         n, good = n + count, good + right
         if good >= PRECISION * n:
-            best = p
+            best = min(p, 0.5) if lower is None else (p + lower) / 2
     return best
 
 
