@@ -25,6 +25,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -33,8 +34,10 @@ from cohortsieve.llm.registry import query
 from cohortsieve.llm.texts import free_name, table
 
 #: Characters indexed at once; longer runs of pre-tokens take several indexes, and no pre-token is cut.
-INDEX_CHARS = 2_000_000
-MEMO, MEMO_CHARS, PAIR_MEMO = 400_000, 64, 2_000_000
+INDEX_CHARS = 200_000
+#: Texts taken together; a longer text is taken alone.
+TEXT_CHARS = 1_000_000
+MEMO, MEMO_CHARS, PAIR_MEMO = 150_000, 64, 2_000_000
 #: Stands between pre-tokens; above every Unicode character.
 GAP = 0x110000
 UNKNOWN = -1
@@ -205,9 +208,11 @@ class Matcher:
                 run, size = [], 0
         if run:
             local.update(zip(run, self._encode_new(run)))
-        table_ = {**self.known, **local} if local else self.known
-        out = [[table_[p] for p in pre] for pre in cut]
-        self.known = {p: ids for p, ids in table_.items() if len(p) <= MEMO_CHARS} if len(table_) <= MEMO else {}
+        known = self.known
+        out = [[known[p] if p in known else local[p] for p in pre] for pre in cut]
+        if len(known) + len(local) > MEMO:
+            known.clear()
+        known.update((p, ids) for p, ids in local.items() if len(p) <= MEMO_CHARS)
         return out
 
 
@@ -249,10 +254,24 @@ def _tool(kind: type, pieces: Pieces):
     return _TOOLS[id(pieces), kind]
 
 
-def _lists(rows: list[list[list[int]]]) -> pa.Array:
-    sizes = [sum(map(len, r)) for r in rows]
-    values = np.fromiter(chain.from_iterable(chain.from_iterable(rows)), np.int32, sum(sizes))
-    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values))
+def _slices(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts, in runs of about ``TEXT_CHARS`` bytes."""
+    sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    cuts = np.unique(np.append(np.searchsorted(sizes, np.arange(TEXT_CHARS, (sizes[-1] if len(sizes) else 0), TEXT_CHARS)), len(texts)))
+    start = 0
+    for cut in cuts.tolist():
+        if cut > start:
+            yield texts.slice(start, cut - start).to_pylist()
+            start = cut
+
+
+def _lists(slices: Iterator[list[list[list[int]]]]) -> pa.Array:
+    sizes, values = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
+    for rows in slices:
+        n = [sum(map(len, r)) for r in rows]
+        sizes.append(np.array(n))
+        values.append(np.fromiter(chain.from_iterable(chain.from_iterable(rows)), np.int32, sum(n)))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pa.array(np.concatenate(values)))
 
 
 def encode(docs: DataFrame, model: Broadcast, text: str = "text", out: str = "token_ids") -> DataFrame:
@@ -263,7 +282,7 @@ def encode(docs: DataFrame, model: Broadcast, text: str = "text", out: str = "to
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _tool(Matcher, loaded(model.value))
         for b in batches:
-            ids = _lists(matcher.encode(b.column(text).to_pylist()))
+            ids = _lists(map(matcher.encode, _slices(b.column(text))))
             yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, name])
 
     return docs.mapInArrow(per_batch, schema)
@@ -277,7 +296,7 @@ def decode(docs: DataFrame, model: Broadcast, ids: str = "token_ids", out: str =
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _tool(Decoder, loaded(model.value))
         for b in batches:
-            texts = pa.array([decoder.decode(x) for x in b.column(ids).to_pylist()], pa.string())
+            texts = pa.array((decoder.decode(x.as_py()) for x in b.column(ids)), pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, texts], [*b.schema.names, name])
 
     return docs.mapInArrow(per_batch, schema)
