@@ -37,26 +37,24 @@ from cohortsieve.llm.texts import free_name, table
 INDEX_CHARS = 200_000
 #: Texts taken together; a longer text is taken alone.
 TEXT_CHARS = 1_000_000
-MEMO, MEMO_CHARS, PAIR_MEMO = 150_000, 64, 2_000_000
+MEMO, MEMO_CHARS, PAIR_MEMO = 300_000, 64, 2_000_000
 #: Stands between pre-tokens; above every Unicode character.
 GAP = 0x110000
 UNKNOWN = -1
 
 
-def suffix_array(chars: np.ndarray, depth: int) -> np.ndarray:
-    """Start places, ordered by the next ``depth`` characters (at least), by prefix doubling."""
-    rank = np.unique(chars, return_inverse=True)[1].astype(np.int64)
-    order, width, n = np.argsort(rank, kind="stable"), 1, len(chars)
-    while width < depth:
-        after = np.zeros(n, np.int64)
-        after[:max(0, n - width)] = rank[width:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.concatenate(([0], np.cumsum(ordered[1:] != ordered[:-1])))
-        width *= 2
-    return order
+def packed(codes: np.ndarray, size: int, depth: int) -> tuple[list[np.ndarray], int]:
+    """The ``depth`` codes from each place on, as sort keys of 64 bits, and how many codes a key holds."""
+    bits = max(1, int(size).bit_length())
+    per = 64 // bits
+    padded = np.concatenate((codes, np.zeros(depth + per, np.int64))).astype(np.uint64)
+    keys = []
+    for first in range(0, depth, per):
+        key = np.zeros(len(codes), np.uint64)
+        for i in range(first, first + per):
+            key = (key << np.uint64(bits)) | padded[i:i + len(codes)]
+        keys.append(key)
+    return keys, per
 
 
 class Matcher:
@@ -68,8 +66,8 @@ class Matcher:
         self.depth = int(self.length.max())
         self.rows = np.zeros((len(texts), self.depth), np.int64)
         for i, t in enumerate(texts):
-            self.rows[i, :len(t)] = [ord(c) + 1 for c in t]
-        self.known: dict[str, list[int]] = {}
+            self.rows[i, :len(t)] = [ord(c) for c in t]
+        self.known: dict[str, bytes] = {}
         self._forget_pairs()
 
     def _forget_pairs(self) -> None:
@@ -77,37 +75,53 @@ class Matcher:
 
     # --- matching
 
-    def _bounds(self, chars: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For every piece, the first and the last-but-one place in ``order`` where it occurs."""
-        padded = np.concatenate((chars + 1, np.zeros(self.depth, np.int64)))
-        columns = np.arange(self.depth)
-        inside = columns < self.length[:, None]
-
-        def search(after: bool) -> np.ndarray:
-            low, high = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(order))
-            while (open_ := low < high).any():
-                middle = (low + high) // 2
-                window = padded[order[np.minimum(middle, len(order) - 1)][:, None] + columns]
-                differs = (window != self.rows) & inside
-                at = differs.argmax(1)
-                i = np.arange(len(at))
-                sign = np.where(differs.any(1), np.sign(window[i, at] - self.rows[i, at]), 0)
-                below = (sign <= 0) if after else (sign < 0)
-                low = np.where(open_ & below, middle + 1, low)
-                high = np.where(open_ & ~below, middle, high)
-            return low
-
-        return search(False), search(True)
-
     def _edges(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, id) of every occurrence of every piece."""
-        order = suffix_array(chars, self.depth)
-        first, last = self._bounds(chars, order)
-        n = last - first
-        which = np.repeat(np.arange(len(n)), n)
-        offset = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        start = order[first[which] + offset]
-        return start, start + self.length[which], self.ids[which]
+        alphabet, codes = np.unique(chars, return_inverse=True)
+        keys, per = packed(codes + 1, len(alphabet) + 1, self.depth)
+        order = np.lexsort(keys[::-1])
+        # Pieces with a character that the text lacks occur nowhere.
+        inside = np.arange(self.depth) < self.length[:, None]
+        at = np.minimum(np.searchsorted(alphabet, self.rows), len(alphabet) - 1)
+        which = np.flatnonzero(((alphabet[at] == self.rows) | ~inside).all(1))
+        rows, length = np.where(inside, at + 1, 0)[which], self.length[which]
+        first, last = self._first_key(keys[0][order], rows, length, per, len(alphabet) + 1)
+        long = np.flatnonzero((length > per) & (first < last))
+        if len(long):
+            padded = np.concatenate((codes + 1, np.zeros(self.depth, np.int64)))
+            first[long], last[long] = (self._search(padded, order, rows[long], length[long], first[long], last[long], after)
+                                       for after in (False, True))
+        n = np.maximum(last - first, 0)
+        hit = np.repeat(np.arange(len(n)), n)
+        start = order[first[hit] + np.arange(len(hit)) - np.repeat(np.cumsum(n) - n, n)]
+        return start, start + length[hit], self.ids[which[hit]]
+
+    @staticmethod
+    def _first_key(sorted_keys: np.ndarray, rows: np.ndarray, length: np.ndarray, per: int, size: int):
+        """The range of places whose first key begins with each piece (or its first ``per`` characters)."""
+        bits = max(1, int(size).bit_length())
+        low = np.zeros(len(rows), np.uint64)
+        for i in range(per):
+            low = (low << np.uint64(bits)) | (rows[:, i].astype(np.uint64) if i < rows.shape[1] else np.uint64(0))
+        free = (bits * np.maximum(per - length, 0)).astype(np.uint64)
+        high = low | ((np.uint64(1) << free) - np.uint64(1))
+        return np.searchsorted(sorted_keys, low), np.searchsorted(sorted_keys, high, side="right")
+
+    def _search(self, padded, order, rows, length, low, high, after: bool) -> np.ndarray:
+        """A binary search side by side, within the ranges of the first key, for pieces longer than it."""
+        columns = np.arange(self.depth)
+        inside = columns < length[:, None]
+        low, high, i = low.copy(), high.copy(), np.arange(len(rows))
+        while (open_ := low < high).any():
+            middle = (low + high) // 2
+            window = padded[order[np.minimum(middle, len(order) - 1)][:, None] + columns]
+            differs = (window != rows) & inside
+            at = differs.argmax(1)
+            sign = np.where(differs.any(1), np.sign(window[i, at] - rows[i, at]), 0)
+            below = (sign <= 0) if after else (sign < 0)
+            low = np.where(open_ & below, middle + 1, low)
+            high = np.where(open_ & ~below, middle, high)
+        return low
 
     def _stand(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Whether the library encodes the two pieces together as those two."""
@@ -133,8 +147,8 @@ class Matcher:
             at = np.searchsorted(self.pairs, codes)
         return self.stands[at][where]
 
-    def _encode_new(self, pre: list[str]) -> list[list[int]]:
-        """The ids of pre-tokens (without their first space), by one index over all of them."""
+    def _encode_new(self, pre: list[str]) -> list[bytes]:
+        """The ids, 32 bits each, of pre-tokens (without their first space), by one index over all of them."""
         texts = [SPACE + p.replace(" ", SPACE) for p in pre]
         joined = "".join(t + "\0" for t in texts)
         chars = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -153,7 +167,7 @@ class Matcher:
 
         word = np.repeat(begins, sizes + 1)
         reach = end - word[start]
-        by = np.argsort(reach, kind="stable")
+        by = np.argsort(reach.astype(np.uint16) if reach.max() < 1 << 16 else reach, kind="stable")
         start, end, token, reach = start[by], end[by], token[by], reach[by]
         cuts = np.searchsorted(reach, np.arange(1, int(sizes.max()) + 2))
         last, before = np.full(len(chars), -2), np.full(len(chars), -1)
@@ -184,21 +198,23 @@ class Matcher:
         w, p, t = w[by], p[by], t[by]
         limits = np.searchsorted(w, np.arange(len(texts) + 1)).tolist()
         unknown = set(w[t == UNKNOWN].tolist())
-        plain, places, out = t.tolist(), p.tolist(), []
+        buffer = t.astype(np.int32).tobytes()
+        out = []
         for i in range(len(texts)):
-            ids = plain[limits[i]:limits[i + 1]]
+            a, b = limits[i], limits[i + 1]
             if i in unknown:
-                ids = list(chain.from_iterable(
-                    [x] if x != UNKNOWN else [self.pieces.byte_id[c] for c in joined[q - 1].encode()]
-                    for x, q in zip(ids, places[limits[i]:limits[i + 1]])))
-            out.append(ids)
+                ids = chain.from_iterable([x] if x != UNKNOWN else [self.pieces.byte_id[c] for c in joined[q - 1].encode()]
+                                          for x, q in zip(t[a:b].tolist(), p[a:b].tolist()))
+                out.append(np.fromiter(ids, np.int32).tobytes())
+            else:
+                out.append(buffer[4 * a:4 * b])
         return out
 
-    def encode(self, texts: list[str | None]) -> list[list[list[int]]]:
-        """For each text the ids of its pre-tokens, in order."""
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """For each text its ids, 32 bits each."""
         cut = [pretokens(t or "") for t in texts]
         new = [p for p in set(chain.from_iterable(cut)) if p not in self.known]
-        local: dict[str, list[int]] = {}
+        local: dict[str, bytes] = {}
         run, size = [], 0
         for p in new:
             run.append(p)
@@ -209,10 +225,13 @@ class Matcher:
         if run:
             local.update(zip(run, self._encode_new(run)))
         known = self.known
-        out = [[known[p] if p in known else local[p] for p in pre] for pre in cut]
         if len(known) + len(local) > MEMO:
+            local.update((p, known[p]) for pre in cut for p in pre if p in known)
             known.clear()
-        known.update((p, ids) for p, ids in local.items() if len(p) <= MEMO_CHARS)
+        known.update(local)
+        out = [b"".join(map(known.__getitem__, pre)) for pre in cut]
+        for p in [p for p in local if len(p) > MEMO_CHARS]:
+            del known[p]
         return out
 
 
@@ -234,6 +253,13 @@ class Decoder:
         self.leads = [i in normal and p.startswith(SPACE) for i, p in enumerate(pieces.piece)]
         self.silent = [not b for b in self.table]
 
+    def decode_all(self, ids: pa.ListArray) -> Iterator[str]:
+        """The texts of an Arrow column of ids."""
+        flat = ids.flatten().to_numpy(zero_copy_only=False)
+        sizes = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes)
+        return (self.decode(flat[end - size:end].tolist()) for end, size in zip(ends.tolist(), sizes.tolist()))
+
     def decode(self, ids: list[int] | None) -> str:
         """The text; the space that encoding puts before the first token goes."""
         if not ids:
@@ -265,13 +291,10 @@ def _slices(texts: pa.Array) -> Iterator[list[str | None]]:
             start = cut
 
 
-def _lists(slices: Iterator[list[list[list[int]]]]) -> pa.Array:
-    sizes, values = [np.zeros(1, np.int64)], [np.zeros(0, np.int32)]
-    for rows in slices:
-        n = [sum(map(len, r)) for r in rows]
-        sizes.append(np.array(n))
-        values.append(np.fromiter(chain.from_iterable(chain.from_iterable(rows)), np.int32, sum(n)))
-    return pa.ListArray.from_arrays(pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()), pa.array(np.concatenate(values)))
+def _lists(slices: Iterator[list[bytes]]) -> pa.Array:
+    rows = list(chain.from_iterable(slices))
+    offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows], dtype=np.int64)))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
 
 def encode(docs: DataFrame, model: Broadcast, text: str = "text", out: str = "token_ids") -> DataFrame:
@@ -296,7 +319,7 @@ def decode(docs: DataFrame, model: Broadcast, ids: str = "token_ids", out: str =
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _tool(Decoder, loaded(model.value))
         for b in batches:
-            texts = pa.array((decoder.decode(x.as_py()) for x in b.column(ids)), pa.string())
+            texts = pa.array(decoder.decode_all(b.column(ids)), pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, texts], [*b.schema.names, name])
 
     return docs.mapInArrow(per_batch, schema)
