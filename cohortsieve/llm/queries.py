@@ -1,4 +1,4 @@
 """All queries of the subpackage."""
 
-from cohortsieve.llm import decontaminate, personal_data, quality_rules, suffix_match, token_counts, toxicity, url_filter, warc  # noqa: F401
+from cohortsieve.llm import decontaminate, line_dedup, personal_data, quality_rules, suffix_match, token_counts, toxicity, url_filter, warc  # noqa: F401
 from cohortsieve.llm.registry import CHECKS, QUERIES  # noqa: F401
