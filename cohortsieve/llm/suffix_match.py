@@ -31,13 +31,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cohortsieve.llm.pieces import SPACE, Pieces, broadcast_model, loaded, pretokens
 from cohortsieve.llm.registry import query
-from cohortsieve.llm.texts import free_name, table
+from cohortsieve.llm.texts import free_name, table, text_of
 
 #: Characters indexed at once; longer runs of pre-tokens take several indexes, and no pre-token is cut.
 INDEX_CHARS = 200_000
 #: Texts taken together; a longer text is taken alone.
-TEXT_CHARS = 1_000_000
-MEMO, MEMO_CHARS, PAIR_MEMO = 300_000, 64, 2_000_000
+TEXT_CHARS = 500_000
+MEMO, MEMO_CHARS, PAIR_MEMO = 200_000, 64, 500_000
 #: Stands between pre-tokens; above every Unicode character.
 GAP = 0x110000
 UNKNOWN = -1
@@ -280,19 +280,20 @@ def _tool(kind: type, pieces: Pieces):
     return _TOOLS[id(pieces), kind]
 
 
-def _slices(texts: pa.Array) -> Iterator[list[str | None]]:
-    """The texts, in runs of about ``TEXT_CHARS`` bytes."""
-    sizes = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False))
-    cuts = np.unique(np.append(np.searchsorted(sizes, np.arange(TEXT_CHARS, (sizes[-1] if len(sizes) else 0), TEXT_CHARS)), len(texts)))
+def _slices(batch: pa.RecordBatch, name: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows, cut where a column's bytes or elements reach ``most``; no row is cut."""
+    column = batch.column(name)
+    count = pa.compute.list_value_length if pa.types.is_list(column.type) else pa.compute.binary_length
+    sizes = np.cumsum(pa.compute.fill_null(count(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.searchsorted(sizes, np.arange(most, sizes[-1] if len(sizes) else 0, most)) + 1
     start = 0
-    for cut in cuts.tolist():
+    for cut in np.unique(np.append(cuts, len(column))).tolist():
         if cut > start:
-            yield texts.slice(start, cut - start).to_pylist()
+            yield batch.slice(start, cut - start)
             start = cut
 
 
-def _lists(slices: Iterator[list[bytes]]) -> pa.Array:
-    rows = list(chain.from_iterable(slices))
+def _lists(rows: list[bytes]) -> pa.Array:
     offsets = np.concatenate(([0], np.cumsum([len(r) // 4 for r in rows], dtype=np.int64)))
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(rows), np.int32)))
 
@@ -304,8 +305,8 @@ def encode(docs: DataFrame, model: Broadcast, text: str = "text", out: str = "to
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _tool(Matcher, loaded(model.value))
-        for b in batches:
-            ids = _lists(map(matcher.encode, _slices(b.column(text))))
+        for b in (part for whole in batches for part in _slices(whole, text, TEXT_CHARS)):
+            ids = _lists(matcher.encode(b.column(text).to_pylist()))
             yield pa.RecordBatch.from_arrays([*b.columns, ids], [*b.schema.names, name])
 
     return docs.mapInArrow(per_batch, schema)
@@ -318,7 +319,7 @@ def decode(docs: DataFrame, model: Broadcast, ids: str = "token_ids", out: str =
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _tool(Decoder, loaded(model.value))
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole, ids, TEXT_CHARS)):
             texts = pa.array(decoder.decode_all(b.column(ids)), pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, texts], [*b.schema.names, name])
 
@@ -329,7 +330,7 @@ def decode(docs: DataFrame, model: Broadcast, ids: str = "token_ids", out: str =
 def op5_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, the ids of the whole text, their number, and whether decoding gives the text again."""
     model = broadcast_model(spark)
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = decode(encode(docs, model), model)
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.xxhash64(text_of()).alias("hash"))
+    both = decode(encode(docs, model).drop("text"), model)
     return both.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids",
-                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+                       (F.xxhash64("decoded") == F.col("hash")).alias("round_trip"))
