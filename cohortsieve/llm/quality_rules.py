@@ -112,34 +112,42 @@ def score_of(words: Column, weights: list[float]) -> Column:
     return let(_buckets(words), lambda b: F.when(F.size(b) > 0, mean(b)).otherwise(F.lit(0.0)))
 
 
-def _base(docs: DataFrame) -> DataFrame:
-    """Adds the base counts to (doc_id, text, words).
+def _repeats(words: Column) -> Column:
+    """Words inside three-word windows that the text holds twice or more.
 
-    Windows of three words are compared by hash first; only texts where a hash returns sort the windows
-    themselves, so the count is exact.
+    Windows are compared by hash first; only texts where a hash returns sort the windows themselves, so the
+    count is exact. ``words`` must be bound (see ``let``).
     """
-    n = F.size("words")
+    n = F.size(words)
     at = F.sequence(F.lit(0), n - 3)
-    window = lambda i: (F.col("words")[i], F.col("words")[i + 1], F.col("words")[i + 2])
+    window = lambda i: (words[i], words[i + 1], words[i + 2])
+
+    def covered(s: Column) -> Column:
+        same = lambda a, b: F.coalesce(F.get(s, a)["g"] == F.get(s, b)["g"], F.lit(False))
+        again = F.filter(at, lambda j: same(j, j - 1) | same(j, j + 1))
+        return F.size(F.array_distinct(F.flatten(F.transform(
+            again, lambda j: F.array(s[j]["i"], s[j]["i"] + 1, s[j]["i"] + 2)))))
+
+    ordered = F.sort_array(F.transform(at, lambda i: F.struct(F.concat_ws(" ", *window(i)).alias("g"), i.alias("i"))))
     hashes = F.transform(at, lambda i: F.xxhash64(*window(i)))
-    has_repeat = F.when(n >= 4, F.size(F.array_distinct(hashes)) < n - 2).otherwise(F.lit(False))
-    lines = F.filter(F.split("body", "\n"), lambda x: F.trim(F.translate(x, SPACES[1:], " " * 5)) != "")
-    df = docs.withColumn("has_repeat", has_repeat).withColumn("lines", lines)
-    df = df.withColumn("sorted_windows", F.when(F.col("has_repeat"), F.sort_array(F.transform(
-        at, lambda i: F.struct(F.concat_ws(" ", *window(i)).alias("g"), i.alias("i"))))))
-    s = F.col("sorted_windows")
-    same = lambda a, b: F.coalesce(F.get(s, a)["g"] == F.get(s, b)["g"], F.lit(False))
-    again = F.filter(at, lambda j: same(j, j - 1) | same(j, j + 1))
-    covered = F.size(F.array_distinct(F.flatten(F.transform(
-        again, lambda j: F.array(s[j]["i"], s[j]["i"] + 1, s[j]["i"] + 2)))))
-    plain = F.translate("body", SPACES, "")
-    return df.select(
-        *docs.columns,
-        n.cast("long").alias("n_words"),
-        F.length(plain).cast("long").alias("word_chars"),
-        (F.length(plain) - F.length(F.translate(plain, SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.col("has_repeat"), covered).otherwise(0).cast("long").alias("n_repeat_words"))
+    return F.when(n < 4, 0).when(F.size(F.array_distinct(hashes)) == n - 2, 0).otherwise(let(ordered, covered))
+
+
+def _stats(model: QualityModel) -> Column:
+    """One struct of the base counts and the score of ``body``."""
+    body = F.col("body")
+    plain = F.translate(body, SPACES, "")
+    lines = F.filter(F.split(body, "\n"), lambda x: F.trim(F.translate(x, SPACES[1:], " " * 5)) != "")
+    of_words = let(words_of(body), lambda w: F.struct(
+        F.size(w).alias("n"), _repeats(w).alias("repeats"), score_of(F.transform(w, F.lower), model.weights).alias("score")))
+    dup_lines = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    counts = F.array(F.struct(
+        of_words.alias("w"), F.length(plain).alias("chars"),
+        (F.length(plain) - F.length(F.translate(plain, SYMBOLS, ""))).alias("symbols"), dup_lines.alias("dup")))
+    return F.transform(counts, lambda c: F.struct(
+        c["w"]["n"].cast("long").alias("n_words"), c["chars"].cast("long").alias("word_chars"),
+        c["symbols"].cast("long").alias("n_symbols"), c["dup"].cast("long").alias("n_dup_lines"),
+        c["w"]["repeats"].cast("long").alias("n_repeat_words"), c["w"]["score"].alias("score")))
 
 
 def base_failed() -> Column:
@@ -149,22 +157,17 @@ def base_failed() -> Column:
 
 def judge(docs: DataFrame, model: QualityModel) -> DataFrame:
     """One row per row of ``docs``: doc_id, the base counts, score, base_failed and kept."""
-    rows = docs.select("doc_id", text_of().alias("body")).withColumn("words", words_of(F.col("body")))
-    counted = _base(rows)
-    score = score_of(F.transform("words", F.lower), model.weights)
-    return counted.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        score.alias("score"), base_failed().alias("base_failed")).withColumn(
+    stats = docs.select("doc_id", text_of().alias("body")).select("doc_id", F.inline(_stats(model)))
+    return stats.select("*", base_failed().alias("base_failed")).withColumn(
         "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(model.threshold)))
 
 
 def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns. The decision is made map-side, per row."""
-    cols = docs.columns
-    held = docs.select(F.struct(*[docs[c] for c in cols]).alias("row"), "doc_id", text_of().alias("body"))
-    held = _base(held.withColumn("words", words_of(F.col("body"))))
-    score = score_of(F.transform("words", F.lower), model.weights)
-    return held.filter(~base_failed() & (score >= F.lit(model.threshold))).select("row.*")
+    held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_of().alias("body"))
+    # A generator computes the counts once; a filter is not moved below it.
+    held = held.select("row", F.inline(_stats(model)))
+    return held.filter(~base_failed() & (F.col("score") >= F.lit(model.threshold))).select("row.*")
 
 
 @query("op10_quality_rules")
