@@ -54,4 +54,12 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the written rows."""
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written._cut_folder = path
+    return written
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``cut_lineage`` wrote for ``df``; nothing that reads it may run afterwards."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_folder)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
