@@ -6,7 +6,7 @@ light sets that link share a subset. Larger sets are heavy: they stand in the in
 last; light sets large enough to link with a heavy one stand in the lists too. The boundary minimises subsets enumerated plus list entries,
 over the sizes of all documents.
 
-Each list (of a subset or a shingle) is scanned in two rounds. First every member meets the list's least member only; then members meet
+Each list (of a subset or a shingle) is scanned in two rounds. First every member meets one leader, the least member of a list, namely the one it shares most lists with; then members meet
 across the components that these links made. A pair that never meets is in one component already, so components are exact, and a list of thousands of near copies
 costs thousands of tests, not millions. Pairs pass size and histogram bounds on the symmetric difference before their whole sets are compared.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
 from cohortsieve.llm.texts import ascii_lower, table, text_of, words_of
-from cohortsieve.session import cut_lineage
+from cohortsieve.session import cut_lineage, release
 
 GRAM, PERCENT = 4, 85
 FREQUENT, LONG_LIST = 1 << 17, 40
@@ -238,7 +238,8 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        edges = cut_lineage(small, "star")
+        before, edges = edges, cut_lineage(small, "star")
+        release(before)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
             break
@@ -252,11 +253,12 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
     docs = docs.select("doc_id", "text")
     named = docs.filter("doc_id is not null")
     # First pass: sizes for the boundary, and shingles whose lists are long in plain hash order.
-    plain = cut_lineage(sketches(named, 0, np.zeros(0, np.uint64), percent, gram).select("n", "k", "keys"), "plain-lists")
+    plain = cut_lineage(sketches(named, 0, np.zeros(0, np.uint64), percent, gram).select("n", "keys"), "plain-lists")
     sizes = {r["n"]: r["c"] for r in plain.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count("*").alias("c")).collect()}
     light = boundary(sizes, percent)
     often = (plain.select(F.explode("keys").alias("e")).groupBy("e").agg(F.count("*").alias("c"))
              .filter(F.col("c") > LONG_LIST).orderBy(F.desc("c"), "e").limit(FREQUENT).select("e").collect())
+    release(plain)
     frequent = np.sort(np.array([r["e"] for r in often], np.int64).view(np.uint64))
 
     table_ = cut_lineage(sketches(docs, light, frequent, percent, gram), "sketches")
@@ -266,21 +268,20 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
     same_doc = linkable.select("doc_id", F.col("k").alias("b")).join(of_doc, "doc_id").select("a", "b")
     nodes = cut_lineage(linkable.join(reps.select("k", F.col("rep").alias("doc_id")), ["k", "doc_id"], "left_semi")
                         .dropDuplicates(["k"]).withColumnRenamed("doc_id", "rep"), "nodes")
-    entries = nodes.select(F.explode("keys").alias("e"), "k", "n", "coarse")
-    lists = entries.groupBy("e").agg(F.min("k").alias("a"), F.min_by("n", "k").alias("na"), F.min_by("coarse", "k").alias("ca"),
-                                     F.max("k").alias("last")).filter("a < last").drop("last")
-    members = cut_lineage(entries.withColumnsRenamed({"k": "b", "n": "nb", "coarse": "cb"}).join(lists, "e"), "lists")
-    first = (members.filter((F.col("a") != F.col("b")) & _fits("na", "nb", percent) & _coarse("ca", "cb", percent))
-             .select("a", "b").distinct())
+    entries = nodes.select(F.explode("keys").alias("e"), "k", "n")
+    lists = entries.groupBy("e").agg(F.min("k").alias("a"), F.min_by("n", "k").alias("na"), F.max("k").alias("last")).filter("a < last").drop("last")
+    members = cut_lineage(entries.withColumnsRenamed({"k": "b", "n": "nb"}).join(lists, "e"), "lists")
+    # First round: each node meets the least member of its lists that it shares most lists with.
+    first = (members.filter((F.col("a") != F.col("b")) & _fits("na", "nb", percent)).groupBy("a", "b").agg(F.count("*").alias("c"))
+             .groupBy("b").agg(F.max_by("a", "c").alias("a")))
     links = cut_lineage(verified(named, first, nodes, percent, gram).unionAll(same_doc), "links")
     comps = components(links)
 
     # Second round: members of one list that are in different components so far.
-    placed = (members.select("e", F.col("b").alias("k"), F.col("nb").alias("n"), F.col("cb").alias("coarse"))
+    placed = (members.select("e", F.col("b").alias("k"), F.col("nb").alias("n"))
               .join(comps, "k", "left").withColumn("root", F.coalesce("root", "k")))
-    placed = cut_lineage(placed, "placed-lists")
     open_ = placed.groupBy("e").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("e")
-    mixed = placed.join(open_, "e", "left_semi")
+    mixed = cut_lineage(placed.join(open_, "e", "left_semi").join(nodes.select("k", "coarse"), "k"), "open-lists")
     left = mixed.select("e", F.col("k").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("ca"), F.col("root").alias("xa"))
     right = mixed.select("e", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("cb"), F.col("root").alias("xb"))
     met = left.join(right, (left["e"] == right["e"]) & (F.col("xa") != F.col("xb")) & (F.col("a") < F.col("b"))
@@ -289,6 +290,8 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
     if not more.isEmpty():
         comps = components(links.unionAll(more))
     comps = cut_lineage(comps, "components")
+    for done in (members, mixed):
+        release(done)
     named_nodes = nodes.select("k", "rep").join(comps, "k", "left").withColumn("root", F.coalesce("root", "k"))
     least = named_nodes.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_node = named_nodes.join(least, "root").select("k", "component_id")
