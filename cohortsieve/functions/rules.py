@@ -1,8 +1,10 @@
 """Reading marker statuses out of report text with ordered rules, all native Columns.
 
-A marker's *statement* is the rest of the line after the first place the report names the marker,
-cut where the next marker is named. Lines that cannot name one are set aside first by plain substring
-tests, which run far faster over long reports than the patterns do. A rule set turns the statement (lower-cased) into a status.
+Every mention of a marker counts. A *statement* is the rest of a line after a place that names the marker, wrapped
+continuation lines included, cut where the next marker is named; lines that tell a history are left out. A rule set turns each
+statement (lower-cased) into a status. The last statement that is a result holds; requests and equivocal grades are none, so a later
+FISH result settles an earlier 2+. Lines that cannot name a marker are set aside first by plain substring
+tests, which run far faster over long reports than the patterns do.
 Two sets exist so that evaluation has something to tell apart: ``CAREFUL`` applies the clinical
 cut-offs, ``TERSE`` only looks for literal words.
 """
@@ -17,8 +19,7 @@ from pyspark.sql import Column, functions as F
 
 from cohortsieve.vocabulary import NEGATIVE, POSITIVE, UNKNOWN
 
-# Patterns. They avoid look-around and back-references, so that both Java's and RE2's
-# regular expressions read them alike.
+# Patterns.
 _RECEPTOR_TAIL = (
     r"([ \t]*(?:[:=(/+-]|immunostain|status|is\b|[Pp]ositive|[Nn]egative|POSITIVE|NEGATIVE)[^\n]*)"
 )
@@ -41,8 +42,13 @@ NOT_AMPLIFIED = r"not detected|non-?amplified|not amplified"
 FISH_RATIO = r"ratio[ :=of]*([0-9]+(?:\.[0-9]+)?)"
 FISH_COPIES = r"copy number[ :=of]*([0-9]+(?:\.[0-9]+)?)"
 AMPLIFIED = r"^\+|positive|overexpress|amplified|detected"
-BELOW_ONE_PERCENT = r"<\s*1\s*%"
-PERCENT = r"([0-9]+(?:\.[0-9]+)?)\s*%"
+# The first percentage of a statement is the marker's; background staining comes after it.
+FIRST_PERCENT = r"([<>]?)\s*([0-9]+(?:\.[0-9]+)?)\s*%"
+NEGATED_GRADE = r"\b(?:not|no|without)\s+[0-3]\s?\+"
+FISH_AMPLIFIED = r"\bamplified"
+HISTORY = r"(?i)^[^:\n]*\b(?:history|prior|previous|previously)\b"
+# How a line goes on with the statement of the line before it.
+GOES_ON = r"[ \t]*(?:\(|I?SH\b|FISH\b|[Rr]eflex|[Dd]ual-probe|[Aa]verage|[Rr]atio|[Cc]op(?:y|ies)\b|[Ss]core|[Aa]llred|<?\s?[0-9.]+\s?%|by (?:IHC|FISH))"
 NOT_REACTIVE = r"negative|non-?reactive|not detected|no significant|^-($|[^a-z])"
 REACTIVE = r"^\+|positive|reactive"
 TERSE_NEGATIVE = r"negative|not detected"
@@ -59,6 +65,7 @@ def _number(statement: Column, pattern: str) -> Column:
 
 
 def _her2_careful(s: Column) -> Column:
+    s = F.regexp_replace(s, NEGATED_GRADE, "")
     ratio, copies = _number(s, FISH_RATIO), _number(s, FISH_COPIES)
     enough_copies = F.coalesce(copies >= FISH_COPIES_CUT, F.lit(True))
     return (
@@ -66,6 +73,7 @@ def _her2_careful(s: Column) -> Column:
         .when(s.rlike(NOT_AMPLIFIED), NEGATIVE)
         .when((ratio >= FISH_RATIO_CUT) & enough_copies, POSITIVE)
         .when(ratio.isNotNull(), NEGATIVE)
+        .when(s.rlike(FISH_AMPLIFIED), POSITIVE)
         .when(s.rlike(EQUIVOCAL), UNKNOWN)
         .when(s.rlike(IHC_WEAK), NEGATIVE)
         .when(s.rlike(AMPLIFIED), POSITIVE)
@@ -74,9 +82,10 @@ def _her2_careful(s: Column) -> Column:
 
 
 def _receptor_careful(s: Column) -> Column:
-    stained = _number(s, PERCENT)
+    stained = F.regexp_extract(s, FIRST_PERCENT, 2).try_cast("double")
+    below = F.regexp_extract(s, FIRST_PERCENT, 1) == "<"
     return (
-        F.when(s.rlike(BELOW_ONE_PERCENT), NEGATIVE)
+        F.when(below & (stained <= STAIN_CUT), NEGATIVE)
         .when(stained >= STAIN_CUT, POSITIVE)
         .when(stained.isNotNull(), NEGATIVE)
         .when(s.rlike(NOT_REACTIVE), NEGATIVE)
@@ -104,8 +113,13 @@ class RuleSet:
     name: str
     ladders: dict[str, Ladder]
 
-    def statuses(self, statement_of: Callable[[str], Column]) -> dict[str, Column]:
-        return {col: ladder(statement_of(col)) for col, ladder in self.ladders.items()}
+    def statuses(self, statements_of: Callable[[str], Column]) -> dict[str, Column]:
+        """Per status column, the last result among the marker's statements."""
+        def last_result(col: str, ladder: Ladder) -> Column:
+            results = F.filter(F.transform(statements_of(col), ladder), lambda x: x != UNKNOWN)
+            return F.coalesce(F.try_element_at(results, F.lit(-1)), F.lit(UNKNOWN))
+
+        return {col: last_result(col, ladder) for col, ladder in self.ladders.items()}
 
 
 CAREFUL = RuleSet("careful", {
@@ -117,14 +131,20 @@ TERSE = RuleSet("terse", {
 
 
 def marker_lines(text: Column) -> Column:
-    """The lines of a report that may name a marker, in their order."""
+    """The lines of a report that may name a marker, each with the line that goes on from it, without histories."""
     def may_name(line: Column) -> Column:
         return reduce(lambda a, b: a | b, (line.contains(n) for n in NAMES_A_MARKER))
 
-    return F.array_join(F.filter(F.split(text, "\n"), may_name), "\n")
+    def some(lines: Column) -> Column:
+        after_marker = lambda i: F.when(i > 0, may_name(lines[i - 1])).otherwise(False)
+        return F.filter(lines, lambda line, i: may_name(line) | (after_marker(i) & line.rlike("^" + GOES_ON)))
+
+    kept = F.transform(F.array(F.split(text, "\n")), some)[0]
+    joined = F.regexp_replace(F.array_join(kept, "\n"), "\n(?=" + GOES_ON + ")", " ")
+    return F.array_join(F.filter(F.split(joined, "\n"), lambda line: ~line.rlike(HISTORY)), "\n")
 
 
-def statement(lines: Column, marker: str) -> Column:
-    """What a report says about one marker, lower-cased; empty if it is not named."""
-    tail = F.regexp_extract(lines, STATEMENT[marker], 1)
-    return F.lower(F.regexp_replace(tail, NEXT_MARKER[marker], ""))
+def statements(lines: Column, marker: str) -> Column:
+    """What a report says about one marker: its statements in order, lower-cased; none if it is not named."""
+    tails = F.regexp_extract_all(F.coalesce(lines, F.lit("")), F.lit(STATEMENT[marker]), F.lit(1))
+    return F.transform(tails, lambda t: F.lower(F.regexp_replace(t, NEXT_MARKER[marker], "")))

@@ -42,7 +42,7 @@ def coverage(entities: DataFrame, left: DataFrame, right: DataFrame, key: str,
 def only_in(right: DataFrame, left: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``right`` that ``left`` does not have. NULL keys belong to neither."""
     return right.select(key).filter(F.col(key).isNotNull()).distinct() \
-        .join(left.select(key), key, "left_anti")
+        .join(left.select(key).distinct(), key, "left_anti")
 
 
 def gap_share(classified: DataFrame, label: str) -> DataFrame:
@@ -59,7 +59,8 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None = No
     A NULL in ``other`` leaves no rows; a NULL ``key`` never qualifies; an empty ``other`` keeps all
     rows. Written this way the join shuffles both sides and needs no side to fit in memory.
     """
-    there = other.select(F.col(other_key or key).alias("_there"))
+    # Distinct first: it combines map-side, so a key with most of the rows is one row in the join.
+    there = other.select(F.col(other_key or key).alias("_there")).distinct()
     rows, known = F.count(F.lit(1)), F.count("_there")
     kind = there.agg(F.when(rows == 0, "empty").when(known < rows, "holds null").otherwise("plain")).scalar()
     unmatched = df.join(there, F.col(key) == F.col("_there"), "left_anti")

@@ -14,7 +14,7 @@ from cohortsieve.vocabulary import NEGATIVE, POSITIVE
 
 def _with_statements(df: DataFrame, text: str, markers) -> DataFrame:
     lines = df.withColumn("_said_lines", R.marker_lines(F.col(text)))
-    return lines.withColumns({f"_said_{m}": R.statement(F.col("_said_lines"), m) for m in markers})
+    return lines.withColumns({f"_said_{m}": R.statements(F.col("_said_lines"), m) for m in markers})
 
 
 def _drop_statements(df: DataFrame) -> DataFrame:

@@ -29,22 +29,25 @@ def redact(df: DataFrame, col: str) -> DataFrame:
     return df
 
 
-def _hash(df: DataFrame, col: str) -> DataFrame:
-    return df.withColumn(col, F.sha2(F.col(col).cast("string"), 256))
+def _hash(df: DataFrame, col: str, key: str | None) -> DataFrame:
+    if not key:
+        raise ValueError("hashing needs a secret key: an unkeyed hash of a small number is undone by counting")
+    inner = F.sha2(F.concat(F.lit(key + ":"), F.col(col).cast("string")), 256)
+    return df.withColumn(col, F.sha2(F.concat(F.lit(key + ":"), inner), 256))
 
 
-def _null(df: DataFrame, col: str) -> DataFrame:
+def _null(df: DataFrame, col: str, key: str | None) -> DataFrame:
     return df.withColumn(col, F.lit(None).cast(df.schema[col].dataType))
 
 
-MASKS = {"hash": _hash, "null": _null, "redact": redact}
+MASKS = {"hash": _hash, "null": _null, "redact": lambda df, col, key: redact(df, col)}
 
 
-def mask(df: DataFrame, strategies: dict[str, str], role: str) -> DataFrame:
-    """Values as a role may see them: ``hash``, ``null`` or ``redact`` (identifiers inside text)."""
+def mask(df: DataFrame, strategies: dict[str, str], role: str, key: str | None = None) -> DataFrame:
+    """Values as a role may see them: ``hash`` (keyed by ``key``), ``null`` or ``redact`` (identifiers inside text)."""
     if role not in FULL_ACCESS:
         for col, strategy in strategies.items():
-            df = MASKS[strategy](df, col)
+            df = MASKS[strategy](df, col, key)
     return df
 
 

@@ -184,9 +184,11 @@ def first_rows(df: DataFrame, among: DataFrame, key: str, order: list[str], n: i
     """
     chosen = df.select(key, *(c for c in order if c != key)) \
         .join(among.select(key).distinct(), key, "left_semi").orderBy(*order).limit(n)
-    # At most n rows.
-    return df.join(F.broadcast(chosen.distinct()), list({key: 0, **dict.fromkeys(order)}), "left_semi") \
-        .orderBy(*order).limit(n)
+    names = list({key: 0, **dict.fromkeys(order)})
+    # At most n rows. NULL order values are equal here.
+    few = chosen.distinct().withColumnsRenamed({c: f"_chosen_{c}" for c in names})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_chosen_{c}")) for c in names])
+    return df.join(F.broadcast(few), same, "left_semi").orderBy(*order).limit(n)
 
 
 def side_by_side(structured: DataFrame, notes: DataFrame, key: str, cols: list[str], text: str,

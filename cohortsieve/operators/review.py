@@ -33,16 +33,20 @@ def append_reviews(new: DataFrame, path: str) -> None:
 def effective(long: DataFrame, reviews: DataFrame) -> DataFrame:
     """Model result, human decision where there is one, and the eligibility that holds.
 
+    Only ``approved`` and ``rejected`` overrule the model; any other word leaves its result.
+
     A person's decisions, at most one per trial, are folded into a map and joined by person alone.
     The long table, much the larger one, so keeps the partitioning by person it was built with.
     """
     answer = F.struct("trial_id", F.struct("decision", "reasoning"))
-    decided = latest_by(reviews, KEYS, newest_first()).groupBy("person_id") \
+    # A decision that names no trial holds for none.
+    decided = latest_by(reviews.filter(F.col("trial_id").isNotNull()), KEYS, newest_first()).groupBy("person_id") \
         .agg(F.map_from_entries(F.collect_list(answer)).alias("_decided"))
     found = F.try_element_at("_decided", F.col("trial_id"))
     return long.join(decided, "person_id", "left").withColumn("_found", found) \
         .select(*long.columns, "_found.decision", "_found.reasoning") \
-        .withColumn("effective_eligible", F.coalesce(F.col("decision") == "approved", F.col("eligible")))
+        .withColumn("effective_eligible", F.when(F.col("decision") == "approved", True)
+                    .when(F.col("decision") == "rejected", False).otherwise(F.col("eligible")))
 
 
 def review_summary(long: DataFrame, reviews: DataFrame) -> DataFrame:

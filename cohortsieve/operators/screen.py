@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType
 
 # Trials up to this number travel inside the plan as one literal; beyond it they are joined.
 TRIALS_IN_PLAN = 64
@@ -125,9 +123,9 @@ def with_trials(patients: DataFrame, criteria: DataFrame) -> DataFrame:
     if not rows:
         return patients.join(trials, F.lit(False))
     if len(rows) <= TRIALS_IN_PLAN:
-        catalogue = json.dumps([r.asDict(recursive=True) for r in rows], default=str)
-        # The parse has only constant inputs, so it happens once, while the query is planned.
-        return patients.select("*", F.inline(F.from_json(F.lit(catalogue), ArrayType(trials.schema))))
+        # Each value as a literal of its column's type: the same value that a join would bring.
+        catalogue = F.array(*[F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in trials.schema.fields]) for r in rows])
+        return patients.select("*", F.inline(catalogue))
     return _grid_join(patients, trials, trials.count())
 
 

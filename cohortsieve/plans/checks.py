@@ -1,58 +1,20 @@
 """Independent SQL definitions of the build's frames, for checking results in another engine.
 
-Written from the meaning of each table, not from the Spark code: the two must agree.
+Written from the meaning of each table, not from the Spark code: the two must agree. What a note says about a marker follows from how the
+note was made up (``fixtures.VIEWS["note"]``), so no pattern of the rules is read here.
 """
 
 from __future__ import annotations
 
-from cohortsieve.functions import rules as R
 from cohortsieve.sources import fixtures
 
-
-def _tail(marker: str) -> str:
-    return (f"lower(regexp_replace(regexp_extract(note_text, '{R.STATEMENT[marker]}', 1), "
-            f"'{R.NEXT_MARKER[marker]}', ''))")
-
-
-def _number(col: str, pattern: str) -> str:
-    return f"try_cast(nullif(regexp_extract({col}, '{pattern}', 1), '') AS DOUBLE)"
-
-
-def _like(col: str, pattern: str) -> str:
-    return f"regexp_matches({col}, '{pattern}')"
-
-
-HER2_CAREFUL = f"""CASE
- WHEN {_like('h', R.IHC_STRONG)} THEN 'Positive'
- WHEN {_like('h', R.NOT_AMPLIFIED)} THEN 'Negative'
- WHEN {_number('h', R.FISH_RATIO)} IS NOT NULL THEN
-   CASE WHEN {_number('h', R.FISH_RATIO)} >= 2.0
-         AND ({_number('h', R.FISH_COPIES)} IS NULL OR {_number('h', R.FISH_COPIES)} >= 4.0)
-        THEN 'Positive' ELSE 'Negative' END
- WHEN {_like('h', R.EQUIVOCAL)} THEN 'Unknown'
- WHEN {_like('h', R.IHC_WEAK)} THEN 'Negative'
- WHEN {_like('h', R.AMPLIFIED)} THEN 'Positive'
- ELSE 'Unknown' END"""
-
-
-def _receptor_careful(col: str) -> str:
-    return f"""CASE
- WHEN {_like(col, R.BELOW_ONE_PERCENT)} THEN 'Negative'
- WHEN {_number(col, R.PERCENT)} IS NOT NULL
-   THEN CASE WHEN {_number(col, R.PERCENT)} >= 1.0 THEN 'Positive' ELSE 'Negative' END
- WHEN {_like(col, R.NOT_REACTIVE)} THEN 'Negative'
- WHEN {_like(col, R.REACTIVE)} THEN 'Positive'
- ELSE 'Unknown' END"""
-
-
-def _terse(col: str, first: str = "") -> str:
-    return f"""CASE {first}
- WHEN {_like(col, R.TERSE_NEGATIVE)} THEN 'Negative'
- WHEN {_like(col, R.TERSE_POSITIVE)} THEN 'Positive'
- ELSE 'Unknown' END"""
-
-
-HER2_TERSE = _terse("h", f"WHEN {_like('h', R.EQUIVOCAL)} THEN 'Unknown'")
+# Answers set by hand for the report lines of the note view.
+HER2_CAREFUL = "CASE WHEN note_id % 7 IN (0, 3) THEN 'Positive' WHEN note_id % 7 IN (1, 2, 4) THEN 'Negative' ELSE 'Unknown' END"
+HER2_TERSE = "CASE WHEN note_id % 7 = 0 THEN 'Positive' WHEN note_id % 7 IN (1, 2) THEN 'Negative' ELSE 'Unknown' END"
+ER_CAREFUL = "CASE WHEN note_id % 4 = 0 THEN 'Negative' ELSE 'Positive' END"
+ER_TERSE = "CASE WHEN note_id % 4 = 0 THEN 'Negative' WHEN note_id % 4 = 1 THEN 'Unknown' ELSE 'Positive' END"
+PR_CAREFUL = "CASE WHEN note_id % 3 = 0 THEN 'Negative' ELSE 'Positive' END"
+PR_TERSE = "CASE WHEN note_id % 3 = 0 THEN 'Negative' ELSE 'Unknown' END"
 
 # name -> (names it reads, SQL)
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -83,16 +45,12 @@ SELECT person_id, gender_source_value,
 FROM person p JOIN (
   SELECT person_id, min(condition_start_date) AS dx_date FROM condition_occurrence
   WHERE condition_source_value = 'Malignant neoplasm of breast' GROUP BY person_id) USING (person_id)"""),
-    "said": (("note",), f"""
-SELECT note_id, person_id, note_source_value, note_text,
-  {_tail('her2_status')} AS h, {_tail('er_status')} AS e, {_tail('pr_status')} AS p
-FROM note"""),
-    "read_careful": (("said",), f"""
+    "read_careful": (("note",), f"""
 SELECT note_id, person_id, note_source_value, note_text, {HER2_CAREFUL} AS her2_status,
-  {_receptor_careful('e')} AS er_status, {_receptor_careful('p')} AS pr_status FROM said"""),
-    "read_terse": (("said",), f"""
+  {ER_CAREFUL} AS er_status, {PR_CAREFUL} AS pr_status FROM note"""),
+    "read_terse": (("note",), f"""
 SELECT note_id, person_id, note_source_value, note_text, {HER2_TERSE} AS her2_status,
-  {_terse('e')} AS er_status, {_terse('p')} AS pr_status FROM said"""),
+  {ER_TERSE} AS er_status, {PR_TERSE} AS pr_status FROM note"""),
     "extracted": (("read_careful",), """
 SELECT person_id, note_id, her2_status, er_status, pr_status, 'nlp' AS biomarker_source
 FROM read_careful WHERE note_source_value = 'PATHOLOGY_REPORT'
@@ -158,14 +116,14 @@ SELECT g.person_id, t.note_text, g.her2_status AS gold_her2, g.er_status AS gold
 FROM profile g JOIN (SELECT person_id, max(note_text) AS note_text FROM note
   WHERE note_source_value = 'PATHOLOGY_REPORT' GROUP BY person_id) t ON t.person_id = g.person_id
 WHERE NOT (g.her2_status IS NULL AND g.er_status IS NULL AND g.pr_status IS NULL)"""),
-    "gold_said": (("goldset",), f"""
-SELECT *, {_tail('her2_status')} AS h, {_tail('er_status')} AS e, {_tail('pr_status')} AS p FROM goldset"""),
-    "preds": (("gold_said",), f"""
+    # A person has one report, of the same number.
+    "numbered_gold": (("goldset",), "SELECT *, person_id AS note_id FROM goldset"),
+    "preds": (("numbered_gold",), f"""
 SELECT person_id, note_text, gold_her2, gold_er, gold_pr, 'careful' AS config, {HER2_CAREFUL} AS pred_her2,
-  {_receptor_careful('e')} AS pred_er, {_receptor_careful('p')} AS pred_pr FROM gold_said
+  {ER_CAREFUL} AS pred_er, {PR_CAREFUL} AS pred_pr FROM numbered_gold
 UNION ALL
-SELECT person_id, note_text, gold_her2, gold_er, gold_pr, 'terse', {HER2_TERSE}, {_terse('e')}, {_terse('p')}
-FROM gold_said"""),
+SELECT person_id, note_text, gold_her2, gold_er, gold_pr, 'terse', {HER2_TERSE}, {ER_TERSE}, {PR_TERSE}
+FROM numbered_gold"""),
     "pairs": (("preds",), """
 SELECT person_id, note_text, config, 'HER2' AS marker, gold_her2 AS actual, pred_her2 AS predicted FROM preds
 UNION ALL SELECT person_id, note_text, config, 'ER', gold_er, pred_er FROM preds

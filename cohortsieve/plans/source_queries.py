@@ -302,7 +302,7 @@ def _(d: Data):
 
 
 @query("c2_mask", """
-SELECT sha256(CAST(person_id AS VARCHAR)) AS person_key, note_id, CAST(NULL AS VARCHAR) AS note_source_value,
+SELECT sha256('example-key:' || sha256('example-key:' || CAST(person_id AS VARCHAR))) AS person_key, note_id, CAST(NULL AS VARCHAR) AS note_source_value,
   regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(note_text,
     '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '[email]', 'g'),
     '\\b[0-9]{3}[-. ][0-9]{3}[-. ][0-9]{4}\\b', '[phone]', 'g'),
@@ -312,10 +312,4 @@ SELECT sha256(CAST(person_id AS VARCHAR)) AS person_key, note_id, CAST(NULL AS V
 FROM note""", "note")
 def _(d: Data):
     return govern.mask(d.table("note"), {"person_id": "hash", "note_source_value": "null", "note_text": "redact"},
-                       "analyst").withColumnRenamed("person_id", "person_key")
-
-
-@query("c3_lineage")
-def _(d: Data):
-    """Declared edges between results, and the files the flagship is read from."""
-    return govern.lineage(d.spark).unionByName(govern.file_lineage(d.prescreen, "gold_trial_prescreen"))
+                       "analyst", key="example-key").withColumnRenamed("person_id", "person_key")

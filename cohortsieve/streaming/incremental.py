@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from cohortsieve import vocabulary as v
 from cohortsieve.functions import rules as R
@@ -32,48 +33,56 @@ def stream_extract(notes: DataFrame, out: str, checkpoint: str, rules: R.RuleSet
 class ExtractionTable:
     """An incrementally kept extraction table that can be rebuilt from scratch.
 
-    Rows live in generations below ``root``. A full refresh starts a new generation with a checkpoint
-    of its own, so nothing of the earlier state is reused, and readers of the earlier one are not
-    disturbed while it fills.
+    Rows live in generations below ``root``. Each attempt at a full refresh has rows and a checkpoint of its own, so a refresh
+    that died leaves nothing to a later one, and readers of the earlier generation are not disturbed while it fills. The ledger names the rule set of
+    each finished generation.
     """
 
+    LEDGER = "generation int, attempt string, rules string, finished_at timestamp"
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def _ledger(self) -> str:
         return f"{self.root}/generations"
 
+    def _finished(self) -> Row | None:
+        """The ledger row of the generation readers see."""
+        try:
+            ledger = self.spark.read.schema(self.LEDGER).parquet(self._ledger())
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return ledger.orderBy(F.desc("generation"), F.desc("finished_at")).first()
+
     def generation(self) -> int:
         """The finished generation readers see, or -1."""
-        try:
-            newest = self.spark.read.schema("generation int, finished_at timestamp") \
-                .parquet(self._ledger()).agg(F.max("generation")).first()[0]
-        except AnalysisException:
-            return -1
-        return -1 if newest is None else newest
+        row = self._finished()
+        return -1 if row is None else row["generation"]
 
-    def _fill(self, generation: int, notes: DataFrame, rules: R.RuleSet) -> None:
-        stream_extract(notes, f"{self.root}/rows/generation={generation}",
-                       f"{self.root}/state/{generation}", rules)
+    def _fill(self, attempt: str, notes: DataFrame, rules: R.RuleSet) -> None:
+        stream_extract(notes, f"{self.root}/rows/{attempt}", f"{self.root}/state/{attempt}", rules)
 
     def update(self, notes: DataFrame, rules: R.RuleSet = R.CAREFUL) -> int:
         """Add new notes to the current generation, starting the first one if needed."""
-        current = self.generation()
-        if current < 0:
+        current = self._finished()
+        if current is None:
             return self.full_refresh(notes, rules)
-        self._fill(current, notes, rules)
-        return current
+        if current["rules"] != rules.name:
+            raise ValueError(f"generation {current['generation']} was read by {current['rules']!r}; refresh it to read by {rules.name!r}")
+        self._fill(current["attempt"], notes, rules)
+        return current["generation"]
 
     def full_refresh(self, notes: DataFrame, rules: R.RuleSet = R.CAREFUL) -> int:
-        fresh = self.generation() + 1
-        self._fill(fresh, notes, rules)
-        self.spark.createDataFrame([(fresh, datetime.now(timezone.utc))],
-                                   "generation int, finished_at timestamp") \
+        fresh, attempt = self.generation() + 1, uuid.uuid4().hex
+        self._fill(attempt, notes, rules)
+        self.spark.createDataFrame([(fresh, attempt, rules.name, datetime.now(timezone.utc))], self.LEDGER) \
             .coalesce(1).write.mode("append").parquet(self._ledger())
         return fresh
 
     def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/rows/generation={self.generation()}")
+        return self.spark.read.parquet(f"{self.root}/rows/{self._finished()['attempt']}")
 
 
 def stream_reviews(events: DataFrame, out: str, checkpoint: str) -> None:

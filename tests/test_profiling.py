@@ -59,7 +59,7 @@ def test_identifiers_and_masks(spark):
     assert as_dict(shown, "id", "t") == {1: "write to [email] or call [phone]", 2: "[record_number] seen [date]",
                                          3: "[ssn]", 4: "nothing"}
     assert govern.mask(notes, {"t": "null"}, "analyst").filter("t is null").count() == 4
-    assert len(govern.mask(notes, {"id": "hash"}, "analyst").first()["id"]) == 64
+    assert len(govern.mask(notes, {"id": "hash"}, "analyst", "k").first()["id"]) == 64
     assert rows(govern.mask(notes, {"t": "null"}, "admin"), "id") == rows(notes, "id")
 
 
@@ -87,3 +87,14 @@ def test_features(spark):
     assert rows(features.histogram(ages, "x", 10), "bin_start") == [(-10, 1), (0, 1), (10, 2)]
     profile = spark.createDataFrame([("P", None)], "a string, b string")
     assert rows(features.status_matrix(profile, {"a": "A", "b": "B"}), "marker") == [("A", "P", 1), ("B", "(missing)", 1)]
+
+
+def test_first_rows_keep_null_order_values(spark):
+    notes = spark.createDataFrame([(1, None, "a"), (2, 5, "b"), (3, 6, "c")], "id int, n int, t string")
+    among = spark.createDataFrame([(1,), (2,)], "id int")
+    assert sorted(r["t"] for r in P.first_rows(notes, among, "id", ["n"], 5).collect()) == ["a", "b"]
+
+
+def test_hash_needs_a_key(spark):
+    with pytest.raises(ValueError):
+        govern.mask(spark.createDataFrame([(1,)], "id int"), {"id": "hash"}, "analyst")

@@ -125,3 +125,15 @@ def test_missing_therapy_means_none(spark):
     therapy = spark.createDataFrame([], "person_id bigint, had_anti_her2_therapy boolean, had_endocrine_therapy boolean")
     got = screen.patient_frame(profile, demo, therapy).collect()
     assert [(r["person_id"], r["prior_anti_her2"]) for r in got] == [(1, False)]
+
+
+def test_trial_values_do_not_depend_on_their_number(spark):
+    import datetime as dt
+
+    at = dt.datetime(2026, 1, 1, 0, 0, 0, 123456)
+    people = spark.createDataFrame([(1,)], "person_id bigint")
+    for n in (3, screen.TRIALS_IN_PLAN + 6):
+        trials = spark.createDataFrame([(f"T{i}", "on", at, [1.5, None], None) for i in range(n)],
+                                       "trial_id string, status string, opened timestamp, doses array<double>, note string")
+        got = screen.with_trials(people, trials).select("opened", "doses", "note").distinct().collect()
+        assert [tuple(r) for r in got] == [(at, [1.5, None], None)]

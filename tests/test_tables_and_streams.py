@@ -121,13 +121,35 @@ def test_only_new_notes_are_read_and_a_refresh_starts_over(spark, tmp_path):
     assert table.update(notes(), R.TERSE) == 0
     assert as_dict(table.read(), "note_id", "her2_status") == {1: "Unknown"}
     add_notes(spark, folder, (2, "HER2: 3+"))
-    assert table.update(notes(), R.CAREFUL) == 0
-    assert as_dict(table.read(), "note_id", "her2_status") == {1: "Unknown", 2: "Positive"}
-    assert table.update(notes(), R.CAREFUL) == 0 and table.read().count() == 2
+    with pytest.raises(ValueError, match="terse"):
+        table.update(notes(), R.CAREFUL)
+    assert table.update(notes(), R.TERSE) == 0 and table.read().count() == 2
+    assert table.update(notes(), R.TERSE) == 0 and table.read().count() == 2
     assert table.full_refresh(notes(), R.CAREFUL) == 1
     assert as_dict(table.read(), "note_id", "her2_status") == {1: "Positive", 2: "Positive"}
 
 
+def test_a_refresh_that_died_leaves_nothing(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "notes")
+    table = incremental.ExtractionTable(spark, str(tmp_path / "table"))
+    add_notes(spark, folder, (1, "HER2: 2+ (equivocal by IHC). FISH: ratio 2.2, copy number 4.4"))
+    notes = lambda: spark.readStream.schema(NOTE).parquet(folder)
+    with monkeypatch.context() as m:
+        m.setattr(spark, "createDataFrame", lambda *a, **k: 1 / 0)  # dies before the ledger row
+        with pytest.raises(ZeroDivisionError):
+            table.full_refresh(notes(), R.TERSE)
+    assert table.generation() == -1
+    assert table.full_refresh(notes(), R.CAREFUL) == 0
+    assert as_dict(table.read(), "note_id", "her2_status") == {1: "Positive"}
+
+
+def test_undecided_reviews_and_reviews_without_a_trial(spark):
+    long = spark.createDataFrame([(1, "A", True), (2, "A", False), (3, "A", True)], "person_id bigint, trial_id string, eligible boolean")
+    log = spark.createDataFrame([(1, 1, "A", "pending", "", at(1)), (2, 2, None, "approved", "", at(1)), (3, 3, "A", "rejected", "", at(1))], REVIEW)
+    got = review.effective(long, log)
+    assert as_dict(got, "person_id", "effective_eligible") == {1: True, 2: False, 3: False}
+
+
 def test_review_stream_keeps_the_latest_over_batches(spark, tmp_path):
     folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     for row in [(1, 7, "A", "approved", "", at(2)), (2, 7, "A", "rejected", "", at(1))]:
