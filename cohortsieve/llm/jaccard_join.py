@@ -32,7 +32,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
-from cohortsieve.llm.texts import ascii_lower, table, text_of, words_of
+from cohortsieve.llm.texts import LOWER, UPPER, ascii_lower, table, text_of, words_of
 from cohortsieve.session import cut_lineage, release
 
 GRAM, PERCENT = 4, 85
@@ -300,6 +300,21 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-@query("op8_jaccard_join")
+SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + {GRAM - 1}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {GRAM - 2}, 2))) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM o JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * o >= {PERCENT} * (a.n + b.n - o)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r AS (SELECT doc_id, doc_id AS root FROM w UNION SELECT e.y, root FROM r JOIN e ON r.doc_id = e.x AND root < e.y)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM (SELECT doc_id, min(root) AS component_id FROM r GROUP BY doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op8_jaccard_join", SQL)
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return with_components(table(spark, folder, "documents"))
