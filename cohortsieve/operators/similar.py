@@ -55,6 +55,16 @@ def similar_to(df: DataFrame, id_col: str, vec_col: str, query_id, k: int = 3) -
         .orderBy(F.desc("similarity"), id_col).limit(k)
 
 
+def comparable(vec: Column) -> Column:
+    """Whether a vector can be compared: it is not NULL and every element is a finite number."""
+    return F.coalesce(F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x) < float("inf"))), F.lit(False))
+
+
+def incomparable(df: DataFrame, vec_col: str) -> DataFrame:
+    """The rows that ``similar_all`` sets aside, to be reported beside its result."""
+    return df.filter(~comparable(F.col(vec_col)))
+
+
 def similar_all(df: DataFrame, id_col: str, vec_col: str, k: int = 5) -> DataFrame:
     """For every row its ``k`` most similar others: (id, neighbour_id, similarity, rank). Exact.
 
@@ -62,9 +72,10 @@ def similar_all(df: DataFrame, id_col: str, vec_col: str, k: int = 5) -> DataFra
     of pivots, and cells into blocks of bounded size. A first look inside a vector's own block gives a
     similarity its neighbours must reach; only cells that can hold something as similar are searched
     then, block against block, and each meeting hands on no more than ``k + 1`` rows per vector. No
-    candidate that could count is ever left out.
+    candidate that could count is ever left out. Rows whose vector is NULL or holds NULL, NaN or an infinity
+    neither ask nor answer; ``incomparable`` lists them.
     """
-    vectors = df.filter(F.col(vec_col).isNotNull()) \
+    vectors = df.filter(comparable(F.col(vec_col))) \
         .select(F.col(id_col).alias("id"), unit(F.col(vec_col)).alias("unit"))
     distinct = cut_lineage(_distinct_vectors(vectors, k + 1), "distinct")
     # One row: how many distinct vectors there are, their dimension, and how many have many copies.

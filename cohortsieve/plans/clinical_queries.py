@@ -512,7 +512,8 @@ def letter_counts(texts: pd.Series) -> pd.Series:
 SELECT note_id, 8 AS dim, CAST(length(note_text) - length(replace(note_text, 'e', '')) AS DOUBLE) AS first_value
 FROM note WHERE note_source_value = 'PATHOLOGY_REPORT'""", "note")
 def _(d: Data):
-    return similar.embed_with(d.reports.select("note_id", "note_text"), "note_text", letter_counts) \
+    return similar.embed_with(d.reports.select("note_id", "note_text"), "note_text", letter_counts,
+                              partitions=d.spark.sparkContext.defaultParallelism) \
         .select("note_id", F.size("embedding").alias("dim"),
                 F.col("embedding")[0].cast("double").alias("first_value"))
 
@@ -661,5 +662,6 @@ def count_strong(texts: pd.Series) -> pd.Series:
 SELECT note_id, CAST(len(regexp_extract_all(note_text, '3\\+|amplified')) AS INT) AS strong_mentions,
   CAST(length(note_text) AS INT) AS length FROM note""", "note")
 def _(d: Data):
-    return X.extract_with(d.table("note"), "note_text", count_strong, "strong_mentions int, length int") \
+    return X.extract_with(d.table("note"), "note_text", count_strong, "strong_mentions int, length int",
+                          partitions=d.spark.sparkContext.defaultParallelism) \
         .select("note_id", "strong_mentions", "length")

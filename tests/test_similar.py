@@ -94,3 +94,13 @@ def test_ranks_across_partitions(spark):
     for g in ("big", "small"):
         ordered = sorted((-r["s"], r["id"], r["r"]) for r in got if r["g"] == g)
         assert [x[2] for x in ordered] == list(range(1, len(ordered) + 1))
+
+
+def test_vectors_that_cannot_be_compared_take_no_place(spark):
+    rng = np.random.default_rng(3)
+    points = {i: rng.normal(size=4) for i in range(12)}
+    odd = [(90, [float("nan"), 1.0, 2.0, 3.0]), (91, None), (92, [1.0, None, 0.0, 0.0]), (93, [float("inf"), 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in points.items()] + odd, SCHEMA)
+    got = sorted((r[0], r[1], r[2] + 0.0, r[3]) for r in similar.similar_all(df, "id", "e", 3).collect())
+    assert got == brute(points, 3)
+    assert sorted(r["id"] for r in similar.incomparable(df, "e").collect()) == [90, 91, 92, 93]
