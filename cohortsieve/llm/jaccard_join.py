@@ -80,26 +80,23 @@ def partners(n: int, percent: int) -> range:
     return range(-(-percent * n // 100), 100 * n // percent + 1)
 
 
-def subset_counts(n: int, light: int, percent: int) -> int:
-    """How many subsets a light set of n enumerates."""
-    sizes = {(needed(n, m, percent), min(n, m), max(n, m)) for m in partners(n, percent) if m <= light}
-    return sum(comb(n, c) for c, _, _ in sizes if c <= n and not (c == n and n == _same(n, c, sizes)))
+def _overlaps(n: int, light: int, percent: int) -> list[tuple[int, int]]:
+    """(partner's size, overlap) for which a light set of n enumerates subsets; equal sets are one node already."""
+    found = [(m, needed(n, m, percent)) for m in partners(n, percent) if m <= light]
+    return [(m, c) for m, c in found if c <= min(n, m) and not m == n == c]
 
 
-def _same(n: int, c: int, sizes: set) -> int:
-    """n if the only partners that need all n are of size n: equal sets are one node already."""
-    return n if all(x != c or (a, b) == (n, n) for x, a, b in sizes) else -1
+def subset_counts(n: int, light: int, percent: int) -> int:
+    """How many subsets a light set of n enumerates."""
+    return sum(comb(n, c) for _, c in _overlaps(n, light, percent))
 
 
 def subsets(s: np.ndarray, light: int, percent: int) -> np.ndarray:
     """Keys of all subsets that a linked light set must share, per size of the partner."""
     n, out = len(s), []
-    for m in partners(n, percent):
-        c = needed(n, m, percent)
-        if m > light or c > min(n, m) or (m == n and c == n):
-            continue
+    for m, c in _overlaps(n, light, percent):
         rows = np.array(list(combinations(range(n), c)))
-        tag = np.full(len(rows), _P * np.uint64(min(n, m) * 64 + max(n, m)))
+        tag = np.full(len(rows), min(n, m) * 64 + max(n, m), np.uint64) * _P
         out.append(_fold([tag, *(s[rows[:, i]] for i in range(c))]))
     return np.concatenate(out) if out else s[:0]
 

@@ -92,5 +92,5 @@ def test_linked_light_sets_share_a_subset():
 
 def test_boundary_follows_cost():
     assert 0 <= J.boundary({}, 85) <= J.MOST_LIGHT
-    assert J.boundary({6: 1000, 7: 1000}, 85) >= 7
+    assert J.boundary({3: 1000, 4: 1000}, 85) >= 4
     assert J.boundary({24: 1000}, 85) < 24
