@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
 from cohortsieve.llm.texts import LOWER, UPPER, ascii_lower, table, text_of, words_of
-from cohortsieve.session import cut_lineage, release
+from cohortsieve.session import cut_lineage, free_shuffles, release
 
 GRAM, PERCENT = 4, 85
 FREQUENT, LONG_LIST = 1 << 17, 40
 MOST_LIGHT = 24
 BUCKETS = 64
+#: Large sets (and those that may link with one) have a finer histogram as well.
+FINE, FINE_FROM = 512, 1000
 BITS = 1 << 22
 _P = np.uint64(0x9E3779B97F4A7C15)
 
@@ -114,7 +116,7 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
     return min(range(MOST_LIGHT + 1), key=lambda x: (cost(x), x))
 
 
-NODE = "doc_id long, n int, k long, coarse long, hist array<smallint>, keys array<bigint>"
+NODE = "doc_id long, n int, k long, coarse long, hist array<smallint>, fine array<smallint>, keys array<bigint>"
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -167,12 +169,14 @@ def sketches(docs: DataFrame, light: int, frequent: np.ndarray, percent: int, gr
                 b = whole.slice(at, 500)
                 sets = _sets(b, gram)
                 hist = [np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BUCKETS), 32767).astype(np.int16) for s in sets]
+                fine = [np.minimum(np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=FINE), 32767).astype(np.int16)
+                        if 100 * len(s) >= percent * FINE_FROM else np.zeros(0, np.int16) for s in sets]
                 coarse = [int((np.minimum(h.reshape(8, -1).sum(1, dtype=np.int64), 127) << (8 * np.arange(8))).sum()) for h in hist]
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array([node_key(s) for s in sets], pa.int64()),
-                    pa.array(coarse, pa.int64()), _list(list(hist), pa.int16()),
+                    pa.array(coarse, pa.int64()), _list(list(hist), pa.int16()), _list(fine, pa.int16()),
                     _list([keys(s, often).view(np.int64) for s in sets], pa.int64())],
-                    ["doc_id", "n", "k", "coarse", "hist", "keys"])
+                    ["doc_id", "n", "k", "coarse", "hist", "fine", "keys"])
 
     return _hashed(docs).mapInArrow(per_batch, NODE)
 
@@ -202,11 +206,16 @@ def _coarse(a: str, b: str, percent: int):
 
 def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int, gram: int) -> DataFrame:
     """The pairs (a, b) of nodes that link: histogram bound first, then the whole sets."""
-    side = lambda x: nodes.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("hist").alias(f"h{x}"), F.col("rep").alias(f"r{x}"))
+    side = lambda x: nodes.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("hist").alias(f"h{x}"), F.col("fine").alias(f"f{x}"), F.col("rep").alias(f"r{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    apart = F.aggregate(F.zip_with("ha", "hb", lambda x, y: F.abs(x - y).cast("int")), F.lit(0), lambda x, y: x + y)
-    likely = both.filter(apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b", "ra", "rb")
+    def bound(x: str, y: str):
+        apart = F.aggregate(F.zip_with(x, y, lambda p, q: F.abs(p - q).cast("int")), F.lit(0), lambda p, q: p + q)
+        return apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
+
+    fine = F.when((F.size("fa") > 0) & (F.size("fb") > 0), bound("fa", "fb")).otherwise(True)
+    likely = both.filter(_fits("na", "nb", percent)).filter(bound("ha", "hb")).filter(fine).select("a", "b", "ra", "rb")
     likely = cut_lineage(likely, "set-pairs")
+    free_shuffles(docs.sparkSession)
     wanted = likely.select(F.explode(F.array(F.struct(F.col("a").alias("k"), F.col("ra").alias("doc_id")),
                                              F.struct(F.col("b").alias("k"), F.col("rb").alias("doc_id")))).alias("x")).select("x.*").distinct()
     words = [0] * (BITS // 32)
@@ -256,29 +265,35 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
     often = (plain.select(F.explode("keys").alias("e")).groupBy("e").agg(F.count("*").alias("c"))
              .filter(F.col("c") > LONG_LIST).orderBy(F.desc("c"), "e").limit(FREQUENT).select("e").collect())
     release(plain)
+    free_shuffles(docs.sparkSession)
     frequent = np.sort(np.array([r["e"] for r in often], np.int64).view(np.uint64))
 
-    table_ = cut_lineage(sketches(docs, light, frequent, percent, gram), "sketches")
+    heavy = cut_lineage(sketches(docs, light, frequent, percent, gram), "sketches")
+    table_ = cut_lineage(heavy.select("doc_id", "n", "k"), "sizes")
     linkable = table_.filter("n > 0 and doc_id is not null")
     reps = linkable.groupBy("k").agg(F.min("doc_id").alias("rep"))
     of_doc = linkable.groupBy("doc_id").agg(F.min("k").alias("a"), F.max("k").alias("last")).filter("a < last").select("doc_id", "a")
     same_doc = linkable.select("doc_id", F.col("k").alias("b")).join(of_doc, "doc_id").select("a", "b")
-    nodes = cut_lineage(linkable.join(reps.select("k", F.col("rep").alias("doc_id")), ["k", "doc_id"], "left_semi")
-                        .dropDuplicates(["k"]).withColumnRenamed("doc_id", "rep"), "nodes")
-    entries = nodes.select(F.explode("keys").alias("e"), "k", "n")
-    lists = entries.groupBy("e").agg(F.min("k").alias("a"), F.min_by("n", "k").alias("na"), F.max("k").alias("last")).filter("a < last").drop("last")
-    members = cut_lineage(entries.withColumnsRenamed({"k": "b", "n": "nb"}).join(lists, "e"), "lists")
+    nodes = cut_lineage(heavy.filter("n > 0 and doc_id is not null").join(reps.select("k", F.col("rep").alias("doc_id")), ["k", "doc_id"], "left_semi")
+                        .dropDuplicates(["k", "doc_id"]).withColumnRenamed("doc_id", "rep"), "nodes")
+    release(heavy)
+    free_shuffles(docs.sparkSession)
+    entries = nodes.select(F.explode("keys").alias("e"), "k")
+    lists = entries.groupBy("e").agg(F.min("k").alias("a"), F.max("k").alias("last")).filter("a < last").drop("last")
+    members = cut_lineage(entries.withColumnRenamed("k", "b").join(lists, "e"), "lists")
+    free_shuffles(docs.sparkSession)
     # First round: each node meets the least member of its lists that it shares most lists with.
-    first = (members.filter((F.col("a") != F.col("b")) & _fits("na", "nb", percent)).groupBy("a", "b").agg(F.count("*").alias("c"))
+    first = (members.filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("c"))
              .groupBy("b").agg(F.max_by("a", "c").alias("a")))
     links = cut_lineage(verified(named, first, nodes, percent, gram).unionAll(same_doc), "links")
     comps = components(links)
 
     # Second round: members of one list that are in different components so far.
-    placed = (members.select("e", F.col("b").alias("k"), F.col("nb").alias("n"))
+    placed = (members.select("e", F.col("b").alias("k"))
               .join(comps, "k", "left").withColumn("root", F.coalesce("root", "k")))
     open_ = placed.groupBy("e").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("e")
-    mixed = cut_lineage(placed.join(open_, "e", "left_semi").join(nodes.select("k", "coarse"), "k"), "open-lists")
+    mixed = cut_lineage(placed.join(open_, "e", "left_semi").join(nodes.select("k", "n", "coarse"), "k"), "open-lists")
+    free_shuffles(docs.sparkSession)
     left = mixed.select("e", F.col("k").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("ca"), F.col("root").alias("xa"))
     right = mixed.select("e", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("cb"), F.col("root").alias("xb"))
     met = left.join(right, (left["e"] == right["e"]) & (F.col("xa") != F.col("xb")) & (F.col("a") < F.col("b"))
