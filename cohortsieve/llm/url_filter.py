@@ -15,7 +15,7 @@ skew join splits. Rules are part of the plan, at most ``MAX_RULES``. Html is nev
 
 Defined cases: a NULL url, or one without ``://``, has an empty host and path, no rule and the verdict of the corpus
 prior. Repeated rows are judged alike, label rows with NULL are left out, a doc_id with contradicting labels is bad.
-Without labels every prior is even and nothing is blocked. Further columns are not read.
+The corpus itself starts from one bad page in ten, so without labels nothing is blocked. Further columns are not read.
 """
 
 from __future__ import annotations
@@ -104,7 +104,7 @@ def reputation(urls: DataFrame, labels: DataFrame) -> DataFrame:
     """(host, n_labelled, n_bad, mean, bound) of every host of ``urls``."""
     counted = with_domains(cut_lineage(outcomes(urls, labels), "host-outcomes"))
     whole = counted.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    means, prior = {}, F.lit(((whole["bad"] or 0) + 1) / ((whole["n"] or 0) + 2))
+    means, prior = {}, F.lit(((whole["bad"] or 0) + 1) / ((whole["n"] or 0) + 10))
     hosts = with_domains(urls.select("host").distinct())
     strength = 0.0
     for level in LEVELS:
@@ -155,7 +155,7 @@ d AS (SELECT host, CASE WHEN regexp_matches(bare, '^[0-9.]*$') OR regexp_extract
   THEN bare ELSE regexp_extract(bare, '([^.]+\.(?:(?:{_SECOND})\.[a-z][a-z]|[^.]+))$', 1) END AS domain FROM b),
 h AS (SELECT host, domain, CASE WHEN regexp_matches(domain, '^[0-9.]*$') THEN '' ELSE regexp_extract(domain, '^[^.]*\.(.*)$', 1) END AS suffix FROM d),
 c AS (SELECT h.*, n, bad FROM h JOIN o USING (host)),
-root AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) AS m FROM c),
+root AS (SELECT (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 10) AS m FROM c),
 s1 AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad, any_value(m) AS m FROM c, root GROUP BY suffix),
 {_strength_sql("sk", "s1")},
 sm AS (SELECT suffix, (k * m + bad) / (k + n) AS suffix_mean FROM s1, sk),

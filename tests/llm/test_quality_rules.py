@@ -46,8 +46,8 @@ def test_base_counts(documents):
 
 
 def test_query_against_brute_force(spark, folder):
-    good = [(i, " ".join(f"plain{(i * j) % 37}" for j in range(60))) for i in range(1, 41)]
-    junk = [(100 + i, " ".join(f"JUNK{(i + j * j) % 31}!!" for j in range(60))) for i in range(20)]
+    good = [(i, " ".join(f"plain{(i * j) % 61}" for j in range(60))) for i in range(1, 41)]
+    junk = [(100 + i, " ".join(f"JUNK{(i * j) % 61}!!" for j in range(60))) for i in range(1, 21)]
     rows = good + junk + [(200, "short"), (201, None)]
     path = folder(documents=[(i, t, "en", "s", 0) for i, t in rows],
                   labels=[(i, 1, 0) for i, _ in good[:30]] + [(i, 0, 0) for i, _ in junk[:12]] + [(None, 1, 0), (5, None, 0)])

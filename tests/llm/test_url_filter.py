@@ -18,7 +18,7 @@ def test_queries_against_sql(spark, name):
 def test_rules_and_parts(spark, folder):
     urls = ["http://A.Example.com/en/1?x#y", "https://www.example.com/en/2", "http://m.www.example.com/fr/3", "ftp://x.net/es/", "http://x.net/fr",
             "nonsense", None, "http://com/", "http://x.com", "http://y.org#/en/", "a://b://c/d", "http://host.net/fr/\n1", "http://x.net/fr/1", "http://x.net/fr/1"]
-    path = folder(pages=[(i, u, "") for i, u in enumerate(urls)], labels=[(1, 0, 0), (None, 0, 0), (2, None, 0)])
+    path = folder(pages=[(i, u, "") for i, u in enumerate(urls)], labels=[(1, 1, 0), (None, 0, 0), (2, None, 0)])
     got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in QUERIES["op4_url_filter"](spark, path).collect()}
     assert got == {
         0: ("a.example.com", "/en/1", "example.com/en/", "block"), 1: ("www.example.com", "/en/2", "www.example.com/en/", "allow"),

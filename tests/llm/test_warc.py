@@ -66,7 +66,7 @@ def test_validation():
     assert W.parse(W.record(1, "u", b"abc", "0" * 64, None)).error == "payload digest"
     for bad, why in ((good.replace(b"WARC/1.1", b"WORC/1.1"), "WARC header"), (good[:-1], "Content-Length"), (good + b"x", "Content-Length"),
                      (good.replace(b"abc", b"abd"), "block digest"), (good.replace(b"WARC-Type: response", b"WARC-Type: other"), "record type"),
-                     (good.replace(b"WARC-Date: ", b"nonsense"), "header line"), (b"", "WARC header")):
+                     (good.replace(b"WARC-Date: 1970-01-01T00:00:00Z", b"nonsense"), "header line"), (b"", "WARC header")):
         assert why in W.parse(bad).error
     revisit = W.record(2, None, b"abc", "d", 1)
     assert (W.parse(revisit).refers_to, W.parse(revisit).error) == (1, None)
