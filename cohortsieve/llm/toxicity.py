@@ -30,9 +30,9 @@ from cohortsieve.llm.registry import query
 from cohortsieve.llm.texts import table, text_of
 
 FOLDS = 5
-FIT_DOCS = 3000
+FIT_DOCS = 1500
 DECAY, SPAN, FLOOR = 0.7, 5, 0.3
-TOXIC_LANDMARKS, CLEAN_LANDMARKS, GROUPS = 96, 48, 16
+TOXIC_LANDMARKS, CLEAN_LANDMARKS, GROUPS = 96, 96, 16
 ROUNDS, RIDGE, STRONG = 3, 1e-6, 3.0
 WORD, MEMO = 32, 600_000
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n+")
@@ -161,15 +161,17 @@ class ToxicModel:
 
 def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise ridge and weighted squared hinge, by Newton steps."""
-    rows = np.concatenate((x, np.ones((len(x), 1))), 1).astype(np.float64)
-    v = np.zeros(rows.shape[1])
+    v = np.zeros(x.shape[1] + 1)
     ridge = RIDGE * c.sum() * np.append(np.ones(x.shape[1]), 1e-6)
     for _ in range(30):
-        margin = 1 - y * (rows @ v)
-        on = margin > 0
-        a, cw = rows[on], c[on]
-        gradient = ridge * v - 2 * (a.T @ (cw * y[on] * margin[on]))
-        hessian = np.diag(ridge) + 2 * (a.T * cw) @ a + 1e-9 * np.eye(len(v))
+        gradient, hessian = ridge * v, np.diag(ridge) + 1e-9 * np.eye(len(v))
+        for at in range(0, len(x), 4096):
+            rows = np.concatenate((x[at:at + 4096], np.ones((len(x[at:at + 4096]), 1))), 1).astype(np.float64)
+            margin = 1 - y[at:at + 4096] * (rows @ v)
+            on = margin > 0
+            a, cw = rows[on], c[at:at + 4096][on]
+            gradient = gradient - 2 * (a.T @ (cw * y[at:at + 4096][on] * margin[on]))
+            hessian = hessian + 2 * (a.T * cw) @ a
         step = np.linalg.solve(hessian, gradient)
         v = v - step
         if np.abs(step).max() < 1e-6:
@@ -200,7 +202,8 @@ def train(texts: list[str], toxic: list[int]) -> ToxicModel | None:
     y = np.array(toxic)
     if not len(y) or y.min() == y.max():
         return None
-    docs = [[[p for raw in s for p in stretches(raw)] for s in sentences(t)] for t in texts]
+    one: dict[str, str] = {}  # equal words share one object
+    docs = [[[one.setdefault(p, p) for raw in s for p in stretches(raw)] for s in sentences(t)] for t in texts]
     df = {0: Counter(), 1: Counter()}
     for d, label in zip(docs, y.tolist()):
         df[label].update({w for s in d for w in s if len(w) > 2})
@@ -211,30 +214,37 @@ def train(texts: list[str], toxic: list[int]) -> ToxicModel | None:
     if not marked:
         return None
     clean = sorted((w for w in df[0] if w not in df[1] or odds.get(w, 1) < 0), key=lambda w: (-df[0][w], w))[:60_000]
-    near = Kernel(marked)(clean).max(1)
-    landmarks = marked + [clean[i] for i in np.argsort(-near, kind="stable")[:CLEAN_LANDMARKS] if near[i] > 0]
+    near = Kernel(marked)(clean)
+    # The clean words nearest to each marked word in turn, so that every family has its counterweight.
+    ranked = np.argsort(-near, axis=0, kind="stable")[:8]
+    nearest = dict.fromkeys(i for row in ranked.tolist() for m, i in enumerate(row) if near[i, m] > 0)
+    landmarks = marked + [clean[i] for i in list(nearest)[:CLEAN_LANDMARKS]]
     kernel = Kernel(landmarks)
-    words = sorted({w for d in docs for s in d for w in s})
-    at = {w: i for i, w in enumerate(words)}
-    k = kernel(words)
-    useful = k.any(1)
+    # Of all words only those near a landmark matter; the others are never held as rows.
+    words, at, found = sorted(one), {}, []
+    for a in range(0, len(words), 20_000):
+        block = kernel(words[a:a + 20_000])
+        near_one = np.flatnonzero(block.any(1))
+        at |= {words[a + i]: len(at) + n for n, i in enumerate(near_one.tolist())}
+        found.append(block[near_one])
+    k = np.concatenate(found) if found else np.zeros((0, len(landmarks)), np.float32)
     # Nystroem: landmarks' own kernel, with eigenvalues that the floor made negative or tiny left out.
     value, vector = np.linalg.eigh((lambda a: (a + a.T) / 2)(kernel(landmarks).astype(np.float64)))
     keep = value > 1e-3 * value.max()
-    to = vector[:, keep] / np.sqrt(value[keep])
+    to = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)
     # What a marked word adds when a letter is put in, so that the fit learns to tolerate it.
     marks = {w for w in marked if odds[w] > STRONG}
     bent = {w: kernel([w[:i] + c + w[i:] for i in range(2, len(w), 2) for c in "xu"]) @ to for w in marked}
     rows, owner, has_mark, extra, empty = [], [], [], [], np.zeros(len(docs), int)
     for i, d in enumerate(docs):
         for s in d:
-            used = [at[w] for w in s if useful[at[w]]]
+            used = [at[w] for w in s if w in at]
             if used:
                 rows.append(k[used].sum(0) @ to)
                 owner.append(i)
                 has_mark.append(not marks.isdisjoint(s))
                 for w in marks.intersection(s) if y[i] else ():
-                    own = rows[-1] - k[at[w]] @ to
+                    own = rows[-1] - k[at[w]] @ to if w in at else rows[-1]
                     extra.append(own + bent[w][len(extra) % len(bent[w])] if len(bent[w]) else rows[-1])
             else:
                 empty[i] += 1
