@@ -8,7 +8,7 @@ over the sizes of all documents.
 
 Each list (of a subset or a shingle) is scanned in two rounds. First every member meets one leader, the least member of a list, namely the one it shares most lists with; then members meet
 across the components that these links made. A pair that never meets is in one component already, so components are exact, and a list of thousands of near copies
-costs thousands of tests, not millions. Pairs pass size and histogram bounds on the symmetric difference before their whole sets are compared.
+costs thousands of tests, not millions. Pairs pass size, parity and histogram bounds on the symmetric difference before their whole sets are compared.
 
 Scale: sets are sketched in map passes and go to the shared folder; lists are grouped with partial aggregates; joins are equi-joins whose hot keys Spark's skew join
 splits. The order of shingles names at most ``FREQUENT`` frequent ones (a broadcast of that size); which ones it names changes list lengths, never
@@ -116,7 +116,7 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
     return min(range(MOST_LIGHT + 1), key=lambda x: (cost(x), x))
 
 
-NODE = "doc_id long, n int, k long, coarse long, hist array<smallint>, fine array<smallint>, keys array<bigint>"
+NODE = "doc_id long, n int, k long, coarse long, hist array<smallint>, fine array<smallint>, p0 long, p1 long, p2 long, p3 long, keys array<bigint>"
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
@@ -171,12 +171,15 @@ def sketches(docs: DataFrame, light: int, frequent: np.ndarray, percent: int, gr
                 hist = [np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BUCKETS), 32767).astype(np.int16) for s in sets]
                 fine = [np.minimum(np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=FINE), 32767).astype(np.int16)
                         if 100 * len(s) >= percent * FINE_FROM else np.zeros(0, np.int16) for s in sets]
+                parity = np.array([np.packbits((np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=256) & 1).astype(np.uint8)).view(np.int64)
+                                   for s in sets]).reshape(-1, 4)
                 coarse = [int((np.minimum(h.reshape(8, -1).sum(1, dtype=np.int64), 127) << (8 * np.arange(8))).sum()) for h in hist]
                 yield pa.RecordBatch.from_arrays([
                     b.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array([node_key(s) for s in sets], pa.int64()),
                     pa.array(coarse, pa.int64()), _list(list(hist), pa.int16()), _list(fine, pa.int16()),
+                    *(pa.array(parity[:, i], pa.int64()) for i in range(4)),
                     _list([keys(s, often).view(np.int64) for s in sets], pa.int64())],
-                    ["doc_id", "n", "k", "coarse", "hist", "fine", "keys"])
+                    ["doc_id", "n", "k", "coarse", "hist", "fine", "p0", "p1", "p2", "p3", "keys"])
 
     return _hashed(docs).mapInArrow(per_batch, NODE)
 
@@ -204,6 +207,12 @@ def _coarse(a: str, b: str, percent: int):
     return apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
 
 
+def _parity(percent: int):
+    """Sets differ in at least as many elements as in buckets with an odd number of them."""
+    apart = sum((F.bit_count(F.col(f"p{i}a").bitwiseXOR(F.col(f"p{i}b"))) for i in range(4)), F.lit(0))
+    return apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))
+
+
 def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int, gram: int) -> DataFrame:
     """The pairs (a, b) of nodes that link: histogram bound first, then the whole sets."""
     side = lambda x: nodes.select(F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("hist").alias(f"h{x}"), F.col("fine").alias(f"f{x}"), F.col("rep").alias(f"r{x}"))
@@ -292,12 +301,14 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
     placed = (members.select("e", F.col("b").alias("k"))
               .join(comps, "k", "left").withColumn("root", F.coalesce("root", "k")))
     open_ = placed.groupBy("e").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("e")
-    mixed = cut_lineage(placed.join(open_, "e", "left_semi").join(nodes.select("k", "n", "coarse"), "k"), "open-lists")
+    mixed = cut_lineage(placed.join(open_, "e", "left_semi").join(nodes.select("k", "n", "coarse", "p0", "p1", "p2", "p3"), "k"), "open-lists")
     free_shuffles(docs.sparkSession)
-    left = mixed.select("e", F.col("k").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("ca"), F.col("root").alias("xa"))
-    right = mixed.select("e", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("cb"), F.col("root").alias("xb"))
+    left = mixed.select("e", F.col("k").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("ca"), F.col("root").alias("xa"),
+                        *[F.col(f"p{i}").alias(f"p{i}a") for i in range(4)])
+    right = mixed.select("e", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("cb"), F.col("root").alias("xb"),
+                         *[F.col(f"p{i}").alias(f"p{i}b") for i in range(4)])
     met = left.join(right, (left["e"] == right["e"]) & (F.col("xa") != F.col("xb")) & (F.col("a") < F.col("b"))
-                    & _fits("na", "nb", percent) & _coarse("ca", "cb", percent))
+                    & _fits("na", "nb", percent) & _parity(percent) & _coarse("ca", "cb", percent))
     more = cut_lineage(verified(named, met.select("a", "b").distinct(), nodes, percent, gram), "links")
     if not more.isEmpty():
         comps = components(links.unionAll(more))
