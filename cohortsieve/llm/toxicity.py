@@ -8,7 +8,7 @@ come from labelled documents: those of clean documents are negative; of each tox
 after each fit. A document scores by its most toxic sentence, turned into a probability by Platt's scaling.
 
 Scale: one map pass without a shuffle; a word's contribution is computed once per worker while it stays in a bounded memo. The fit uses at
-most ``FIT_DOCS`` labelled documents of each class, those with the smallest hash of doc_id; only they reach the driver.
+most ``FIT_DOCS`` toxic and twice as many clean labelled documents, those with the smallest hash of doc_id; only they reach the driver.
 
 Defined cases: a NULL or empty text has no sentence, and the score of one without any word like a landmark. Texts are read whole; a word of more than
 ``WORD`` characters is read in overlapping stretches. Repeated rows score alike, an empty table gives no rows, further columns are not
@@ -30,7 +30,7 @@ from cohortsieve.llm.registry import query
 from cohortsieve.llm.texts import table, text_of
 
 FOLDS = 5
-FIT_DOCS = 1500
+FIT_DOCS = 800
 DECAY, SPAN, FLOOR = 0.7, 5, 0.3
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, GROUPS = 96, 96, 16
 ROUNDS, RIDGE, STRONG = 3, 1e-6, 3.0
@@ -213,7 +213,7 @@ def train(texts: list[str], toxic: list[int]) -> ToxicModel | None:
     marked = sorted(odds, key=lambda w: (-odds[w] * np.log1p(df[1][w]), w))[:TOXIC_LANDMARKS]
     if not marked:
         return None
-    clean = sorted((w for w in df[0] if w not in df[1] or odds.get(w, 1) < 0), key=lambda w: (-df[0][w], w))[:60_000]
+    clean = sorted((w for w in df[0] if w not in df[1] or odds.get(w, 1) < 0), key=lambda w: (-df[0][w], w))[:30_000]
     near = Kernel(marked)(clean)
     # The clean words nearest to each marked word in turn, so that every family has its counterweight.
     ranked = np.argsort(-near, axis=0, kind="stable")[:8]
@@ -251,10 +251,11 @@ def train(texts: list[str], toxic: list[int]) -> ToxicModel | None:
     if not rows:
         return None
     x, owner = np.array(rows), np.array(owner)
-    bent_rows = np.array(extra).reshape(-1, x.shape[1])
+    bent_rows = np.array(extra, np.float32).reshape(-1, x.shape[1])
+    del rows, extra, one, df
     is_toxic = y[owner] == 1
     v, b = x[is_toxic].mean(0) - (x[~is_toxic].mean(0) if (~is_toxic).any() else 0), 0.0
-    quiet = np.concatenate((x, np.zeros((1, x.shape[1]))))
+    quiet = np.concatenate((x, np.zeros((1, x.shape[1]), x.dtype)))
     for _ in range(ROUNDS):
         f = x @ v + b
         top = np.full(len(docs), -np.inf)
@@ -313,7 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     order = (F.xxhash64("doc_id"), "doc_id")
     sample = known.filter("toxic = 1").orderBy(*order).limit(FIT_DOCS).unionAll(
-        known.filter("toxic = 0").orderBy(*order).limit(FIT_DOCS))
+        known.filter("toxic = 0").orderBy(*order).limit(2 * FIT_DOCS))
     rows = (docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
             .dropDuplicates(["doc_id", "text"]).toPandas().sort_values(["doc_id", "text"]))
     return train(rows["text"].tolist(), rows["toxic"].tolist())
