@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that repeat an earlier one, exactly or nearly."""
-    return line_dedup.drop_lines(docs)
+    """Texts without lines that repeat an earlier one, exactly or nearly; those without a word left are left out."""
+    return line_dedup.drop_lines(docs).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
