@@ -8,8 +8,9 @@ are fitted on candidates in base grammar, whose labels are the outcome of the ba
 carries over to variants through the normalised form. A threshold per kind is calibrated on held-out candidates for ``PRECISION``; variants at
 or above it are added where they overlap no base span, the likeliest first. Base spans always stay.
 
-Scale: everything is map-side and built in; the trees are a Column expression, so no text, span or document is
-shuffled. Fitting takes at most ``MAX_FIT`` candidates, those with the smallest hash, to the model.
+Scale: everything is built in; the trees are a Column expression, so no text or document is shuffled. The fit shuffles one row of numbers per
+distinct content (span and context) and task. Trees take at most ``MAX_FIT`` distinct contents, as many of each kind and label, those with the
+smallest hash; thresholds rest on the counts of all held-out candidates, grouped by features.
 
 Defined cases: a NULL or empty text has no spans. Texts are read whole; patterns are possessive, so no text makes them
 backtrack at length. Repeated rows are judged alike, an empty table gives no rows, further columns are not read. If the
@@ -25,7 +26,7 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortsieve.llm.registry import query
 from cohortsieve.llm.texts import let, table, text_of
@@ -160,21 +161,23 @@ def fit(docs: DataFrame) -> SpanModel:
     found = docs.select(F.explode(F.filter(candidates(text_of()), lambda c: c["plain"])).alias("c"))
     rows = found.select(features(F.col("c")).alias("x"), checked(F.col("c")).cast("double").alias("label"),
                         F.xxhash64("c.raw", "c.before").alias("h"))
-    sample = cut_lineage(rows.orderBy("h").limit(MAX_FIT).select("x.*", "label", "h"), "span-sample")
+    # One row per content, however often it is copied.
+    contents = cut_lineage(rows.groupBy("x", "label", "h").agg(F.count("*").alias("n")).select("x.*", "label", "h", "n"), "span-contents")
+    held_out = F.pmod("h", F.lit(5)) == 0
+    place = F.row_number().over(Window.partitionBy("kind", "label").orderBy("h"))
+    sample = cut_lineage(contents.filter(~held_out).withColumn("place", place)
+                         .filter(F.col("place") <= MAX_FIT // (2 * len(KINDS))).drop("place", "n"), "span-sample")
     two = sample.agg(F.min("label"), F.max("label")).first()
     if two[0] == two[1]:
         return SpanModel()
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    held_out = F.pmod("h", F.lit(5)) == 0
     gbt = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, minInstancesPerNode=10, checkpointInterval=-1)
-    train = ready.filter(~held_out)
-    if train.select("label").distinct().count() < 2:
-        return SpanModel()
-    model = gbt.fit(train)
+    model = gbt.fit(ready)
     trees = re.split(r"Tree \d+ \(weight ([-\d.eE]+)\):", model.toDebugString)[1:]
     boosted = SpanModel([(float(w), t) for w, t in zip(trees[::2], trees[1::2])])
-    scored = (sample.filter(held_out).select("kind", "label", F.round(boosted.probability(F.struct(*FEATURES)), 6).alias("p"))
-              .groupBy("kind", "p").agg(F.count("*").alias("n"), F.sum("label").alias("good")).collect())
+    groups = contents.filter(held_out).groupBy(*FEATURES).agg(F.sum("n").alias("n"), F.sum(F.col("label") * F.col("n")).alias("good"))
+    scored = (groups.select("kind", "n", "good", F.round(boosted.probability(F.struct(*FEATURES)), 6).alias("p"))
+              .groupBy("kind", "p").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect())
     thresholds = {k: cut_for([(r["p"], r["n"], r["good"]) for r in scored if r["kind"] == i]) for i, k in enumerate(KINDS)}
     return SpanModel(boosted.trees, thresholds)
 

@@ -69,3 +69,10 @@ def test_cut():
 def test_nothing(documents, table):
     assert pd_.fit(documents(table)).trees == []
     assert pd_.find_spans(documents(table), pd_.SpanModel()).count() == len(table)
+
+
+def test_copies_do_not_fill_the_sample(spark, documents, monkeypatch):
+    monkeypatch.setattr(pd_, "MAX_FIT", 400)
+    texts = [f"unit {i} host 10.0.{10 + i % 90}.77 is up" for i in range(80)] + [f"unit {i} part 999.{i // 10}.{i % 10}.77 is up" for i in range(80)]
+    model = pd_.fit(documents(list(enumerate(texts))).crossJoin(spark.range(500).select("id")))
+    assert model.trees and model.thresholds["ip"] < 1
