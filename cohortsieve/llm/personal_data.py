@@ -2,10 +2,10 @@
 
 Generators propose spans, overlapping ones too: the base patterns themselves, and variants that the base grammar leaves
 out (spelt-out or bracketed "at" and "dot", other separators in card numbers, phone numbers without plus,
-bracketed and long IP addresses). Each candidate gets features of its normalised format (digits, groups, checksum
-and range checks, lengths) and of its context (neighbouring characters, telling words before it). Gradient-boosted trees
+bracketed and long IP addresses). Each candidate gets features of its normalised format (groups, lengths) and of its context (neighbouring characters, telling words before it). Gradient-boosted trees
 are fitted on candidates in base grammar, whose labels are the outcome of the base checks, as no labelled spans exist; what they learn
-carries over to variants through the normalised form. A threshold per kind is calibrated on held-out candidates for ``PRECISION``; variants at
+carries over to variants through the normalised form. The checks are the label, so neither they nor the number of digits, which decides them for phones, are
+features. A threshold per kind is calibrated on held-out candidates for ``PRECISION``; variants that pass the checks and are at
 or above it are added where they overlap no base span, the likeliest first. Base spans always stay.
 
 Scale: everything is built in; the trees are a Column expression, so no text or document is shuffled. The fit shuffles one row of numbers per
@@ -60,7 +60,7 @@ NEEDS = {"email": "(?i)@|[\\[({<]\\x20?at|\\x20at\\x20[a-z0-9-]+\\x20?[\\x20\\[(
          "card": r"[0-9]", "phone": r"[0-9][\x20().0-9-]+[0-9]"}
 TELLING = {"email": "mail|contact|write|reach", "ip": r"\bip\b|host|server|addr|login", "card": "card|visa|credit|pay|account",
            "phone": "tel|phone|call|mobile|fax|whatsapp"}
-FEATURES = ("kind", "n_digits", "n_chars", "n_groups", "checked", "glued_before", "glued_after", "telling", "quoted", "head", "tail")
+FEATURES = ("kind", "n_chars", "n_groups", "glued_before", "glued_after", "telling", "quoted", "head", "tail")
 
 
 def _spans(body: Column, kind: str, pattern: str, plain: bool) -> Column:
@@ -120,8 +120,8 @@ def features(c: Column) -> Column:
     telling = reduce(lambda a, k: a.when(c["kind"] == KINDS.index(k), F.lower(c["before"]).rlike(TELLING[k])), KINDS[1:],
                      F.when(c["kind"] == 0, F.lower(c["before"]).rlike(TELLING["email"])))
     values = {
-        "kind": c["kind"], "n_digits": F.length(_digits(c["raw"])), "n_chars": F.length(shown),
-        "n_groups": F.size(F.split(shown, "[^0-9A-Za-z]+")), "checked": checked(c),
+        "kind": c["kind"], "n_chars": F.length(shown),
+        "n_groups": F.size(F.split(shown, "[^0-9A-Za-z]+")),
         "glued_before": c["before"].rlike("[0-9A-Za-z]$"), "glued_after": c["after"].rlike("[0-9A-Za-z]"), "telling": telling,
         "quoted": c["before"].rlike("[\"'=]\\x20?$"), "head": F.length(F.regexp_extract(shown, "^[^@]*", 0)),
         "tail": F.length(F.regexp_extract(shown, "[^.]*$", 0))}
@@ -208,7 +208,7 @@ def find_spans(docs: DataFrame, model: SpanModel) -> DataFrame:
     df = df.withColumn("base", short(F.filter("c", lambda c: c["plain"] & checked(c))))
     if not model.trees:
         return df.select("doc_id", "text", "base", F.col("base").alias("all"))
-    free = F.filter("c", lambda c: ~c["plain"] & ~F.exists("base", lambda b: _overlap(b, c)))
+    free = F.filter("c", lambda c: ~c["plain"] & checked(c) & ~F.exists("base", lambda b: _overlap(b, c)))
     scored = F.transform(free, lambda c: F.struct(
         model.probability(features(c)).alias("p"), c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end")))
     df = df.withColumn("scored", F.when(F.size(free) > 0, scored).otherwise(F.expr(

@@ -76,3 +76,15 @@ def test_copies_do_not_fill_the_sample(spark, documents, monkeypatch):
     texts = [f"unit {i} host 10.0.{10 + i % 90}.77 is up" for i in range(80)] + [f"unit {i} part 999.{i // 10}.{i % 10}.77 is up" for i in range(80)]
     model = pd_.fit(documents(list(enumerate(texts))).crossJoin(spark.range(500).select("id")))
     assert model.trees and model.thresholds["ip"] < 1
+
+
+def test_context_decides(spark, documents, monkeypatch):
+    monkeypatch.setattr(pd_, "MAX_FIT", 400)
+    assert not {"checked", "n_digits"} & set(pd_.FEATURES)
+    texts = [f"unit {i} host 10.0.{10 + i % 90}.77 is up" for i in range(80)] + [f"unit {i} part 999.{i // 10}.{i % 10}.77 is up" for i in range(80)]
+    copied = documents(list(enumerate(texts))).crossJoin(spark.range(500).select("id"))
+    model = pd_.fit(copied)
+    assert model.trees and model.thresholds["ip"] < 1
+    variants = [(1, "unit 5 host 10[.]0[.]11[.]77 is up"), (2, "unit 5 part 10[.]0[.]11[.]77 is up"), (3, "unit 5 host 10[.]0[.]999[.]77 is up")]
+    found = {r["doc_id"]: [s["kind"] for s in r["all"]] for r in pd_.find_spans(documents(variants), model).collect()}
+    assert found == {1: [1], 2: [], 3: []}
