@@ -5,9 +5,9 @@ one of the whole corpus. A document's score is the mean log ratio of its n-grams
 not matter; a document below the fitted threshold is rejected. The method uses built-in functions only.
 
 Scale: one pass counts the corpus (a map-side combine leaves at most ``BUCKETS`` rows per task), one
-scores it; texts are never shuffled. What reaches the driver is ``BUCKETS`` counts and the scores of at
-most ``LABELLED`` labelled documents. Only the choice of trusted documents and the threshold rest on
-that bounded sample; the corpus counts cover every document.
+scores it. All labels and documents count, for both multinomials and the threshold. Labels meet the texts in the first
+pass; texts are shuffled only if the labels are too many for Spark to broadcast. For the threshold, scores meet
+labels without texts. What reaches the driver is ``BUCKETS`` counts and a histogram of scores in steps of ``STEP``.
 
 Defined cases: a NULL text is an empty one; it has no words, fails the base rules and scores 0.0. Long
 texts are read whole. Repeated rows are judged one by one, alike. Without documents there are no
@@ -29,8 +29,8 @@ from cohortsieve.llm.texts import SPACES, let, table, text_of, words_of
 #: Characters that the base rule counts as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14
-#: At most so many labelled documents are used to fit, those with the smallest hash of doc_id.
-LABELLED = 20_000
+#: Width of the histogram that the threshold is chosen from.
+STEP = 0.0001
 #: A fitted threshold may reject at most this share of the trusted documents.
 TRUSTED_LOSS = 0.005
 SMOOTHING = 1.0
@@ -60,17 +60,16 @@ def _lowered(text: str = "text") -> Column:
     return words_of(F.lower(text_of(text)))
 
 
-def labelled_sample(labels: DataFrame, most: int = LABELLED) -> DataFrame:
-    """(doc_id, trusted) of at most ``most`` labelled documents, by the hash of their id."""
+def labelled(labels: DataFrame) -> DataFrame:
+    """(doc_id, trusted) of all labelled documents."""
     return (labels.filter("doc_id is not null and quality is not null")
-            .groupBy("doc_id").agg((F.min("quality") == 1).alias("trusted"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+            .groupBy("doc_id").agg((F.min("quality") == 1).alias("trusted")))
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
-    """Both multinomials over all of ``docs``, and the threshold from the labelled sample."""
-    sample = labelled_sample(labels)
-    marked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
+    """Both multinomials over all of ``docs``, and the threshold from all labels."""
+    known = labelled(labels)
+    marked = docs.select("doc_id", "text").join(known, "doc_id", "left")
     counts = (marked.select(F.explode(_buckets(_lowered())).alias("bucket"),
                             F.coalesce("trusted", F.lit(False)).cast("long").alias("t"))
               .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect())
@@ -82,21 +81,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
                for t, r in zip(target, raw)]
     if not any(target):
         return QualityModel([0.0] * BUCKETS, -math.inf)
-    scored = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-              .select("trusted", score_of(_lowered(), weights).alias("score")).collect())
-    return QualityModel(weights, threshold_of([(r["score"], r["trusted"]) for r in scored]))
+    scores = docs.select("doc_id", F.round(score_of(_lowered(), weights) / STEP).cast("long").alias("step"))
+    steps = (scores.join(known, "doc_id").groupBy("step")
+             .agg(F.sum(F.col("trusted").cast("long")).alias("good"), F.count("*").alias("n")).collect())
+    return QualityModel(weights, cut_of([(r["step"] * STEP, r["good"], r["n"] - r["good"]) for r in steps]))
 
 
 def threshold_of(scored: list[tuple[float, bool]]) -> float:
-    """The cut that splits best (Youden's index), among those that lose few trusted documents."""
-    good = sum(t for _, t in scored)
-    bad = len(scored) - good
+    """``cut_of`` single scores."""
+    return cut_of([(score, int(trusted), int(not trusted)) for score, trusted in scored])
+
+
+def cut_of(groups: list[tuple[float, int, int]]) -> float:
+    """The cut that splits (score, trusted, other) counts best (Youden's index), among those that lose few trusted documents."""
+    good, bad = sum(g for _, g, _ in groups), sum(b for _, _, b in groups)
     if not good or not bad:
         return -math.inf
     best, cut, lost, caught = 0.0, -math.inf, 0, 0
-    ordered = sorted(scored)
-    for i, (score, trusted) in enumerate(ordered):
-        lost, caught = lost + trusted, caught + (not trusted)
+    ordered = sorted(groups)
+    for i, (score, trusted, other) in enumerate(ordered):
+        lost, caught = lost + trusted, caught + other
         if lost > TRUSTED_LOSS * good:
             break
         if i + 1 < len(ordered) and ordered[i + 1][0] > score and caught / bad - lost / good > best:

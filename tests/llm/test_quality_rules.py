@@ -82,3 +82,12 @@ def test_nothing(spark, documents):
 def test_threshold():
     assert Q.threshold_of([(0.0, False), (1.0, True), (2.0, True)]) == 0.5
     assert Q.threshold_of([(0.0, True)]) == -math.inf
+
+
+def test_all_labels_count(spark):
+    n = 24_000  # more than a bounded sample of 20,000 holds
+    docs = spark.range(n).selectExpr("id as doc_id", "concat('common w', id % 7) as text")
+    labels = spark.range(n).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    weights = Q.fit(docs, labels).weights
+    assert weights == pytest.approx([0.0] * Q.BUCKETS, abs=1e-12)  # all documents are trusted
+    assert Q.cut_of([(0.0, 1, 900), (1.0, 999, 50)]) == 0.5 and Q.cut_of([(0.0, 6, 900), (1.0, 994, 50)]) == -math.inf
