@@ -4,7 +4,7 @@ import pytest
 
 TYPED = {"documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
          "labels": "doc_id bigint, quality int, toxic int", "pages": "page_id bigint, url string, html string",
-         "benchmark": "item_id bigint, text string"}
+         "benchmark": "item_id bigint, text string", "embeddings": "vec_id bigint, embedding array<float>, label int"}
 
 
 @pytest.fixture
