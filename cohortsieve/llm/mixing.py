@@ -94,7 +94,8 @@ def unfold(df: DataFrame, first: Column, last: Column, out: str, deal: bool = Fa
     long = marked if deal else marked.filter(F.col("_last") - F.col("_first") >= CHUNK)
     chunks = (long.withColumn("_first", F.explode(F.sequence("_first", "_last", F.lit(CHUNK).cast("long"))))
               .withColumn("_last", F.least(F.col("_last"), F.col("_first") + CHUNK - 1)))
-    chunks = inner(chunks.repartition(F.xxhash64("_first", *df.columns)))
+    # A given number of partitions: the few rows dealt out here become many.
+    chunks = inner(chunks.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("_first", *df.columns)))
     return chunks if deal else inner(marked.filter(F.col("_last") - F.col("_first") < CHUNK)).unionByName(chunks)
 
 
@@ -133,6 +134,8 @@ class Mix:
     def taken(self) -> DataFrame:
         """``groups`` with ``taken``: the words that the mix takes of all copies of a document, repeats counted."""
         often = self.slots.groupBy("sid", "block", "words").agg(F.count("*").alias("times")).withColumnRenamed("words", "used")
+        # Spark takes the unfolded slots for a few rows, as their sources are; they must not be broadcast.
+        often = often.hint("merge")
         met = self.pieces().join(often, ["sid", "block"], "left")
         words = F.coalesce(F.col("times") * F.greatest(F.least("to", "used") - F.col("from"), F.lit(0)), F.lit(0))
         keys = ["sid", "doc_id", "h", "size", "copies"]
@@ -145,7 +148,7 @@ class Mix:
 
     def texts(self, docs: DataFrame) -> DataFrame:
         """(shard, position, from, doc_id, words): the mixed corpus itself, each row the words that a document gives to a slot."""
-        used = self.pieces().join(self.slots.withColumnRenamed("words", "used"), ["sid", "block"]).filter("from < used")
+        used = self.pieces().join(self.slots.withColumnRenamed("words", "used").hint("merge"), ["sid", "block"]).filter("from < used")
         used = used.withColumn("to", F.least("to", "used")).join(F.broadcast(self.sources.select("sid", "source")), "sid")
         bodies = docs.select(F.col("source").alias("s"), F.col("doc_id").alias("d"), F.xxhash64(text_of()).alias("k"), text_of().alias("text")).dropDuplicates(["s", "d", "k"])
         met = used.join(bodies, F.col("source").eqNullSafe(F.col("s")) & F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("k")))
