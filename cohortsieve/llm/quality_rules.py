@@ -5,15 +5,14 @@ one of the whole corpus. A document's score is the mean log ratio of its n-grams
 not matter; a document below the fitted threshold is rejected. The method uses built-in functions only.
 
 Scale: one pass counts the corpus (a map-side combine leaves at most ``BUCKETS`` rows per task), one
-scores it. All labels and documents count, for both multinomials and the threshold. Labels meet the texts in the first
-pass; texts are shuffled only if the labels are too many for Spark to broadcast. For the threshold, scores meet
-labels without texts. What reaches the driver is ``BUCKETS`` counts and a histogram of scores in steps of ``STEP``.
+scores it together with the base counts; the query writes those numbers and reads threshold and verdicts from them. All labels and documents count, for both multinomials and the
+threshold. Texts are never shuffled: up to ``SHIPPED`` labelled ids, counted first, are broadcast to them; beyond that, what meets the labels are the n-gram buckets
+or scores of documents that a bit map of labelled ids lets through. What reaches the driver is ``BUCKETS`` counts and a histogram of scores in steps of ``STEP``.
 
 Defined cases: a NULL text is an empty one; it has no words, fails the base rules and scores 0.0. Long
 texts are read whole. Repeated rows are judged one by one, alike. Without documents there are no
 rows; without labels of either quality the threshold is minus infinity, and only base rules reject. Label rows with
-NULL are left out; a document with contradicting labels counts as not trusted. Columns of the input
-are kept by ``judge``, which refuses clashing names by appending underscores to its own helper columns.
+NULL are left out; a document with contradicting labels counts as not trusted. ``keep_good`` keeps all columns, whatever their names: rows are held in a struct.
 """
 
 from __future__ import annotations
@@ -24,7 +23,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
+from cohortsieve.llm.steps import maybe_of, release
 from cohortsieve.llm.texts import SPACES, let, table, text_of, words_of
+from cohortsieve.session import cut_lineage
 
 #: Characters that the base rule counts as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
@@ -35,6 +36,8 @@ STEP = 0.0001
 TRUSTED_LOSS = 0.005
 SMOOTHING = 1.0
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
+#: The most labelled ids that are broadcast.
+SHIPPED = 500_000
 
 
 @dataclass(frozen=True)
@@ -66,25 +69,45 @@ def labelled(labels: DataFrame) -> DataFrame:
             .groupBy("doc_id").agg((F.min("quality") == 1).alias("trusted")))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
-    """Both multinomials over all of ``docs``, and the threshold from all labels."""
-    known = labelled(labels)
-    marked = docs.select("doc_id", "text").join(known, "doc_id", "left")
-    counts = (marked.select(F.explode(_buckets(_lowered())).alias("bucket"),
-                            F.coalesce("trusted", F.lit(False)).cast("long").alias("t"))
-              .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("t").alias("target")).collect())
+def fit_weights(docs: DataFrame, known: DataFrame) -> list[float]:
+    """The log ratio per bucket, from both multinomials over all of ``docs``; zeros without a trusted document."""
+    buckets = _buckets(_lowered())
+    total = lambda df, *sums: df.groupBy("bucket").agg(*sums).collect()
+    if known.count() <= SHIPPED:
+        marked = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id", "left")
+        counts = total(marked.select(F.explode(buckets).alias("bucket"), F.coalesce("trusted", F.lit(False)).cast("long").alias("t")),
+                       F.count("*").alias("raw"), F.sum("t").alias("target"))
+    else:
+        counts = total(docs.select(F.explode(buckets).alias("bucket")), F.count("*").alias("raw"), F.lit(0).alias("target"))
+        trusted = known.filter("trusted").select("doc_id")
+        likely = docs.filter(maybe_of("doc_id", trusted)).select("doc_id", buckets.alias("b"))
+        counts += total(likely.join(trusted, "doc_id").select(F.explode("b").alias("bucket")), F.lit(0).alias("raw"), F.count("*").alias("target"))
     raw, target = [0] * BUCKETS, [0] * BUCKETS
     for r in counts:
-        raw[r["bucket"]], target[r["bucket"]] = r["raw"], r["target"]
-    all_raw, all_target = sum(raw) + SMOOTHING * BUCKETS, sum(target) + SMOOTHING * BUCKETS
-    weights = [math.log((t + SMOOTHING) / all_target) - math.log((r + SMOOTHING) / all_raw)
-               for t, r in zip(target, raw)]
+        raw[r["bucket"]] += r["raw"]
+        target[r["bucket"]] += r["target"]
     if not any(target):
-        return QualityModel([0.0] * BUCKETS, -math.inf)
-    scores = docs.select("doc_id", F.round(score_of(_lowered(), weights) / STEP).cast("long").alias("step"))
-    steps = (scores.join(known, "doc_id").groupBy("step")
-             .agg(F.sum(F.col("trusted").cast("long")).alias("good"), F.count("*").alias("n")).collect())
-    return QualityModel(weights, cut_of([(r["step"] * STEP, r["good"], r["n"] - r["good"]) for r in steps]))
+        return [0.0] * BUCKETS
+    all_raw, all_target = sum(raw) + SMOOTHING * BUCKETS, sum(target) + SMOOTHING * BUCKETS
+    return [math.log((t + SMOOTHING) / all_target) - math.log((r + SMOOTHING) / all_raw)
+            for t, r in zip(target, raw)]
+
+
+def fit_threshold(scores: DataFrame, known: DataFrame) -> float:
+    """The cut from (doc_id, score) of all labelled documents; others are left out."""
+    steps = scores.select("doc_id", F.round(F.col("score") / STEP).cast("long").alias("step"))
+    found = steps.join(known, "doc_id").groupBy("step").agg(F.sum(F.col("trusted").cast("long")).alias("good"), F.count("*").alias("n")).collect()
+    return cut_of([(r["step"] * STEP, r["good"], r["n"] - r["good"]) for r in found])
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """Both multinomials over all of ``docs``, and the threshold from all labels; only labelled documents are scored for it."""
+    known = cut_lineage(labelled(labels), "labels")
+    weights = fit_weights(docs, known)
+    likely = docs.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi") if known.count() <= SHIPPED else docs.filter(maybe_of("doc_id", known))
+    model = QualityModel(weights, fit_threshold(likely.select("doc_id", score_of(_lowered(), weights).alias("score")), known))
+    release(known)
+    return model
 
 
 def threshold_of(scored: list[tuple[float, bool]]) -> float:
@@ -137,13 +160,13 @@ def _repeats(words: Column) -> Column:
     return F.when(n < 4, 0).when(F.size(F.array_distinct(hashes)) == n - 2, 0).otherwise(let(ordered, covered))
 
 
-def _stats(model: QualityModel) -> Column:
+def _stats(weights: list[float]) -> Column:
     """One struct of the base counts and the score of ``body``."""
     body = F.col("body")
     plain = F.translate(body, SPACES, "")
     lines = F.filter(F.split(body, "\n"), lambda x: F.trim(F.translate(x, SPACES[1:], " " * 5)) != "")
     of_words = let(words_of(body), lambda w: F.struct(
-        F.size(w).alias("n"), _repeats(w).alias("repeats"), score_of(F.transform(w, F.lower), model.weights).alias("score")))
+        F.size(w).alias("n"), _repeats(w).alias("repeats"), score_of(F.transform(w, F.lower), weights).alias("score")))
     dup_lines = let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
     counts = F.array(F.struct(
         of_words.alias("w"), F.length(plain).alias("chars"),
@@ -159,22 +182,33 @@ def base_failed() -> Column:
             | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
+def counted(docs: DataFrame, weights: list[float]) -> DataFrame:
+    """One row per row of ``docs``: doc_id, the base counts, score and base_failed."""
+    stats = docs.select("doc_id", text_of().alias("body")).select("doc_id", F.inline(_stats(weights)))
+    return stats.select("*", base_failed().alias("base_failed"))
+
+
 def judge(docs: DataFrame, model: QualityModel) -> DataFrame:
-    """One row per row of ``docs``: doc_id, the base counts, score, base_failed and kept."""
-    stats = docs.select("doc_id", text_of().alias("body")).select("doc_id", F.inline(_stats(model)))
-    return stats.select("*", base_failed().alias("base_failed")).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("score") >= F.lit(model.threshold)))
+    """``counted`` with the verdict, kept."""
+    return verdicts(counted(docs, model.weights), model.threshold)
+
+
+def verdicts(counts: DataFrame, threshold: float) -> DataFrame:
+    return counts.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= F.lit(threshold)))
 
 
 def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns. The decision is made map-side, per row."""
     held = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text_of().alias("body"))
     # A generator computes the counts once; a filter is not moved below it.
-    held = held.select("row", F.inline(_stats(model)))
+    held = held.select("row", F.inline(_stats(model.weights)))
     return held.filter(~base_failed() & (F.col("score") >= F.lit(model.threshold))).select("row.*")
 
 
 @query("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    return judge(docs, fit(docs, table(spark, folder, "labels")))
+    docs, known = table(spark, folder, "documents"), cut_lineage(labelled(table(spark, folder, "labels")), "labels")
+    counts = cut_lineage(counted(docs, fit_weights(docs, known)), "quality-counts")
+    threshold = fit_threshold(counts, known)
+    release(known)
+    return verdicts(counts, threshold)

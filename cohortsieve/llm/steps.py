@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import gc
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: The largest bit map that is shipped; a map has eight bits or more for each id, or two at this size.
 MOST_BITS = 1 << 24
@@ -27,23 +27,26 @@ def release(*written: DataFrame) -> None:
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def rows_of(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose ``key`` (a long) is one of ``ids`` (a written table of distinct longs of that name).
-
-    Up to a counted number of ids, a bit map of their remainders rules out most other rows before anything is shuffled; beyond it the
-    rows are shuffled. The semi join decides either way.
-    """
-    many = ids.count()
-    if not 0 < 2 * many <= MOST_BITS:
-        return df.join(ids, key, "left_semi")
-    bits = max(min(1 << (8 * many - 1).bit_length(), MOST_BITS), 32)
+def maybe_of(key: str, ids: DataFrame) -> Column:
+    """Whether a ``key`` (a long) may be one of ``ids``, which has a column of that name: a bit map of remainders, at most MOST_BITS long; NULL is none."""
+    bits = max(min(1 << max(8 * ids.count() - 1, 0).bit_length(), MOST_BITS), 32)
     r = F.pmod(F.col(key), F.lit(bits))
-    found = ids.groupBy(F.shiftright(r, 5).alias("w")).agg(
+    found = ids.filter(F.col(key).isNotNull()).groupBy(F.shiftright(r, 5).alias("w")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (r % 32).cast("int"))).alias("bits")).collect()
     words = ["0"] * (bits // 32)
     for row in found:
         words[row["w"]] = str(row["bits"])
     # One literal: Spark folds the cast of the joined text.
     table = F.split(F.lit(",".join(words)), ",").cast("array<bigint>")
-    likely = F.call_function("shiftright", table[F.shiftright(r, 5).cast("int")], (r % 32).cast("int")).bitwiseAND(F.lit(1)) == 1
-    return df.filter(likely).join(ids, key, "left_semi")
+    return F.call_function("shiftright", table[F.shiftright(r, 5).cast("int")], (r % 32).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
+def rows_of(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` (a long) is one of ``ids`` (a written table of distinct longs of that name).
+
+    Up to a counted number of ids, a bit map rules out most other rows before anything is shuffled; beyond it the
+    rows are shuffled. The semi join decides either way.
+    """
+    if 2 * ids.count() <= MOST_BITS:
+        df = df.filter(maybe_of(key, ids))
+    return df.join(ids, key, "left_semi")

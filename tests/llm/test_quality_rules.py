@@ -45,7 +45,9 @@ def test_base_counts(documents):
     assert all(r["score"] == 0.0 and r["kept"] == (not r["base_failed"]) for r in got)
 
 
-def test_query_against_brute_force(spark, folder):
+@pytest.mark.parametrize("shipped", [Q.SHIPPED, 3])
+def test_query_against_brute_force(spark, folder, monkeypatch, shipped):
+    monkeypatch.setattr(Q, "SHIPPED", shipped)
     good = [(i, " ".join(f"plain{(i * j) % 61}" for j in range(60))) for i in range(1, 41)]
     junk = [(100 + i, " ".join(f"JUNK{(i * j) % 61}!!" for j in range(60))) for i in range(1, 21)]
     rows = good + junk + [(200, "short"), (201, None)]
@@ -61,6 +63,8 @@ def test_query_against_brute_force(spark, folder):
         b = buckets(t)
         want = sum(math.log((target[x] + 1) / m) - math.log((raw[x] + 1) / n) for x in b) / len(b) if b else 0.0
         assert got[i]["score"] == pytest.approx(want, abs=1e-9)
+    model = Q.fit(spark.read.parquet(f"{path}/documents.parquet"), spark.read.parquet(f"{path}/labels.parquet"))
+    assert {i for i in got if got[i]["kept"]} == {r["doc_id"] for r in Q.judge(spark.read.parquet(f"{path}/documents.parquet"), model).filter("kept").collect()}
     assert all(got[i]["kept"] for i, _ in good) and not any(got[i]["kept"] for i, _ in junk) and not got[200]["kept"]
 
 
