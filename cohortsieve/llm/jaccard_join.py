@@ -32,8 +32,8 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
+from cohortsieve.llm.steps import release, written
 from cohortsieve.llm.texts import LOWER, UPPER, ascii_lower, table, text_of, words_of
-from cohortsieve.session import cut_lineage, free_shuffles, release
 
 GRAM, PERCENT = 4, 85
 FREQUENT, LONG_LIST = 1 << 17, 40
@@ -223,8 +223,7 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int,
 
     fine = F.when((F.size("fa") > 0) & (F.size("fb") > 0), bound("fa", "fb")).otherwise(True)
     likely = both.filter(_fits("na", "nb", percent)).filter(bound("ha", "hb")).filter(fine).select("a", "b", "ra", "rb")
-    likely = cut_lineage(likely, "set-pairs")
-    free_shuffles(docs.sparkSession)
+    likely = written(likely, "set-pairs")
     wanted = likely.select(F.explode(F.array(F.struct(F.col("a").alias("k"), F.col("ra").alias("doc_id")),
                                              F.struct(F.col("b").alias("k"), F.col("rb").alias("doc_id")))).alias("x")).select("x.*").distinct()
     words = [0] * (BITS // 32)
@@ -243,7 +242,7 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int,
 
 def components(links: DataFrame) -> DataFrame:
     """(k, root) of every node in ``links`` (a, b): star contraction until nothing changes; the root is the least node."""
-    edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "star")
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), "star")
     seen = None
     while True:
         # Large star: larger neighbours go to the least neighbour; small star: smaller ones do.
@@ -253,7 +252,7 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionAll(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        before, edges = edges, cut_lineage(small, "star")
+        before, edges = edges, written(small, "star")
         release(before)
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == seen:
@@ -268,51 +267,47 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
     docs = docs.select("doc_id", "text")
     named = docs.filter("doc_id is not null")
     # First pass: sizes for the boundary, and shingles whose lists are long in plain hash order.
-    plain = cut_lineage(sketches(named, 0, np.zeros(0, np.uint64), percent, gram).select("n", "keys"), "plain-lists")
+    plain = written(sketches(named, 0, np.zeros(0, np.uint64), percent, gram).select("n", "keys"), "plain-lists")
     sizes = {r["n"]: r["c"] for r in plain.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count("*").alias("c")).collect()}
     light = boundary(sizes, percent)
     often = (plain.select(F.explode("keys").alias("e")).groupBy("e").agg(F.count("*").alias("c"))
              .filter(F.col("c") > LONG_LIST).orderBy(F.desc("c"), "e").limit(FREQUENT).select("e").collect())
     release(plain)
-    free_shuffles(docs.sparkSession)
     frequent = np.sort(np.array([r["e"] for r in often], np.int64).view(np.uint64))
 
-    heavy = cut_lineage(sketches(docs, light, frequent, percent, gram), "sketches")
-    table_ = cut_lineage(heavy.select("doc_id", "n", "k"), "sizes")
+    heavy = written(sketches(docs, light, frequent, percent, gram), "sketches")
+    table_ = written(heavy.select("doc_id", "n", "k"), "sizes")
     linkable = table_.filter("n > 0 and doc_id is not null")
     reps = linkable.groupBy("k").agg(F.min("doc_id").alias("rep"))
     of_doc = linkable.groupBy("doc_id").agg(F.min("k").alias("a"), F.max("k").alias("last")).filter("a < last").select("doc_id", "a")
     same_doc = linkable.select("doc_id", F.col("k").alias("b")).join(of_doc, "doc_id").select("a", "b")
-    nodes = cut_lineage(heavy.filter("n > 0 and doc_id is not null").join(reps.select("k", F.col("rep").alias("doc_id")), ["k", "doc_id"], "left_semi")
+    nodes = written(heavy.filter("n > 0 and doc_id is not null").join(reps.select("k", F.col("rep").alias("doc_id")), ["k", "doc_id"], "left_semi")
                         .dropDuplicates(["k", "doc_id"]).withColumnRenamed("doc_id", "rep"), "nodes")
     release(heavy)
-    free_shuffles(docs.sparkSession)
     entries = nodes.select(F.explode("keys").alias("e"), "k")
     lists = entries.groupBy("e").agg(F.min("k").alias("a"), F.max("k").alias("last")).filter("a < last").drop("last")
-    members = cut_lineage(entries.withColumnRenamed("k", "b").join(lists, "e"), "lists")
-    free_shuffles(docs.sparkSession)
+    members = written(entries.withColumnRenamed("k", "b").join(lists, "e"), "lists")
     # First round: each node meets the least member of its lists that it shares most lists with.
     first = (members.filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("c"))
              .groupBy("b").agg(F.max_by("a", "c").alias("a")))
-    links = cut_lineage(verified(named, first, nodes, percent, gram).unionAll(same_doc), "links")
+    links = written(verified(named, first, nodes, percent, gram).unionAll(same_doc), "links")
     comps = components(links)
 
     # Second round: members of one list that are in different components so far.
     placed = (members.select("e", F.col("b").alias("k"))
               .join(comps, "k", "left").withColumn("root", F.coalesce("root", "k")))
     open_ = placed.groupBy("e").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("e")
-    mixed = cut_lineage(placed.join(open_, "e", "left_semi").join(nodes.select("k", "n", "coarse", "p0", "p1", "p2", "p3"), "k"), "open-lists")
-    free_shuffles(docs.sparkSession)
+    mixed = written(placed.join(open_, "e", "left_semi").join(nodes.select("k", "n", "coarse", "p0", "p1", "p2", "p3"), "k"), "open-lists")
     left = mixed.select("e", F.col("k").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("ca"), F.col("root").alias("xa"),
                         *[F.col(f"p{i}").alias(f"p{i}a") for i in range(4)])
     right = mixed.select("e", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("cb"), F.col("root").alias("xb"),
                          *[F.col(f"p{i}").alias(f"p{i}b") for i in range(4)])
     met = left.join(right, (left["e"] == right["e"]) & (F.col("xa") != F.col("xb")) & (F.col("a") < F.col("b"))
                     & _fits("na", "nb", percent) & _parity(percent) & _coarse("ca", "cb", percent))
-    more = cut_lineage(verified(named, met.select("a", "b").distinct(), nodes, percent, gram), "links")
+    more = written(verified(named, met.select("a", "b").distinct(), nodes, percent, gram), "links")
     if not more.isEmpty():
         comps = components(links.unionAll(more))
-    comps = cut_lineage(comps, "components")
+    comps = written(comps, "components")
     for done in (members, mixed):
         release(done)
     named_nodes = nodes.select("k", "rep").join(comps, "k", "left").withColumn("root", F.coalesce("root", "k"))

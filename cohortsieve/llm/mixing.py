@@ -28,8 +28,8 @@ from fractions import Fraction
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from cohortsieve.llm.registry import query
+from cohortsieve.llm.steps import written
 from cohortsieve.llm.texts import table, text_of, words_of
-from cohortsieve.session import cut_lineage
 
 BLOCK, SHARD = 256, 1024
 WEIGHTS, MOST = (5, 2, 1), 3
@@ -162,7 +162,7 @@ class Mix:
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, block: int = BLOCK, shard: int = SHARD) -> Mix:
     """The mix of all ``docs`` (doc_id, source, text)."""
     spark = docs.sparkSession
-    counted = cut_lineage(sized(docs), "mix-sizes")
+    counted = written(sized(docs), "mix-sizes")
     found = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("words"), F.count("*").alias("n")).limit(SOURCES + 1).collect()
     if len(found) > SOURCES:
         raise ValueError(f"more than {SOURCES} sources")

@@ -23,9 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
-from cohortsieve.llm.steps import maybe_of, release
+from cohortsieve.llm.steps import maybe_of, release, written
 from cohortsieve.llm.texts import SPACES, let, table, text_of, words_of
-from cohortsieve.session import cut_lineage
 
 #: Characters that the base rule counts as symbols (fixed values).
 SYMBOLS = "#*$%&|<>"
@@ -102,7 +101,7 @@ def fit_threshold(scores: DataFrame, known: DataFrame) -> float:
 
 def fit(docs: DataFrame, labels: DataFrame) -> QualityModel:
     """Both multinomials over all of ``docs``, and the threshold from all labels; only labelled documents are scored for it."""
-    known = cut_lineage(labelled(labels), "labels")
+    known = written(labelled(labels), "labels")
     weights = fit_weights(docs, known)
     likely = docs.join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi") if known.count() <= SHIPPED else docs.filter(maybe_of("doc_id", known))
     model = QualityModel(weights, fit_threshold(likely.select("doc_id", score_of(_lowered(), weights).alias("score")), known))
@@ -207,8 +206,8 @@ def keep_good(docs: DataFrame, model: QualityModel) -> DataFrame:
 
 @query("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    docs, known = table(spark, folder, "documents"), cut_lineage(labelled(table(spark, folder, "labels")), "labels")
-    counts = cut_lineage(counted(docs, fit_weights(docs, known)), "quality-counts")
+    docs, known = table(spark, folder, "documents"), written(labelled(table(spark, folder, "labels")), "labels")
+    counts = written(counted(docs, fit_weights(docs, known)), "quality-counts")
     threshold = fit_threshold(counts, known)
     release(known)
     return verdicts(counts, threshold)

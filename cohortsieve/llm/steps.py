@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-import gc
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from cohortsieve.session import cut_lineage
 
 #: The largest bit map that is shipped; a map has eight bits or more for each id, or two at this size.
 MOST_BITS = 1 << 24
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files that no table in use needs any more.
-
-    Spark's cleaner acts when the driver collects garbage; a job of many steps with written tables in between
-    need not wait for that to happen by chance. Nothing hinges on it but disk.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
+#: Spark's setting to delete the shuffle files of a query that has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder and read back; the shuffle files that it took are deleted once all rows are written."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP)
+    conf.set(_CLEANUP, "true")
+    try:
+        return cut_lineage(df, purpose)
+    finally:
+        conf.set(_CLEANUP, before)
 
 
 def release(*written: DataFrame) -> None:

@@ -30,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
+from cohortsieve.llm.steps import written
 from cohortsieve.llm.texts import free_name, table
 from cohortsieve.llm.vectors import matrix, usable, usual_length
-from cohortsieve.session import cut_lineage
 
 STEPS = 256
 PARTS, ENTRIES, ROUNDS = 16, 64, 2
@@ -186,7 +186,7 @@ def with_group_error(coded: DataFrame, group: str, error: str, out: str) -> Data
     """``coded`` (a written table) with the sum of ``error`` over rows of equal ``group``, NULLs together; NULL if it does not fit in a long."""
     sums = coded.groupBy(F.col(group).alias("_group")).agg(
         F.sum(F.col(error).cast("decimal(38,0)")).try_cast("long").alias(out), F.count("*").alias("_n"))
-    sums = cut_lineage(sums, "group-errors")
+    sums = written(sums, "group-errors")
     many = coded.count()
     hot = F.broadcast(sums.filter(F.col("_n") * HOT > many).drop("_n"))
     cold = sums.filter(F.col("_n") * HOT <= many).drop("_n")
@@ -202,5 +202,5 @@ def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     if books is None:
         return spark.createDataFrame([], "vec_id long, code string, error long, label_error long, codebooks_sha256 string")
     rows = compress(df.filter(usable("embedding", books.length)), books).select("vec_id", "label", "coded.code", "coded.error")
-    rows = with_group_error(cut_lineage(rows, "codes"), "label", "error", "label_error")
+    rows = with_group_error(written(rows, "codes"), "label", "error", "label_error")
     return rows.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
