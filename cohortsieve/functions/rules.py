@@ -1,10 +1,10 @@
 """Reading marker statuses out of report text with ordered rules, all native Columns.
 
-Every mention of a marker counts. A *statement* is the rest of a line after a place that names the marker, wrapped
-continuation lines included, cut where the next marker is named; lines that tell a history are left out. A rule set turns each
-statement (lower-cased) into a status. The last statement that is a result holds; requests and equivocal grades are none, so a later
-FISH result settles an earlier 2+. Lines that cannot name a marker are set aside first by plain substring
-tests, which run far faster over long reports than the patterns do.
+Every mention of a marker counts. Lines that cannot name a marker are set aside first by plain substring tests, which run far faster over
+long reports than the patterns do; lines that go on from a marker's line are joined to it. Of each line only clauses
+that assert a result are read (``clauses``). A *statement* is what follows a marker's name up to the next marker. Negated findings are written
+out as negative before a rule set turns each statement (lower-cased) into a status. The last statement that is a result holds; requests
+and equivocal grades are none, so a later FISH result settles an earlier 2+.
 Two sets exist so that evaluation has something to tell apart: ``CAREFUL`` applies the clinical
 cut-offs, ``TERSE`` only looks for literal words.
 """
@@ -17,11 +17,12 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
+from cohortsieve.functions import clauses as C
 from cohortsieve.vocabulary import NEGATIVE, POSITIVE, UNKNOWN
 
 # Patterns.
 _RECEPTOR_TAIL = (
-    r"([ \t]*(?:[:=(/+-]|immunostain|status|is\b|[Pp]ositive|[Nn]egative|POSITIVE|NEGATIVE)[^\n]*)"
+    r"([ \t]*(?:[:=(/+-]|immunostain|status|(?:is|are|was|were)\b|(?:weakly |strongly )?(?:[Pp]ositive|POSITIVE)|[Nn]egative|NEGATIVE|[0-9.]+\s?%)[^\n]*)"
 )
 STATEMENT = {
     "her2_status": r"\b(?:HER|Her|her)-?2(?:/neu)?([^\n]*)",
@@ -46,7 +47,18 @@ AMPLIFIED = r"^\+|positive|overexpress|amplified|detected"
 FIRST_PERCENT = r"([<>]?)\s*([0-9]+(?:\.[0-9]+)?)\s*%"
 NEGATED_GRADE = r"\b(?:not|no|without)\s+[0-3]\s?\+"
 FISH_AMPLIFIED = r"\bamplified"
-HISTORY = r"(?i)^[^:\n]*\b(?:history|prior|previous|previously)\b"
+# A marker's name, as it is left of a clause that is no result, and in the two rewritings below.
+MARKER = r"\b(?:HER|Her|her)-?2(?:/neu)?|[Ee]strogen [Rr]eceptors?|ESTROGEN RECEPTOR|\bER\b(?:/PR\b)?|[Pp]rogesterone [Rr]eceptors?|PROGESTERONE RECEPTOR|\bPR\b"
+# Two receptors named together share what is said; "negative for ER" and "no HER2 amplification" say it before the name.
+BOTH_RECEPTORS = r"\b(?:ER|[Ee]strogen(?: [Rr]eceptors?)?)(?: \(ER\))?(?:,| and| &|, and) (?:PR\b|[Pp]rogesterone(?: [Rr]eceptors?)?(?: \(PR\))?)"
+SAID_BEFORE = r"\b([Pp]ositive|POSITIVE|[Nn]egative|NEGATIVE) for (" + MARKER + r")(?:/neu)?"
+DENIED_BEFORE = (r"(?i:\b(?:no evidence of|no sign of|without|no|lacks|lacking|absence of|(?:failed|fails) to (?:show|demonstrate|detect|reveal)"
+                 r"|did not (?:show|demonstrate|reveal))) (" + MARKER + r")[ -](?i:(?:gene )?(?:amplification|over-?expression|positivity|reactivity|expression|staining))")
+_NOT = r"\b(?:not|no|without|never|lack(?:s|ed|ing)?|absen(?:t|ce of)|fail(?:s|ed)? to|neither|cannot be called)\b"
+NEGATES = r"\b(?:not|no|without|never|lack|lacks|lacked|lacking|absent|absence|fail|fails|failed|neither|cannot)\b"
+NEGATED_AMPLIFIED, NEGATED_DETECTED = (_NOT + r"[^.;,()0-9]{0,30}?\b" + word for word in (r"amplif\w*", r"detect\w*"))
+NEGATED_POSITIVE = _NOT + r"[^.;,()0-9]{0,30}?\b(?:positiv\w*|over-?express\w*|reactiv\w*|staining|elevated|present)"
+NEGATED_NEGATIVE = r"\b(?:not|never)\s+(?:\w+\s+){0,2}?negative"
 # How a line goes on with the statement of the line before it.
 GOES_ON = r"[ \t]*(?:\(|I?SH\b|FISH\b|[Rr]eflex|[Dd]ual-probe|[Aa]verage|[Rr]atio|[Cc]op(?:y|ies)\b|[Ss]core|[Aa]llred|<?\s?[0-9.]+\s?%|by (?:IHC|FISH))"
 NOT_REACTIVE = r"negative|non-?reactive|not detected|no significant|^-($|[^a-z])"
@@ -130,21 +142,29 @@ TERSE = RuleSet("terse", {
 })
 
 
+def may_name(line: Column) -> Column:
+    """Whether a line can name a marker, by plain substrings."""
+    return reduce(lambda a, b: a | b, (line.contains(n) for n in NAMES_A_MARKER))
+
+
 def marker_lines(text: Column) -> Column:
-    """The lines of a report that may name a marker, each with the line that goes on from it, without histories."""
-    def may_name(line: Column) -> Column:
-        return reduce(lambda a, b: a | b, (line.contains(n) for n in NAMES_A_MARKER))
+    """What a report asserts as found on the lines that may name a marker, each with all lines that go on from it."""
+    def read(line: Column) -> Column:
+        line = F.regexp_replace(F.regexp_replace(line, BOTH_RECEPTORS, "ER/PR"), SAID_BEFORE, "$2: $1")
+        line = F.regexp_replace(line, DENIED_BEFORE, "$1: negative")
+        return F.transform(F.array(line), lambda x: C.results(x, MARKER, may_name))[0]
+
+    return F.array_join(F.transform(C.joined(text, may_name, GOES_ON), read), "\n")
 
-    def some(lines: Column) -> Column:
-        after_marker = lambda i: F.when(i > 0, may_name(lines[i - 1])).otherwise(False)
-        return F.filter(lines, lambda line, i: may_name(line) | (after_marker(i) & line.rlike("^" + GOES_ON)))
 
-    kept = F.transform(F.array(F.split(text, "\n")), some)[0]
-    joined = F.regexp_replace(F.array_join(kept, "\n"), "\n(?=" + GOES_ON + ")", " ")
-    return F.array_join(F.filter(F.split(joined, "\n"), lambda line: ~line.rlike(HISTORY)), "\n")
+def affirmed(statement: Column) -> Column:
+    """A lower-cased statement with negated findings written out: "not positive" is negative, "not negative" says nothing."""
+    plain = F.regexp_replace(F.regexp_replace(statement, NEGATED_NEGATIVE, ""), NEGATED_AMPLIFIED, "not amplified")
+    plain = F.regexp_replace(plain, NEGATED_DETECTED, "not detected")
+    return F.when(statement.rlike(NEGATES), F.regexp_replace(plain, NEGATED_POSITIVE, "negative")).otherwise(statement)
 
 
 def statements(lines: Column, marker: str) -> Column:
     """What a report says about one marker: its statements in order, lower-cased; none if it is not named."""
     tails = F.regexp_extract_all(F.coalesce(lines, F.lit("")), F.lit(STATEMENT[marker]), F.lit(1))
-    return F.transform(tails, lambda t: F.lower(F.regexp_replace(t, NEXT_MARKER[marker], "")))
+    return F.transform(F.transform(tails, lambda t: F.lower(F.regexp_replace(t, NEXT_MARKER[marker], ""))), affirmed)

@@ -1,20 +1,16 @@
 """Independent SQL definitions of the build's frames, for checking results in another engine.
 
 Written from the meaning of each table, not from the Spark code: the two must agree. What a note says about a marker follows from how the
-note was made up (``fixtures.VIEWS["note"]``), so no pattern of the rules is read here.
+note was made up (``reports``), so no pattern of the rules is read here.
 """
 
 from __future__ import annotations
 
-from cohortsieve.sources import fixtures
+from cohortsieve.sources import fixtures, reports
 
 # Answers set by hand for the report lines of the note view.
-HER2_CAREFUL = "CASE WHEN note_id % 7 IN (0, 3) THEN 'Positive' WHEN note_id % 7 IN (1, 2, 4) THEN 'Negative' ELSE 'Unknown' END"
-HER2_TERSE = "CASE WHEN note_id % 7 = 0 THEN 'Positive' WHEN note_id % 7 IN (1, 2) THEN 'Negative' ELSE 'Unknown' END"
-ER_CAREFUL = "CASE WHEN note_id % 4 = 0 THEN 'Negative' ELSE 'Positive' END"
-ER_TERSE = "CASE WHEN note_id % 4 = 0 THEN 'Negative' WHEN note_id % 4 = 1 THEN 'Unknown' ELSE 'Positive' END"
-PR_CAREFUL = "CASE WHEN note_id % 3 = 0 THEN 'Negative' ELSE 'Positive' END"
-PR_TERSE = "CASE WHEN note_id % 3 = 0 THEN 'Negative' ELSE 'Unknown' END"
+HER2_CAREFUL, ER_CAREFUL, PR_CAREFUL = (reports.answer_sql(m, "careful", "note_id") for m in reports.MARKERS)
+HER2_TERSE, ER_TERSE, PR_TERSE = (reports.answer_sql(m, "terse", "note_id") for m in reports.MARKERS)
 
 # name -> (names it reads, SQL)
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
@@ -116,8 +112,10 @@ SELECT g.person_id, t.note_text, g.her2_status AS gold_her2, g.er_status AS gold
 FROM profile g JOIN (SELECT person_id, max(note_text) AS note_text FROM note
   WHERE note_source_value = 'PATHOLOGY_REPORT' GROUP BY person_id) t ON t.person_id = g.person_id
 WHERE NOT (g.her2_status IS NULL AND g.er_status IS NULL AND g.pr_status IS NULL)"""),
-    # A person has one report, of the same number.
-    "numbered_gold": (("goldset",), "SELECT *, person_id AS note_id FROM goldset"),
+    # The number of the report that the gold set took; equal texts have equal answers.
+    "numbered_gold": (("goldset", "note"), """
+SELECT g.*, n.note_id FROM goldset g JOIN (SELECT person_id, arg_max(note_id, note_text) AS note_id FROM note
+  WHERE note_source_value = 'PATHOLOGY_REPORT' GROUP BY person_id) n ON n.person_id = g.person_id"""),
     "preds": (("numbered_gold",), f"""
 SELECT person_id, note_text, gold_her2, gold_er, gold_pr, 'careful' AS config, {HER2_CAREFUL} AS pred_her2,
   {ER_CAREFUL} AS pred_er, {PR_CAREFUL} AS pred_pr FROM numbered_gold

@@ -1,11 +1,15 @@
+import re
+
 import pandas as pd
 import pytest
 from helpers import as_dict, rows
 from pyspark.sql import functions as F
 
+from cohortsieve.functions import clauses as C
 from cohortsieve.functions import rules as R
 from cohortsieve.functions.statuses import normalise_status, parse_response
 from cohortsieve.operators import coverage, extract, fuse
+from cohortsieve.sources import reports
 
 # report, careful, terse; own sentences with hand-set answers
 HER2 = [
@@ -52,13 +56,35 @@ def test_rules(spark, marker, cases):
         assert got == {i: c[n] for i, c in enumerate(cases)}
 
 
+@pytest.mark.parametrize("n, rules", [(1, R.CAREFUL), (2, R.TERSE)])
+def test_reports_with_hand_set_answers(spark, n, rules):
+    entries = reports.REPORTS + reports.PANELS
+    df = spark.createDataFrame([(i, f"Some prose.\n{e[0]}\nMore prose.") for i, e in enumerate(entries)], "id int, t string")
+    got = {r["id"]: "".join(r[f"{m}_status"][0] for m in reports.MARKERS) for r in extract.extract(df, "t", rules).collect()}
+    assert {e[0]: got[i] for i, e in enumerate(entries)} == {e[0]: e[n] for e in entries}
+
+
+def test_assertions(spark):
+    told = {"previously 3+": "history", "in 2015": "history", "her sister had cancer": "history", "FISH ordered": "request", "not performed": "request",
+            "if positive": "request", "3+ by IHC": "result", "Historic building": "result", "prior test not done": "request"}
+    df = spark.createDataFrame([(k,) for k in told], "t string")
+    assert as_dict(df.withColumn("a", C.assertion(F.col("t"))), "t", "a") == told
+
+
+def test_lines_that_go_on(spark):
+    cases = [("a\nER 1\n(b)\n(c)\nd\n(e)", ["ER 1 (b) (c)"]), ("(x)\nER 1\nER 2\n(y)", ["ER 1", "ER 2 (y)"]), ("none", []), ("", [])]
+    df = spark.createDataFrame([(t,) for t, _ in cases], "t string")
+    got = as_dict(df.withColumn("j", C.joined(F.col("t"), R.may_name, R.GOES_ON)), "t", "j")
+    assert got == dict(cases)
+
+
 def test_markers_on_one_line_do_not_mix(spark):
     df = spark.createDataFrame([("ER: positive; PR: negative, HER2 3+ by IHC. Ki-67 30%",), ("ER/PR: Positive",)], "t string")
     assert rows(extract.extract(df, "t").drop("t")) == [("Positive", "Positive", "Negative"), ("Unknown", "Positive", "Positive")]
 
 
 def test_line_filter_drops_no_statement(spark):
-    lines = [c[0] for c in HER2 + ER if "\n" not in c[0] and "Prior" not in c[0]] + ["Her2 3+", "her-2: negative", "HER-2 positive", "PROGESTERONE RECEPTOR: NEGATIVE"]
+    lines = [c[0] for c in HER2 + ER if "\n" not in c[0] and not re.search(C.HISTORY_CUE, c[0]) and not re.search(C.REQUEST_CUE, c[0])] + ["Her2 3+", "her-2: negative", "HER-2 positive", "PROGESTERONE RECEPTOR: NEGATIVE"]
     df = spark.createDataFrame([(f"x\n{line}",) for line in lines], "t string")
     for marker in R.STATEMENT:
         whole, kept = R.statements(F.col("t"), marker), R.statements(R.marker_lines(F.col("t")), marker)
