@@ -2,24 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from cohortsieve.functions.vectors import cosine, unit
 from cohortsieve.operators.ranking import rank_within
+from cohortsieve.operators.search import BLOCK_ROWS, DECIMALS, block_search, limit_per, projected_buckets
 from cohortsieve.session import cut_lineage
 
-# Distinct vectors per block and most cells to divide them into; both bound what one task holds.
-BLOCK_ROWS = 2048
-MAX_CELLS = 256
 # Most copied vectors that are broadcast, and parts a copied vector's rows are spread over beyond that.
 COPIES_TO_BROADCAST = 1000
 SALTS = 32
-# Similarities are compared at this many decimals, so that rounding decides ties alike everywhere.
-DECIMALS = 6
 
 
 def embed_with(df: DataFrame, text: str, fn: Callable[[pd.Series], pd.Series], out: str = "embedding",
@@ -65,26 +61,36 @@ def incomparable(df: DataFrame, vec_col: str) -> DataFrame:
     return df.filter(~comparable(F.col(vec_col)))
 
 
-def similar_all(df: DataFrame, id_col: str, vec_col: str, k: int = 5) -> DataFrame:
-    """For every row its ``k`` most similar others: (id, neighbour_id, similarity, rank). Exact.
+def _indexed(vectors: DataFrame, keep: int, numbered: bool = False) -> tuple[DataFrame, Row]:
+    """The distinct vectors as a written table, and one row: how many there are, their dimension, and how many have many copies.
 
-    Equal vectors are searched once. The distinct ones are divided into cells around a bounded number
-    of pivots, and cells into blocks of bounded size. A first look inside a vector's own block gives a
-    similarity its neighbours must reach; only cells that can hold something as similar are searched
-    then, block against block, and each meeting hands on no more than ``k + 1`` rows per vector. No
-    candidate that could count is ever left out. Rows whose vector is NULL or holds NULL, NaN or an infinity
-    neither ask nor answer; ``incomparable`` lists them.
+    A vector is named by its smallest id, or ``numbered`` where an id may have several vectors.
     """
-    vectors = df.filter(comparable(F.col(vec_col))) \
-        .select(F.col(id_col).alias("id"), unit(F.col(vec_col)).alias("unit"))
-    distinct = cut_lineage(_distinct_vectors(vectors, k + 1), "distinct")
-    # One row: how many distinct vectors there are, their dimension, and how many have many copies.
+    distinct = _distinct_vectors(vectors, keep)
+    distinct = cut_lineage(distinct.withColumn("rep", F.monotonically_increasing_id()) if numbered else distinct, "distinct")
     size = distinct.agg(
-        F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("ids") == k + 1, 1)).alias("copied"),
+        F.count(F.lit(1)).alias("n"), F.count(F.when(F.size("ids") == keep, 1)).alias("copied"),
         F.max(F.size("unit")).alias("dim"), F.min(F.size("unit")).alias("low")).first()
     if size["n"] and size["low"] != size["dim"]:
         raise ValueError("vectors differ in dimension")
-    pairs = _block_search(distinct, k + 1, size["n"], size["dim"] or 1)
+    return distinct, size
+
+
+def similar_all(df: DataFrame, id_col: str, vec_col: str, k: int = 5, report: dict | None = None) -> DataFrame:
+    """For every row its ``k`` most similar others: (id, neighbour_id, similarity, rank). Exact.
+
+    Equal vectors are searched once, block against block (``search.block_search``); each meeting hands on no more than ``k + 1`` rows per vector. No
+    candidate that could count is ever left out. ``report`` gets how many pairs of blocks met. Rows whose vector is NULL or holds NULL, NaN or an infinity
+    neither ask nor answer; ``incomparable`` lists them.
+    """
+    vectors = df.filter(comparable(F.col(vec_col))) \
+        .select(F.col(id_col).alias("id"), unit(F.col(vec_col)).alias("unit"))
+    distinct, size = _indexed(vectors, k + 1)
+    if not size["n"]:
+        return df.select(id_col, F.col(id_col).alias("neighbour_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("rank")).limit(0)
+    pairs, met = block_search(distinct, k + 1, size["n"], size["dim"])
+    if report is not None:
+        report.update(met=met.met, pairs=met.pairs, share=met.share)
 
     best_first = Window.partitionBy("rep").orderBy(F.desc("similarity"), "other")
     nearest = pairs.withColumn("_n", F.row_number().over(best_first)).filter(F.col("_n") <= k + 1)
@@ -136,77 +142,56 @@ def _distinct_vectors(vectors: DataFrame, keep: int) -> DataFrame:
         .select("unit", "ids", F.element_at("ids", 1).alias("rep"))
 
 
-def _best(scores: np.ndarray, reps: np.ndarray, others: np.ndarray, keep: int) -> pd.DataFrame:
-    """Each row's ``keep`` best others, by score and then by id."""
-    keep = min(keep, scores.shape[1])
-    floor = np.partition(scores, -keep, axis=1)[:, -keep]
-    at, col = np.nonzero(scores >= floor[:, None])
-    found = pd.DataFrame({"at": at, "rep": reps[at], "other": others[col], "similarity": scores[at, col]})
-    found = found.sort_values(["at", "similarity", "other"], ascending=[True, False, True], kind="stable")
-    return found[found.groupby("at").cumcount() < keep][["rep", "other", "similarity"]]
-
-
-def _scores(a: pd.Series, b: pd.Series) -> np.ndarray:
-    return np.round(np.stack(a.to_numpy()) @ np.stack(b.to_numpy()).T, DECIMALS) + 0.0
-
-
-def _block_search(distinct: DataFrame, keep: int, n: int, dim: int) -> DataFrame:
-    """(rep, other, similarity): a superset of every vector's ``keep`` nearest, itself included."""
-    n_cells = max(1, min(MAX_CELLS, n // BLOCK_ROWS))
-    pivots = np.zeros((1, dim))
-    if n_cells > 1:
-        chosen = distinct.orderBy(F.xxhash64("rep"), "rep").limit(n_cells).select("unit").collect()
-        pivots = np.array([r["unit"] for r in chosen], dtype="float64")
-    rep_type = distinct.schema["rep"].dataType.simpleString()
-
-    def to_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if len(pdf):
-                points = np.stack(pdf["unit"].to_numpy())
-                cell = np.argmax(points @ pivots.T, axis=1)
-                away = np.linalg.norm(points - pivots[cell], axis=1)
-                yield pdf.assign(cell=cell.astype("int32"), away=away)
-
-    celled = cut_lineage(distinct.select("rep", "unit").mapInPandas(
-        to_cell, f"rep {rep_type}, unit array<double>, cell int, away double"), "cells")
-    blocks, reach = np.zeros(n_cells, dtype="int32"), np.zeros(n_cells)
-    # One row per cell, so at most MAX_CELLS rows.
-    for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("reach")).collect():
-        blocks[r["cell"]], reach[r["cell"]] = -(-r["n"] // BLOCK_ROWS), r["reach"]
-    n_blocks = F.element_at(F.lit(np.maximum(blocks, 1).tolist()), F.col("cell") + 1)
-    keyed = celled.drop("away").withColumn("block", F.pmod(F.xxhash64("rep"), n_blocks).cast("int"))
-
-    def plan(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = np.stack(pdf["unit"].to_numpy())
-        floor = np.full(len(points), -np.inf)
-        if len(points) >= keep:
-            floor = np.partition(_scores(pdf["unit"], pdf["unit"]), -keep, axis=1)[:, -keep]
-        # For any x in a cell: point . x <= point . pivot + |point| * reach of the cell.
-        limit = points @ pivots.T + np.linalg.norm(points, axis=1)[:, None] * reach[None, :]
-        slack = 2 * 10.0 ** -DECIMALS
-        cells = np.flatnonzero((limit + slack >= floor[:, None]).any(axis=0) & (blocks > 0))
-        return pd.DataFrame({
-            "cell": pdf["cell"].iloc[0], "block": pdf["block"].iloc[0],
-            "to_cell": np.repeat(cells, blocks[cells]).astype("int32"),
-            "to_block": np.concatenate([np.arange(blocks[c]) for c in cells]).astype("int32")})
-
-    meetings = keyed.groupBy("cell", "block").applyInPandas(
-        plan, "cell int, block int, to_cell int, to_block int")
-    meetings = cut_lineage(meetings, "meetings")
-    key = ["cell", "block", "to_cell", "to_block"]
-    asking = keyed.join(meetings, ["cell", "block"])
-    asked = keyed.select(F.col("rep").alias("other"), F.col("unit").alias("other_unit"),
-                         F.col("cell").alias("to_cell"), F.col("block").alias("to_block")) \
-        .join(meetings, ["to_cell", "to_block"])
-
-    def compare(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if mine.empty or theirs.empty:
-            return pd.DataFrame({"rep": [], "other": [], "similarity": []})
-        return _best(_scores(mine["unit"], theirs["other_unit"]), mine["rep"].to_numpy(),
-                     theirs["other"].to_numpy(), keep)
-
-    return asking.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(
-        compare, f"rep {rep_type}, other {rep_type}, similarity double")
+def similar_entities(df: DataFrame, entity: str, vec_col: str, k: int = 5) -> DataFrame:
+    """For every entity, a set of vectors, its ``k`` most similar others: (entity, neighbour_id, similarity, rank). Exact.
+
+    Two entities are as similar as the most similar pair of their vectors; an entity's own vectors are left out. It is enough to
+    find the ``k + 1`` most similar entities of every distinct vector: whoever comes before one of an entity's nearest on the list of the vector that
+    found it is at least as similar to the entity. Rows whose vector cannot be compared neither ask nor answer.
+    """
+    vectors = df.filter(comparable(F.col(vec_col)) & F.col(entity).isNotNull()) \
+        .select(F.col(entity).alias("id"), unit(F.col(vec_col)).alias("unit")).distinct()
+    distinct, size = _indexed(vectors, k + 1, numbered=True)
+    pairs, _ = block_search(distinct, k + 1, size["n"], size["dim"] or 1, per_entity=True) if size["n"] else (None, None)
+    if pairs is None:
+        return df.select(entity, F.col(entity).alias("neighbour_id"), F.lit(0.0).alias("similarity"), F.lit(0).alias("rank")).limit(0)
+    best = pairs.groupBy("rep", "other").agg(F.max("similarity").alias("similarity"))
+    best = limit_per(best, ["rep"], [F.desc("similarity"), F.asc("other")], k + 1)
+    shortlist = best.groupBy("rep").agg(F.collect_list(F.struct("other", "similarity")).alias("near"))
+    each = _for_every_id(vectors, distinct, shortlist, k + 1, size["copied"]).select("id", F.inline("near")).filter("id <> other")
+    pairs = each.groupBy("id", "other").agg(F.max("similarity").alias("similarity"))
+    numbered = pairs.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other")))
+    return numbered.filter(F.col("rank") <= k).select(F.col("id").alias(entity), F.col("other").alias("neighbour_id"), "similarity", "rank")
+
+
+def similar_candidates(df: DataFrame, id_col: str, vec_col: str, queries: Column, k: int = 5, tables: int = 24, bits: int = 8) -> DataFrame:
+    """The ``k`` most similar others of the rows that ``queries`` names, among rows that share a random-projection bucket with them. Approximate.
+
+    Every row is indexed, in ``tables`` tables. A bucket that holds many rows is cut into slices that queries meet one by one, so no
+    task holds a bucket. More tables raise the recall, more bits lower the work; ``recall_at`` measures it against all rows.
+    """
+    vectors = df.filter(comparable(F.col(vec_col))).select(F.col(id_col).alias("rep"), unit(F.col(vec_col)).alias("unit"))
+    size = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("unit")).alias("dim")).first()
+    slices = max(1, -(-size["n"] // (BLOCK_ROWS << bits)) * 4)
+    hashed = projected_buckets(vectors, size["dim"] or 1, tables, bits)
+    asking = df.filter(queries & comparable(F.col(vec_col))).select(F.col(id_col).alias("rep"), unit(F.col(vec_col)).alias("unit"))
+    asks = projected_buckets(asking, size["dim"] or 1, tables, bits).select(F.col("rep").alias("asker"), F.col("unit").alias("asked"), "table", "bucket",
+                       F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("slice"))
+    held = hashed.withColumn("slice", F.pmod(F.xxhash64("rep"), F.lit(slices)).cast("int"))
+    met = asks.join(held, ["table", "bucket", "slice"]).filter("asker <> rep")
+    scored = met.select("asker", "rep", F.round(F.aggregate(F.zip_with("asked", "unit", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b), DECIMALS)
+                        .alias("similarity")).distinct()
+    numbered = scored.withColumn("rank", F.row_number().over(Window.partitionBy("asker").orderBy(F.desc("similarity"), "rep")))
+    return numbered.filter(F.col("rank") <= k).select(F.col("asker").alias(id_col), F.col("rep").alias("neighbour_id"), "similarity", "rank")
+
+
+def recall_at(found: DataFrame, exact: DataFrame, id_col: str) -> DataFrame:
+    """One row: how many of the exact neighbours were found, or others as similar as the last of them, and the share."""
+    last = exact.groupBy(id_col).agg(F.min("similarity").alias("_last"), F.count(F.lit(1)).alias("_n"))
+    hits = found.join(last.select(id_col, "_last"), id_col).filter(F.col("similarity") >= F.col("_last")).groupBy(id_col).agg(F.count(F.lit(1)).alias("_hit"))
+    both = last.join(hits, id_col, "left")
+    return both.agg(F.sum(F.least("_n", F.coalesce("_hit", F.lit(0)))).alias("found"), F.sum("_n").alias("wanted")) \
+        .withColumn("recall", F.round(F.try_divide(F.col("found").cast("double"), F.col("wanted")), 4))
 
 
 def expand_cohort(neighbours: DataFrame, id_col: str, eligible: DataFrame) -> DataFrame:
@@ -227,17 +212,22 @@ WEIGHTS = {"recency": 0.4, "source": 0.3, "stage": 0.2, "age": 0.1}
 STAGE_RANK = {"Stage I": 1, "Stage IIA": 2, "Stage IIB": 3, "Stage IIIA": 4, "Stage IIIB": 5, "Stage IV": 6}
 
 
-def priority_score(as_of: str, weights: dict[str, float] = WEIGHTS) -> Column:
-    """Weighted sum of features, each between 0 and 1; a missing feature counts 0."""
+def priority_features(as_of: str) -> dict[str, Column]:
+    """What a contact order goes by, each between 0 and 1; a missing feature counts 0."""
     days = F.date_diff(F.lit(as_of).cast("date"), F.col("last_seen"))
-    stage = F.coalesce(*(F.when(F.col("ajcc_stage") == s, F.lit(r / 6.0)) for s, r in STAGE_RANK.items()))
     features = {
         "recency": F.lit(1.0) / (F.lit(1.0) + F.greatest(days, F.lit(0)) / F.lit(365.0)),
         "source": F.when(F.col("biomarker_source") == "nlp", 0.0).otherwise(1.0),
-        "stage": stage,
+        "stage": F.coalesce(*(F.when(F.col("ajcc_stage") == s, F.lit(r / 6.0)) for s, r in STAGE_RANK.items())),
         "age": F.greatest(F.lit(0.0), F.lit(1.0) - F.col("age_at_dx_years") / F.lit(100.0)),
     }
-    return sum((F.lit(w) * F.coalesce(features[f], F.lit(0.0)) for f, w in weights.items()), F.lit(0.0))
+    return {name: F.coalesce(value, F.lit(0.0)) for name, value in features.items()}
+
+
+def priority_score(as_of: str, weights: dict[str, float] = WEIGHTS) -> Column:
+    """Weighted sum of features."""
+    features = priority_features(as_of)
+    return sum((F.lit(w) * features[f] for f, w in weights.items()), F.lit(0.0))
 
 
 def prioritise(long: DataFrame, last_seen: DataFrame, as_of: str,

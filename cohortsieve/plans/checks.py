@@ -162,6 +162,16 @@ SELECT a.vec_id, b.vec_id AS neighbour_id,
     / (greatest(sqrt(list_inner_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])), 1e-9)
      * greatest(sqrt(list_inner_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[])), 1e-9)), 6) AS similarity
 FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id"""),
+    # A note's vector counts eight letters; patients are compared by their most similar notes.
+    "note_vectors": (("note",), "SELECT person_id, [" + ", ".join(
+        f"CAST(length(note_text) - length(replace(note_text, '{c}', '')) AS DOUBLE)" for c in "etaoinsr") + """] AS e
+FROM note WHERE note_source_value = 'PATHOLOGY_REPORT'"""),
+    "patients_alike": (("note_vectors",), """
+SELECT person_id, neighbour_id, similarity, row_number() OVER (PARTITION BY person_id ORDER BY similarity DESC, neighbour_id) AS rank
+FROM (SELECT a.person_id, b.person_id AS neighbour_id, max(round(list_inner_product(a.e, b.e)
+    / (greatest(sqrt(list_inner_product(a.e, a.e)), 1e-9) * greatest(sqrt(list_inner_product(b.e, b.e)), 1e-9)), 6)) AS similarity
+  FROM note_vectors a JOIN note_vectors b ON a.person_id <> b.person_id GROUP BY a.person_id, b.person_id)
+QUALIFY rank <= 5"""),
     "neighbours": (("similarities",), """
 SELECT vec_id, neighbour_id, similarity,
   row_number() OVER (PARTITION BY vec_id ORDER BY similarity DESC, neighbour_id) AS rank

@@ -14,7 +14,7 @@ from cohortsieve.functions.vectors import cosine
 from cohortsieve.operators import coverage as G
 from cohortsieve.operators import evaluate as V
 from cohortsieve.operators import extract as X
-from cohortsieve.operators import fuse, report, review, screen, similar
+from cohortsieve.operators import fuse, ranker, report, review, screen, similar
 from cohortsieve.operators.profiling import first_rows
 from cohortsieve.plans.registry import Data, query, text
 from cohortsieve.session import new_folder
@@ -549,14 +549,35 @@ def _(d: Data):
     return similar.similar_all(d.raw("embeddings"), "vec_id", "embedding", 5)
 
 
+@query("m5_candidate_recall", """
+SELECT CAST(count(*) AS BIGINT) AS wanted, true AS enough FROM neighbours WHERE vec_id % 100 = 0""", "neighbours")
+def _(d: Data):
+    """Approximate neighbours of the ids divisible by 100, among all rows, held against the exact ones."""
+    asks = F.col("vec_id") % 100 == 0
+    exact = similar.similar_all(d.raw("embeddings"), "vec_id", "embedding", 5).filter(asks)
+    found = similar.similar_candidates(d.raw("embeddings"), "vec_id", "embedding", asks, 5, bits=5)
+    return similar.recall_at(found, exact, "vec_id").select("wanted", (F.col("recall") >= 0.9).alias("enough"))
+
+
+def patients_alike(d: Data):
+    """The five patients whose notes are most like a patient's own."""
+    embedded = similar.embed_with(d.reports.select("person_id", "note_text"), "note_text", letter_counts,
+                                  partitions=d.spark.sparkContext.defaultParallelism)
+    return similar.similar_entities(embedded, "person_id", "embedding", 5)
+
+
+@query("m6_similar_patients", "SELECT person_id, neighbour_id, similarity, rank FROM patients_alike", "patients_alike")
+def _(d: Data):
+    return patients_alike(d)
+
+
 @query("m6_expand_cohort", """
-SELECT neighbour_id AS candidate_id, count(*) AS near_eligible, max(similarity) AS best_similarity FROM neighbours
-WHERE vec_id IN (SELECT person_id FROM prescreen WHERE eligible)
+SELECT neighbour_id AS candidate_id, count(*) AS near_eligible, max(similarity) AS best_similarity FROM patients_alike
+WHERE person_id IN (SELECT person_id FROM prescreen WHERE eligible)
   AND neighbour_id NOT IN (SELECT person_id FROM prescreen WHERE eligible) GROUP BY neighbour_id""",
-       "neighbours", "prescreen")
+       "patients_alike", "prescreen")
 def _(d: Data):
-    near = similar.similar_all(d.raw("embeddings"), "vec_id", "embedding", 5).withColumnRenamed("vec_id", "person_id")
-    return similar.expand_cohort(near, "person_id", d.prescreen.filter("eligible"))
+    return similar.expand_cohort(patients_alike(d), "person_id", d.prescreen.filter("eligible"))
 
 
 @query("m7_prioritise", """
@@ -570,8 +591,33 @@ FROM (SELECT s.trial_id, s.person_id, round(
   FROM prescreen s LEFT JOIN (SELECT person_id, max(measurement_date) AS seen FROM timeline GROUP BY person_id) t
     ON t.person_id = s.person_id WHERE s.eligible)""", "prescreen", "timeline")
 def _(d: Data):
-    seen = d.timeline.groupBy("person_id").agg(F.max("measurement_date").alias("last_seen"))
-    return similar.prioritise(d.prescreen, seen, "2000-01-01")
+    return similar.prioritise(d.prescreen, d.last_seen, "2000-01-01")
+
+
+@query("m7_training_rows", """
+SELECT s.person_id, s.trial_id, CASE WHEN l.decision = 'approved' THEN 1.0 ELSE 0.0 END AS label,
+  round(ifnull(1.0 / (1.0 + greatest(date_diff('day', seen, DATE '2000-01-01'), 0) / 365.0), 0.0), 6) AS recency,
+  CASE WHEN biomarker_source = 'nlp' THEN 0.0 ELSE 1.0 END AS source, round(greatest(0.0, 1.0 - age_at_dx_years / 100.0), 6) AS age
+FROM prescreen s JOIN latest_review l ON l.person_id = s.person_id AND l.trial_id = s.trial_id
+LEFT JOIN (SELECT person_id, max(measurement_date) AS seen FROM timeline GROUP BY person_id) t ON t.person_id = s.person_id
+WHERE s.eligible AND l.decision IN ('approved', 'rejected')""", "prescreen", "latest_review", "timeline")
+def _(d: Data):
+    rows = ranker.training_rows(d.prescreen, d.last_seen, d.table("review"), "2000-01-01")
+    return rows.select("person_id", "trial_id", "label", F.round("recency", 6).alias("recency"), F.col("source").cast("double").alias("source"),
+                       F.round("age", 6).alias("age"))
+
+
+@query("m7_learnt_order", """
+SELECT trial_id, count(*) AS patients, count(*) AS last_priority, true AS falls, true AS auc_known FROM prescreen WHERE eligible GROUP BY trial_id""", "prescreen")
+def _(d: Data):
+    """Learnt from the review log, by trial: every eligible patient has a place, and scores fall along them."""
+    model = ranker.fit_ranker(ranker.training_rows(d.prescreen, d.last_seen, d.table("review"), "2000-01-01"))
+    order = ranker.prioritise_learnt(d.prescreen, d.last_seen, "2000-01-01", model)
+    next_ = order.select("trial_id", (F.col("priority") - 1).alias("priority"), F.col("score").alias("next_score"))
+    known = F.lit(model.auc is not None and 0.0 <= model.auc <= 1.0)
+    return order.join(next_, ["trial_id", "priority"], "left").groupBy("trial_id").agg(
+        F.count(F.lit(1)).alias("patients"), F.max("priority").alias("last_priority"),
+        F.every(F.coalesce(F.col("score") >= F.col("next_score"), F.lit(True))).alias("falls")).withColumn("auc_known", known)
 
 
 # Review ------------------------------------------------------------------------------------------

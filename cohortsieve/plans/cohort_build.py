@@ -79,6 +79,11 @@ class CohortBuild:
     def timeline(self) -> DataFrame:
         return report.timeline(self.source.table("measurement"))
 
+    @cached_property
+    def last_seen(self) -> DataFrame:
+        """The date of each person's last measurement."""
+        return self.timeline.groupBy("person_id").agg(F.max("measurement_date").alias("last_seen"))
+
     @cached_property
     def goldset(self) -> DataFrame:
         return evaluate.goldset(self.source.table("note"), self.profile)

@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from helpers import rows
 
-from cohortsieve.operators import ranking, similar
+from cohortsieve.operators import ranking, search, similar
 from pyspark.sql import functions as F
 
 SCHEMA = "id bigint, e array<float>"
@@ -28,7 +28,7 @@ def found(spark, points, k):
 
 @pytest.mark.parametrize("to_broadcast", [1000, 0])
 def test_many_blocks_copies_and_zero_vectors(spark, monkeypatch, to_broadcast):
-    monkeypatch.setattr(similar, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(search, "BLOCK_ROWS", 16)
     monkeypatch.setattr(similar, "COPIES_TO_BROADCAST", to_broadcast)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(6, 8)) * 3
@@ -40,18 +40,14 @@ def test_many_blocks_copies_and_zero_vectors(spark, monkeypatch, to_broadcast):
 
 
 def test_cells_that_cannot_matter_are_skipped(spark, monkeypatch):
-    monkeypatch.setattr(similar, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(search, "BLOCK_ROWS", 16)
     rng = np.random.default_rng(2)
     centres = np.eye(8)
     points = {i: centres[i % 8] + rng.normal(size=8) * 0.01 for i in range(400)}
     df = spark.createDataFrame([(i, p.tolist()) for i, p in points.items()], SCHEMA)
-    seen = []
-    cut = similar.cut_lineage
-    monkeypatch.setattr(similar, "cut_lineage", lambda d, what: seen.append((what, cut(d, what))) or seen[-1][1])
-    assert found(spark, points, 3) == brute(points, 3)
-    meetings = dict(seen)["meetings"].count()
-    blocks = dict(seen)["meetings"].select("cell", "block").distinct().count()
-    assert meetings < blocks * blocks / 2
+    report = {}
+    got = sorted((r[0], r[1], r[2] + 0.0, r[3]) for r in similar.similar_all(df, "id", "e", 3, report).collect())
+    assert got == brute(points, 3) and report["pairs"] >= 25 * 25 and report["share"] < 0.2
     assert df.count() == 400
 
 
@@ -104,3 +100,64 @@ def test_vectors_that_cannot_be_compared_take_no_place(spark):
     got = sorted((r[0], r[1], r[2] + 0.0, r[3]) for r in similar.similar_all(df, "id", "e", 3).collect())
     assert got == brute(points, 3)
     assert sorted(r["id"] for r in similar.incomparable(df, "e").collect()) == [90, 91, 92, 93]
+
+
+def test_shells_rule_out_blocks_of_one_cell(spark, monkeypatch):
+    """All vectors on an arc around one pivot: only the distance to it tells them apart."""
+    monkeypatch.setattr(search, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(search, "MAX_CELLS", 1)
+    points = {i: [np.cos(i / 400), np.sin(i / 400)] for i in range(512)}
+    report = {}
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in points.items()], SCHEMA)
+    monkeypatch.setattr(search, "_pivots", lambda vectors, n, dim: np.array([[1.0, 0.0]]))
+    got = sorted((r[0], r[1], r[2] + 0.0, r[3]) for r in similar.similar_all(df, "id", "e", 2, report).collect())
+    assert got == brute(points, 2) and report["share"] < 0.2
+
+
+def brute_entities(owned, k):
+    """(entity, other, similarity, rank) by all pairs of vectors."""
+    rows = [(e, np.asarray(p, "float32").astype("float64")) for e, p in owned]
+    rows = [(e, p / max(np.linalg.norm(p), 1e-9)) for e, p in rows]
+    best = {}
+    for a, x in rows:
+        for b, y in rows:
+            if a != b:
+                best[a, b] = max(best.get((a, b), -9.0), round(float(x @ y), search.DECIMALS) + 0.0)
+    out = []
+    for e in sorted({a for a, _ in best}):
+        near = sorted((-s, b) for (a, b), s in best.items() if a == e)[:k]
+        out += [(e, b, -s + 0.0, r) for r, (s, b) in enumerate(near, 1)]
+    return out
+
+
+@pytest.mark.parametrize("to_broadcast", [1000, 0])
+def test_entities_with_several_vectors(spark, monkeypatch, to_broadcast):
+    monkeypatch.setattr(search, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(similar, "COPIES_TO_BROADCAST", to_broadcast)
+    rng = np.random.default_rng(4)
+    centres, common = rng.normal(size=(5, 6)) * 2, rng.normal(size=6)
+    owned = [(i, centres[rng.integers(5)] + rng.normal(size=6) * 0.3) for i in range(60) for _ in range(rng.integers(1, 5))]
+    owned += [(i, common) for i in range(0, 60, 3)] + [owned[0], owned[0]] + [(61, owned[1][1]), (62, np.zeros(6))]
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in owned] + [(70, None), (None, [1.0] * 6), (71, [float("nan")] * 6)], SCHEMA)
+    got = sorted((r[0], r[1], r[2] + 0.0, r[3]) for r in similar.similar_entities(df, "id", "e", 4).collect())
+    want = sorted(brute_entities(owned, 4))
+    assert [g[:2] + g[3:] for g in got] == [w[:2] + w[3:] for w in want]
+    assert all(abs(g[2] - w[2]) < 2e-6 for g, w in zip(got, want))
+
+
+def test_entities_by_hand(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [0.0, 2.0]), (3, [-1.0, 0.0]), (3, [3.0, 4.0])], SCHEMA)
+    assert rows(similar.similar_entities(df, "id", "e", 2), "id", "rank") == [(1, 2, 1.0, 1), (1, 3, 0.8, 2), (2, 1, 1.0, 1), (2, 3, 0.8, 2), (3, 1, 0.8, 1), (3, 2, 0.8, 2)]
+    assert similar.similar_entities(df.filter("id > 9"), "id", "e").count() == 0
+
+
+def test_candidates_reach_the_recall(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(20, 16))
+    points = [(i, (centres[i % 20] + rng.normal(size=16) * 0.25).tolist()) for i in range(2000)]
+    df = spark.createDataFrame(points, SCHEMA)
+    asks = F.col("id") % 20 == 0
+    found = similar.similar_candidates(df, "id", "e", asks, 5)
+    exact = similar.similar_all(df, "id", "e", 5).filter(asks)
+    assert similar.recall_at(found, exact, "id").first()["recall"] >= 0.9
+    assert found.filter("id = neighbour_id").count() == 0 and found.groupBy("id").count().count() == 100
