@@ -1,7 +1,8 @@
 """Operator 9, benchmark decontamination by pigeonhole edit matching.
 
-Texts and benchmark items are compared lower-cased, with white space as single spaces. An item is read in windows of ``WINDOW`` characters,
-every half window and at its end; an item of fewer is one window. A window may differ from a passage of a text by ``RATE`` edits per
+Texts and benchmark items are compared lower-cased, with white space as single spaces. An item is read in windows of ``WINDOW`` characters that
+start at every piece of a window (``STEP`` characters) and at its end; an item of fewer is one window. So a part of an item is certain to be found from ``CERTAIN`` characters on,
+wherever it was cut out, and shorter items as a whole. A window may differ from a passage of a text by ``RATE`` edits per
 character (k in all): cut into k + 1 pieces, one piece must then occur unchanged. One automaton finds all pieces of all windows in one
 pass over a text; around each hit the window is verified with Myers' bit-parallel distance, on integers as wide as the window. A document is
 contaminated if any window of any item is found.
@@ -9,7 +10,8 @@ contaminated if any window of any item is found.
 Scale: map passes without a shuffle. Items come to the tasks in blocks of ``BLOCK`` windows at most, each one more map pass, so a
 benchmark of any size fits. A worker holds one Arrow batch and one automaton.
 
-Defined cases: a NULL or empty text is clean. NULL items, and those under ``LEAST`` characters, cannot be told from chance and match nothing.
+Defined cases: a NULL or empty text is clean. NULL and blank items match nothing. Items of fewer than ``LEAST`` characters match exactly, as whole words: no letter or digit may
+stand next to them.
 Texts are read whole. Repeated rows are judged alike, repeated items each count under their item_id, an empty table or benchmark gives
 clean rows. All columns stay; the column of item_ids gets underscores appended while its name is taken.
 """
@@ -26,6 +28,10 @@ from cohortsieve.llm.registry import query
 from cohortsieve.llm.texts import free_name, table
 
 WINDOW, RATE, LEAST, BLOCK = 100, 0.04, 25, 50_000
+#: The length of a full window's pieces; windows that start so far apart share most of them.
+STEP = WINDOW // (int(WINDOW * RATE) + 1)
+#: A part of an item of so many characters holds a whole window.
+CERTAIN = WINDOW + STEP - 1
 
 
 @dataclass(frozen=True)
@@ -35,7 +41,14 @@ class Window:
 
     @property
     def budget(self) -> int:
-        return int(len(self.text) * RATE)
+        return int(len(self.text) * RATE) if len(self.text) >= LEAST else 0
+
+    def at(self, t: str, begin: int) -> bool:
+        """Whether the window is found around the place ``begin`` of a text."""
+        size, k = len(self.text), self.budget
+        if size < LEAST:
+            return not any(c.isalnum() for c in t[max(0, begin - 1):begin] + t[begin + size:begin + size + 1])
+        return myers(self.text, t[max(0, begin - k):begin + size + k], k) is not None
 
     def pieces(self) -> list[tuple[int, str]]:
         """(offset, piece): budget + 1 pieces of nearly equal length."""
@@ -50,11 +63,11 @@ def plain(text: str | None) -> str:
 
 def windows(item_id: int | None, text: str | None) -> list[Window]:
     t = plain(text)
-    if item_id is None or len(t) < LEAST:
+    if item_id is None or not t:
         return []
     if len(t) <= WINDOW:
         return [Window(item_id, t)]
-    starts = [*range(0, len(t) - WINDOW, WINDOW // 2), len(t) - WINDOW]
+    starts = [*range(0, len(t) - WINDOW, STEP), len(t) - WINDOW]
     return [Window(item_id, t[s:s + WINDOW]) for s in starts]
 
 
@@ -105,8 +118,7 @@ class Finder:
                 if w.item_id in found or (i, begin) in tried:
                     continue
                 tried.add((i, begin))
-                k = w.budget
-                if myers(w.text, t[max(0, begin - k):begin + len(w.text) + k], k) is not None:
+                if w.at(t, begin):
                     found.add(w.item_id)
         return sorted(found)
 

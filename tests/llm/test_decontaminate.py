@@ -1,4 +1,5 @@
 import random
+import re
 
 from cohortsieve.llm import decontaminate as D
 from cohortsieve.llm.registry import QUERIES
@@ -24,7 +25,7 @@ def test_myers():
 
 def setup(rng):
     words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randrange(2, 9))) for _ in range(n))
-    items = [(i, words(rng.randrange(6, 45))) for i in range(12)] + [(12, "tiny"), (13, None), (None, words(9)), (14, "")]
+    items = [(i, words(rng.randrange(6, 45))) for i in range(12)] + [(12, "tiny one"), (13, None), (None, words(9)), (14, "")]
     rows = [(i, words(60)) for i in range(20)]
     for n, (i, text) in enumerate(items[:12]):
         chars = list(text)
@@ -32,12 +33,46 @@ def setup(rng):
             chars[rng.randrange(len(chars))] = "#"
         rows.append((100 + n, words(8) + "\n " + "".join(chars).upper().replace(" ", "  ") + " " + words(8)))
     half = items[11][1]
-    return items, rows + [(200, half[:len(half) // 2 + 60]), (300, None), (301, ""), (302, "tiny"), (100, rows[20][1])]
+    return items, rows + [(200, half[:len(half) // 2 + 60]), (300, None), (301, ""), (302, "a tiny one."), (303, "tiny ones"), (100, rows[20][1])]
 
 
 def brute(items, text):
-    t = D.plain(text)
-    return sorted({i for i, x in items for w in D.windows(i, x) if t and least(w.text, t) <= w.budget})
+    """Items with a stretch of 100 characters (or all of a shorter one), from every 20th place or at the end, within 4 % edits; short ones as whole words."""
+    t, found = " ".join((text or "").lower().split()), set()
+    for i, x in items:
+        x = " ".join((x or "").lower().split())
+        if i is None or not x or not t:
+            continue
+        if len(x) < 25:
+            hit = re.search(r"(?<![^\W_])" + re.escape(x) + r"(?![^\W_])", t)
+        else:
+            hit = any(least(x[s:s + 100], t) <= int(min(len(x), 100) * 0.04) for s in {*range(0, max(len(x) - 100, 1), 20), max(len(x) - 100, 0)})
+        found |= {i} if hit else set()
+    return sorted(found)
+
+
+def test_every_part_of_the_certain_length_is_found():
+    rng = random.Random(5)
+    item = D.plain("".join(rng.choice("abcdefgh ") for _ in range(400)))
+    finder = D.Finder(D.windows(1, item))
+    noise = lambda: "".join(rng.choice("uvwxyz ") for _ in range(90))
+    assert D.CERTAIN == 119
+    for size in (D.CERTAIN, 130, 180):
+        for start in range(len(item) - size + 1):
+            assert finder.items(noise() + item[start:start + size] + noise()) == [1]
+    # Also with as many edits as a window allows, spread over the part.
+    for start in range(0, len(item) - 200, 7):
+        part = list(item[start:start + 200])
+        for at in range(10, 200, 50):
+            part[at] = "#"
+        assert finder.items(noise() + "".join(part) + noise()) == [1]
+    assert not any(finder.items(noise() + item[s:s + 60] + noise()) for s in range(0, 300, 11))
+
+
+def test_short_items_match_as_whole_words():
+    items = [(1, "42 km"), (2, "Yes."), (3, "blue whale"), (4, " "), (None, "fish")]
+    finder = D.Finder([w for i, t in items for w in D.windows(i, t)])
+    assert [finder.items(t) for t in ("It is 42  KM far", "142 km", "42 kmh", "yes. (blue whale)", "blue whales", "fish")] == [[1], [], [], [2, 3], [], []]
 
 
 def test_query_against_brute_force(spark, folder, monkeypatch):
