@@ -518,7 +518,9 @@ def _(d: Data):
                 F.col("embedding")[0].cast("double").alias("first_value"))
 
 
-@query("m2_hash_embed")
+@query("m2_hash_embed", r"""
+SELECT note_id, CAST(64 AS INT) AS dim, CASE WHEN regexp_matches(note_text, '[\p{L}\p{N}]') THEN 1.0::DOUBLE ELSE 0.0 END AS self_similarity
+FROM note WHERE note_source_value = 'PATHOLOGY_REPORT'""", "note")
 def _(d: Data):
     return similar.hash_embed(d.reports.select("note_id", "note_text"), "note_text") \
         .select("note_id", F.size("embedding").alias("dim"),
@@ -555,7 +557,7 @@ def _(d: Data):
     """Approximate neighbours of the ids divisible by 100, among all rows, held against the exact ones."""
     asks = F.col("vec_id") % 100 == 0
     exact = similar.similar_all(d.raw("embeddings"), "vec_id", "embedding", 5).filter(asks)
-    found = similar.similar_candidates(d.raw("embeddings"), "vec_id", "embedding", asks, 5, bits=5)
+    found = similar.similar_candidates(d.raw("embeddings"), "vec_id", "embedding", asks, 5, tables=64, bits=5)
     return similar.recall_at(found, exact, "vec_id").select("wanted", (F.col("recall") >= 0.9).alias("enough"))
 
 

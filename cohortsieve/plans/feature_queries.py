@@ -129,11 +129,12 @@ def _(d: Data):
     return d.profile.select("person_id", F.explode(cells).alias("m")).select("person_id", "m.marker", "m.status")
 
 
-@query("f15_stamped")
+@query("f15_stamped", "SELECT person_id, trial_id, true AS has_user, true AS is_recent, true AS one_time FROM prescreen", "prescreen")
 def _(d: Data):
-    """Every screened row with who screened it and when."""
-    return d.prescreen.select("person_id", "trial_id", F.current_user().alias("screened_by"),
-                              F.current_timestamp().alias("screened_at"))
+    """Every screened row with who screened it and when; shown as what must hold of the stamps, whoever runs it and when."""
+    stamped = d.prescreen.select("person_id", "trial_id", F.current_user().alias("by"), F.current_timestamp().alias("at"), F.current_timestamp().alias("again"))
+    return stamped.select("person_id", "trial_id", (F.length("by") > 0).alias("has_user"), (F.col("at").cast("date") >= F.lit("2024-01-01").cast("date")).alias("is_recent"),
+                          (F.col("at") == F.col("again")).alias("one_time"))
 
 
 @query("f16_typed_null", """

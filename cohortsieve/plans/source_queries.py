@@ -72,7 +72,21 @@ def _(d: Data):
                        F.lit(len(full.columns)).alias("n_columns"))
 
 
-@query("s7_conformed_schemas")
+@query("s6_null_violations", " UNION ALL ".join(
+    f"SELECT '{c} is set' AS expectation, count({v}) AS passed, count(*) - count({v}) AS violations FROM person" for c, v in (
+        ("person_id", "person_id"), ("gender_concept_id", "NULL"), ("year_of_birth", "year_of_birth"),
+        ("race_concept_id", "NULL"), ("ethnicity_concept_id", "NULL"), ("is_high_profile", "is_high_profile"))), "person")
+def _(d: Data):
+    """Which columns of the declared layout must have a value, and how many rows of the source have none."""
+    layout = schemas.omop("person")
+    return P.expectation_report(schemas.conform(d.table("person"), layout), schemas.required(layout))
+
+
+@query("s7_conformed_schemas", " UNION ALL ".join(
+    f"SELECT '{t}' AS tbl, {n} AS columns, count(*) AS rows FROM {t}" for t, n in (
+        # How many columns the declared layouts have.
+        ("person", 20), ("condition_occurrence", 17), ("measurement", 23), ("observation", 21), ("drug_exposure", 23), ("note", 16))),
+       "person", "condition_occurrence", "measurement", "observation", "drug_exposure", "note")
 def _(d: Data):
     """Rows and columns of every source table once it has its declared layout."""
     counts = [
@@ -93,7 +107,10 @@ def _(d: Data):
     return sinks.register_view(d.prescreen, "gold_trial_prescreen").select("person_id", "trial_id", text("eligible"))
 
 
-@query("s9_column_comments")
+@query("s9_column_comments", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{t}' AS comment, count({c}) AS filled FROM prescreen" for c, t in (
+        ("person_id", "One patient."), ("trial_id", "Trial code."), ("eligible", "Meets every criterion."),
+        ("reason", "Why the patient is or is not eligible."), ("biomarker_source", "Facts or notes."))), "prescreen")
 def _(d: Data):
     """Column comments next to how many rows have a value there."""
     comments = {

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 # Table layouts of the public OMOP Common Data Model as the source tables declare them.
@@ -80,3 +80,25 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
             for f in schema.fields
         )
     )
+
+
+def required(schema: StructType) -> dict[str, Column]:
+    """An expectation per NOT NULL column: it has a value (see ``profiling.expect``)."""
+    return {f"{f.name} is set": F.col(f.name).isNotNull() for f in schema.fields if not f.nullable}
+
+
+def conform_checked(df: DataFrame, schema: StructType, action: str = "fail") -> DataFrame:
+    """``conform``, with the schema's NOT NULL kept: rows that break it are dropped (``drop``), stop the job (``fail``) or are marked by a column that names the NULLs (``warn``)."""
+    rows, missing = conform(df, schema), F.array_compact(F.array(*[
+        F.when(F.col(f.name).isNull(), F.lit(f.name)) for f in schema.fields if not f.nullable]))
+    if action == "warn":
+        return rows.withColumn("null_columns", missing)
+    if action == "drop":
+        return rows.filter(F.size(missing) == 0)
+    if action != "fail":
+        raise ValueError(f"unknown action {action!r}")
+    first = next((f.name for f in schema.fields if not f.nullable), None)
+    if first is None:
+        return rows
+    stop = F.raise_error(F.concat(F.lit("NULL in NOT NULL column: "), F.array_join(missing, ", ")))
+    return rows.withColumn(first, F.when(F.size(missing) > 0, stop.cast(schema[first].dataType)).otherwise(F.col(first)))

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from helpers import as_dict, rows
+from pyspark.sql.types import StructType
 from pyspark.sql import functions as F
 
 from cohortsieve.functions import rules as R
@@ -26,6 +27,17 @@ def test_conform_adds_casts_orders_and_drops(spark):
     assert got.first()["measurement_id"] == 7 and got.first()["value_source_value"] is None
 
 
+def test_conform_keeps_not_null(spark):
+    layout = StructType.fromDDL("a bigint not null, b string not null, c int")
+    df = spark.createDataFrame([("1", "x"), (None, "y"), ("2", None)], "a string, b string")
+    assert rows(schemas.conform_checked(df, layout, "drop")) == [(1, "x", None)]
+    assert [r["null_columns"] for r in schemas.conform_checked(df, layout, "warn").collect()] == [[], ["a"], ["b"]]
+    with pytest.raises(Exception, match="NULL in NOT NULL column: a"):
+        schemas.conform_checked(df.filter("b = 'y'"), layout).collect()
+    assert rows(schemas.conform_checked(df.limit(1), layout)) == [(1, "x", None)]
+    assert list(schemas.required(layout)) == ["a is set", "b is set"]
+
+
 def test_criteria_is_read_without_a_job(spark):
     df = criteria(spark)
     assert "LocalRelation" in df._jdf.queryExecution().optimizedPlan().toString()
