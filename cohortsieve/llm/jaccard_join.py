@@ -6,13 +6,13 @@ light sets that link share a subset. Larger sets are heavy: they stand in the in
 last; light sets large enough to link with a heavy one stand in the lists too. The boundary minimises subsets enumerated plus list entries,
 over the sizes of all documents.
 
-Each list (of a subset or a shingle) is scanned in two rounds. First every member meets one leader, the least member of a list, namely the one it shares most lists with; then members meet
-across the components that these links made. A pair that never meets is in one component already, so components are exact, and a list of thousands of near copies
+Each list (of a subset or a shingle) is scanned in rounds. First every member meets one leader, namely the one it shares most lists with; lists whose members are in one component by
+then are done, and the others take new leaders, up to ``ROUNDS`` times or until no link is added. Then members that are still in different components meet in their lists. A pair that never meets is in one component already, so components are exact, and a list of thousands of near copies
 costs thousands of tests, not millions. Pairs pass size, parity and histogram bounds on the symmetric difference before their whole sets are compared.
 
 Scale: sets are sketched in map passes and go to the shared folder; lists are grouped with partial aggregates; joins are equi-joins whose hot keys Spark's skew join
 splits. The order of shingles names at most ``FREQUENT`` frequent ones (a broadcast of that size); which ones it names changes list lengths, never
-results. Whole sets are shuffled for pairs that pass the bounds only, chosen by a bit map of fixed size that merely prefilters. Components come from star contraction
+results. Whole sets are shuffled for pairs that pass the bounds only, chosen by a bit map, sized by their number, that merely prefilters. Components come from star contraction
 on tables; links never reach the driver.
 
 Defined cases: a NULL or empty text has no shingles and links with nothing; with fewer than four words the whole sequence is the one shingle. A row
@@ -32,7 +32,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
-from cohortsieve.llm.steps import release, written
+from cohortsieve.llm.steps import maybe_of, release, written
 from cohortsieve.llm.texts import LOWER, UPPER, ascii_lower, table, text_of, words_of
 
 GRAM, PERCENT = 4, 85
@@ -41,7 +41,8 @@ MOST_LIGHT = 24
 BUCKETS = 64
 #: Large sets (and those that may link with one) have a finer histogram as well.
 FINE, FINE_FROM = 512, 1000
-BITS = 1 << 22
+#: Leader rounds at most; what they leave is joined pair by pair.
+ROUNDS = 4
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -224,20 +225,16 @@ def verified(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, percent: int,
     fine = F.when((F.size("fa") > 0) & (F.size("fb") > 0), bound("fa", "fb")).otherwise(True)
     likely = both.filter(_fits("na", "nb", percent)).filter(bound("ha", "hb")).filter(fine).select("a", "b", "ra", "rb")
     likely = written(likely, "set-pairs")
-    wanted = likely.select(F.explode(F.array(F.struct(F.col("a").alias("k"), F.col("ra").alias("doc_id")),
-                                             F.struct(F.col("b").alias("k"), F.col("rb").alias("doc_id")))).alias("x")).select("x.*").distinct()
-    words = [0] * (BITS // 32)
-    r = F.pmod(F.xxhash64("doc_id"), F.lit(BITS))
-    for row in wanted.groupBy(F.shiftright(r, 5).alias("w")).agg(F.bit_or(F.call_function(
-            "shiftleft", F.lit(1).cast("long"), (r % 32).cast("int"))).alias("bits")).collect():
-        words[row["w"]] = row["bits"]
-    bits = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
-    some = docs.filter(F.call_function("shiftright", bits[F.shiftright(r, 5).cast("int")], (r % 32).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    wanted = written(likely.select(F.col("a").alias("k"), F.col("ra").alias("doc_id")).unionAll(
+        likely.select(F.col("b").alias("k"), F.col("rb").alias("doc_id"))).distinct(), "set-ids")
+    some = docs.filter(maybe_of("doc_id", wanted))
     sets = whole_sets(some.select("doc_id", "text"), gram).join(wanted, ["doc_id", "k"], "left_semi").dropDuplicates(["k"]).select("k", "s")
     met = (likely.select("a", "b").join(sets.select(F.col("k").alias("a"), F.col("s").alias("sa")), "a")
            .join(sets.select(F.col("k").alias("b"), F.col("s").alias("sb")), "b"))
     common = F.size(F.array_intersect("sa", "sb"))
-    return met.filter(common * 100 >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
+    links = written(met.filter(common * 100 >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b"), "links")
+    release(likely, wanted)
+    return links
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -262,6 +259,15 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v").alias("k"), F.col("v").alias("root")).distinct())
 
 
+def _open(members: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """``members`` with their component (root) of those lists that hold nodes of two components or more."""
+    if comps is None:
+        return members.withColumn("root", F.col("b"))
+    placed = members.join(comps.withColumnRenamed("k", "b"), "b", "left").withColumn("root", F.coalesce("root", "b"))
+    still = placed.groupBy("e").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("e")
+    return placed.join(still, "e", "left_semi")
+
+
 def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``: the least doc_id reachable by links."""
     docs = docs.select("doc_id", "text")
@@ -284,32 +290,45 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
     nodes = written(heavy.filter("n > 0 and doc_id is not null").join(reps.select("k", F.col("rep").alias("doc_id")), ["k", "doc_id"], "left_semi")
                         .dropDuplicates(["k", "doc_id"]).withColumnRenamed("doc_id", "rep"), "nodes")
     release(heavy)
-    entries = nodes.select(F.explode("keys").alias("e"), "k")
-    lists = entries.groupBy("e").agg(F.min("k").alias("a"), F.max("k").alias("last")).filter("a < last").drop("last")
+    # A shingle's place in its set's order; subsets, which come first among the keys, have none.
+    listed = F.when((F.col("n") > light) | (F.col("n") >= min(partners(light + 1, percent))), F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).otherwise(0)
+    entries = nodes.select("k", (F.size("keys") - listed).alias("others"), F.posexplode("keys").alias("at", "e")).select(
+        "k", "e", F.greatest(F.col("at") - F.col("others"), F.lit(0)).cast("int").alias("place"))
+    lists = entries.groupBy("e").agg(F.min("k").alias("a"), F.max("k").alias("last")).filter("a < last").select("e")
     members = written(entries.withColumnRenamed("k", "b").join(lists, "e"), "lists")
-    # First round: each node meets the least member of its lists that it shares most lists with.
-    first = (members.filter("a <> b").groupBy("a", "b").agg(F.count("*").alias("c"))
-             .groupBy("b").agg(F.max_by("a", "c").alias("a")))
-    links = written(verified(named, first, nodes, percent, gram).unionAll(same_doc), "links")
-    comps = components(links)
-
-    # Second round: members of one list that are in different components so far.
-    placed = (members.select("e", F.col("b").alias("k"))
-              .join(comps, "k", "left").withColumn("root", F.coalesce("root", "k")))
-    open_ = placed.groupBy("e").agg(F.min("root").alias("x"), F.max("root").alias("y")).filter("x < y").select("e")
-    mixed = written(placed.join(open_, "e", "left_semi").join(nodes.select("k", "n", "coarse", "p0", "p1", "p2", "p3"), "k"), "open-lists")
-    left = mixed.select("e", F.col("k").alias("a"), F.col("n").alias("na"), F.col("coarse").alias("ca"), F.col("root").alias("xa"),
-                        *[F.col(f"p{i}").alias(f"p{i}a") for i in range(4)])
-    right = mixed.select("e", F.col("k").alias("b"), F.col("n").alias("nb"), F.col("coarse").alias("cb"), F.col("root").alias("xb"),
-                         *[F.col(f"p{i}").alias(f"p{i}b") for i in range(4)])
+    # Leader rounds: each node meets one leader of its open lists, the one it shares most of them with. Every round takes other leaders.
+    links, comps = written(same_doc, "links"), None
+    for turn in range(ROUNDS):
+        open_ = _open(members, comps)
+        rank = F.xxhash64("b", F.lit(turn))
+        leaders = open_.groupBy("e").agg(F.min_by("b", rank).alias("a"), F.min_by("root", rank).alias("ra"))
+        first = (open_.join(leaders, "e").filter("root <> ra").groupBy("a", "b").agg(F.count("*").alias("c"))
+                 .groupBy("b").agg(F.max_by("a", F.struct("c", "a")).alias("a")))
+        pairs = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        more = verified(named, pairs, nodes, percent, gram)
+        before, links = links, written(links.unionAll(more), "links")
+        found = not more.isEmpty()
+        release(before, more)
+        if found or comps is None:
+            comps = written(components(links), "components")
+        if not found:
+            break
+
+    # Then members of one list that are still in different components, all of them.
+    mixed = written(_open(members, comps).withColumnRenamed("b", "k").join(nodes.select("k", "n", "coarse", "p0", "p1", "p2", "p3"), "k"), "open-lists")
+    side = lambda x, y: mixed.select("e", F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("coarse").alias(f"c{x}"), F.col("root").alias(y),
+                                     F.col("place").alias(f"at{x}"), *[F.col(f"p{i}").alias(f"p{i}{x}") for i in range(4)])
+    left, right = side("a", "xa"), side("b", "xb")
+    # At the first shingle that two sets share, in the order of all lists, what follows must be enough for the overlap.
+    rest = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
     met = left.join(right, (left["e"] == right["e"]) & (F.col("xa") != F.col("xb")) & (F.col("a") < F.col("b"))
-                    & _fits("na", "nb", percent) & _parity(percent) & _coarse("ca", "cb", percent))
-    more = written(verified(named, met.select("a", "b").distinct(), nodes, percent, gram), "links")
+                    & _fits("na", "nb", percent) & (rest * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
+                    & _parity(percent) & _coarse("ca", "cb", percent))
+    more = verified(named, met.select("a", "b").distinct(), nodes, percent, gram)
     if not more.isEmpty():
         comps = components(links.unionAll(more))
     comps = written(comps, "components")
-    for done in (members, mixed):
-        release(done)
+    release(members, mixed, links, more)
     named_nodes = nodes.select("k", "rep").join(comps, "k", "left").withColumn("root", F.coalesce("root", "k"))
     least = named_nodes.groupBy("root").agg(F.min("rep").alias("component_id"))
     of_node = named_nodes.join(least, "root").select("k", "component_id")
