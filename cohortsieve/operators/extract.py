@@ -44,6 +44,13 @@ def extract_each(df: DataFrame, text: str, configs: dict[str, R.RuleSet]) -> Dat
         .select("*", "_answer.*").drop("_answer")
 
 
+def extract_side_by_side(df: DataFrame, text: str, configs: dict[str, R.RuleSet]) -> DataFrame:
+    """One row per input row, with a column ``<config>_<marker>`` for each answer, from a single pass over the texts."""
+    said = _with_statements(df, text, sorted({m for r in configs.values() for m in r.ladders}))
+    answers = {f"{name}_{m}": c for name, r in configs.items() for m, c in r.statuses(lambda m: F.col(f"_said_{m}")).items()}
+    return _drop_statements(said.withColumns(answers))
+
+
 def extract_with(df: DataFrame, text: str, fn: Callable[[pd.Series], pd.Series], schema: str,
                  partitions: int | None = None) -> DataFrame:
     """Add the fields of ``schema`` as read by a user's model.

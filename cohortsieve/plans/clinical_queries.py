@@ -419,8 +419,7 @@ FROM (SELECT * FROM preds WHERE config = 'terse') t
 JOIN (SELECT person_id, pred_her2 FROM preds WHERE config = 'careful') c USING (person_id)
 WHERE t.note_text LIKE '%equivocal by IHC%'""", "preds")
 def _(d: Data):
-    terse, careful = (V.predict(d.goldset, {n: BOTH_RULES[n]}) for n in ("terse", "careful"))
-    return V.head_to_head(terse, careful, "her2", ("terse", "careful"), hard()) \
+    return V.rules_head_to_head(d.goldset, {n: BOTH_RULES[n] for n in ("terse", "careful")}, "her2", hard()) \
         .withColumns({"terse_ok": text("terse_ok"), "careful_ok": text("careful_ok")})
 
 

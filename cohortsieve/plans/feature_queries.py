@@ -345,12 +345,11 @@ def _(d: Data):
 SELECT t.note_id, t.her2_status AS terse_her2, c.her2_status AS careful_her2
 FROM read_terse t JOIN read_careful c USING (note_id)""", "read_terse", "read_careful")
 def _(d: Data):
+    """Both readings of every note; one pass over the texts reads them, so that nothing is left to join."""
     from cohortsieve.functions.rules import CAREFUL, TERSE
-    from cohortsieve.operators.extract import extract
-    terse = extract(d.table("note"), "note_text", TERSE).select("note_id", F.col("her2_status").alias("terse_her2"))
-    careful = extract(d.table("note"), "note_text", CAREFUL) \
-        .select("note_id", F.col("her2_status").alias("careful_her2"))
-    return terse.join(careful, "note_id")
+    from cohortsieve.operators.extract import extract_side_by_side
+    return extract_side_by_side(d.table("note"), "note_text", {"terse": TERSE, "careful": CAREFUL}) \
+        .select("note_id", F.col("terse_her2_status").alias("terse_her2"), F.col("careful_her2_status").alias("careful_her2"))
 
 
 @query("j11_latest_review", """

@@ -144,6 +144,28 @@ def _(d: Data):
     return sinks.refresh("counts", builders, save)
 
 
+@query("s10_stale_refresh", """
+SELECT biomarker_source, count(*) AS entities, 'extracted,unified,counts' AS rebuilt FROM unified GROUP BY biomarker_source""", "unified")
+def _(d: Data):
+    """Built with the terse rules, then refreshed with the careful ones: the profile, which does not hang on them, stays."""
+    from cohortsieve.functions import rules as R
+    from cohortsieve.operators import features, fuse
+    from cohortsieve.plans.cohort_build import CohortBuild
+    root, facts, notes = new_folder(d.spark, "stale"), (d.source.path("lineitem"), d.source.path("orders")), (d.source.path("documents"),)
+
+    def builders(rules):
+        return {
+            "profile": sinks.Builder(lambda: features.biomarker_profile(d.table("measurement")), files=facts),
+            "extracted": sinks.Builder(lambda: CohortBuild(d.source, rules).extracted, files=notes, version=rules.name),
+            "unified": sinks.Builder(lambda p, x: fuse.fuse(p, x, "person_id", list(v.MARKERS)), inputs=("profile", "extracted")),
+            "counts": sinks.Builder(fuse.source_counts, inputs=("unified",)),
+        }
+
+    sinks.refresh_stale(d.spark, "counts", builders(R.TERSE), root)
+    counts, rebuilt = sinks.refresh_stale(d.spark, "counts", builders(R.CAREFUL), root)
+    return counts.withColumn("rebuilt", F.lit(",".join(rebuilt)))
+
+
 @query("s11_rewrite_table", "SELECT person_id, had_anti_her2_therapy FROM therapy", "therapy")
 def _(d: Data):
     """A second write with another schema replaces rows and columns of the first."""

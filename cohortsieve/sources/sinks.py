@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
@@ -65,3 +68,57 @@ def refresh(name: str, builders: dict[str, tuple[tuple[str, ...], Callable[...,
         frames = [refresh(i, builders, save, done, (*_open, name)) for i in inputs]
         done[name] = save(name, build(*frames))
     return done[name]
+
+
+def fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """What the files under ``paths`` are: their number and a sum over names, sizes and times; their content is not read."""
+    if not paths:
+        return "none"
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "length", "modificationTime")
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")).alias("h")).first()
+    return f"{row['n']}:{row['h']}"
+
+
+@dataclass(frozen=True)
+class Builder:
+    """How a result is built: from other results, from files, and by which version of its rules."""
+
+    build: Callable[..., DataFrame]
+    inputs: tuple[str, ...] = ()
+    files: tuple[str, ...] = ()
+    version: str = ""
+
+
+def refresh_stale(spark: SparkSession, name: str, builders: dict[str, Builder], root: str) -> tuple[DataFrame, list[str]]:
+    """Table ``name`` below ``root``, and the names of the results that had to be rebuilt for it.
+
+    A result is stale if its files, its version or a result it is built from have changed since it was written. What each was built
+    from is kept beside it, and is written after the rows, so that a refresh that fails builds that result again.
+    """
+    keys: dict[str, str] = {}
+    rebuilt: list[str] = []
+
+    def known(result: str) -> str | None:
+        try:
+            return spark.read.text(f"{root}/{result}.built-from").first()[0]
+        except AnalysisException:
+            return None
+
+    def visit(result: str, path: tuple[str, ...]) -> None:
+        if result in path:
+            raise ValueError("circular inputs: " + " <- ".join((*path, result)))
+        if result in keys:
+            return
+        b = builders[result]
+        for i in b.inputs:
+            visit(i, (*path, result))
+        parts = [fingerprint(spark, list(b.files)), b.version, *(keys[i] for i in b.inputs)]
+        keys[result] = hashlib.sha256("|".join(parts).encode()).hexdigest()
+        if known(result) != keys[result]:
+            frames = [spark.read.parquet(f"{root}/{i}") for i in b.inputs]
+            write_table(b.build(*frames), f"{root}/{result}")
+            spark.createDataFrame([(keys[result],)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/{result}.built-from")
+            rebuilt.append(result)
+
+    visit(name, ())
+    return spark.read.parquet(f"{root}/{name}"), rebuilt
