@@ -26,7 +26,7 @@ from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
 from cohortsieve.llm.texts import let, table, text_of
@@ -164,9 +164,10 @@ def fit(docs: DataFrame) -> SpanModel:
     # One row per content, however often it is copied.
     contents = cut_lineage(rows.groupBy("x", "label", "h").agg(F.count("*").alias("n")).select("x.*", "label", "h", "n"), "span-contents")
     held_out = F.pmod("h", F.lit(5)) == 0
-    place = F.row_number().over(Window.partitionBy("kind", "label").orderBy("h"))
-    sample = cut_lineage(contents.filter(~held_out).withColumn("place", place)
-                         .filter(F.col("place") <= MAX_FIT // (2 * len(KINDS))).drop("place", "n"), "span-sample")
+    # The least hashes of each kind and label; one limit each, so that no task holds a kind.
+    trained = [contents.filter(~held_out & (F.col("kind") == i) & (F.col("label") == label)).orderBy("h").limit(MAX_FIT // (2 * len(KINDS)))
+               for i in range(len(KINDS)) for label in (0.0, 1.0)]
+    sample = cut_lineage(reduce(DataFrame.unionAll, trained).drop("n"), "span-sample")
     two = sample.agg(F.min("label"), F.max("label")).first()
     if two[0] == two[1]:
         return SpanModel()
