@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import uuid
 
@@ -58,19 +57,3 @@ def cut_lineage(df: DataFrame, purpose: str) -> DataFrame:
     written = df.sparkSession.read.schema(df.schema).parquet(path)
     written._cut_folder = path
     return written
-
-
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files that no table in use needs any more.
-
-    Spark's cleaner acts when the driver collects garbage; a job of many steps with written tables in between
-    need not wait for that to happen by chance.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
-
-
-def release(df: DataFrame) -> None:
-    """Delete what ``cut_lineage`` wrote for ``df``; nothing that reads it may run afterwards."""
-    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._cut_folder)
-    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
