@@ -7,8 +7,9 @@ words most like them; sentences are mapped onto them (Nystroem) and a linear SVM
 come from labelled documents: those of clean documents are negative; of each toxic document those with a strongly marked word are positive, and the most toxic one, chosen anew
 after each fit. A document scores by its most toxic sentence, turned into a probability by Platt's scaling.
 
-Scale: one map pass without a shuffle; a word's contribution is computed once per worker while it stays in a bounded memo. The fit uses at
-most ``FIT_DOCS`` toxic and twice as many clean labelled documents, those with the smallest hash of doc_id; only they reach the driver.
+Scale: one map pass without a shuffle; a word's contribution is computed once per worker while it stays in a bounded memo. The word statistics that choose the landmarks count
+all labelled documents that are not held out; of them the driver gets the words with the highest ranks. The SVM and Platt's scaling use at
+most ``FIT_DOCS`` toxic and twice as many clean labelled documents, those with the smallest hash of doc_id; of texts only theirs reach the driver, so its memory hangs on their lengths.
 
 Defined cases: a NULL or empty text has no sentence, and the score of one without any word like a landmark. Texts are read whole; a word of more than
 ``WORD`` characters is read in overlapping stretches. Repeated rows score alike, an empty table gives no rows, further columns are not
@@ -18,7 +19,6 @@ read. A NULL doc_id is not held out. Labels that are NULL are left out; contradi
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
+from cohortsieve.llm.steps import maybe_of, release, written
 from cohortsieve.llm.texts import table, text_of
 
 FOLDS = 5
 FIT_DOCS = 800
 DECAY, SPAN, FLOOR = 0.7, 5, 0.3
 TOXIC_LANDMARKS, CLEAN_LANDMARKS, GROUPS = 96, 96, 16
+CLEAN_WORDS = 30_000
 ROUNDS, RIDGE, STRONG = 3, 1e-6, 3.0
 WORD, MEMO = 32, 600_000
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n+")
@@ -197,23 +199,67 @@ def _platt(f: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(ab[0]), float(ab[1])
 
 
-def train(texts: list[str], toxic: list[int]) -> ToxicModel | None:
-    """A model from labelled texts, or None without both classes."""
+def words_of_text(text: str) -> set[str]:
+    """The words of a text that may become landmarks."""
+    return {p for s in sentences(text) for raw in s for p in stretches(raw) if len(p) > 2}
+
+
+@dataclass(frozen=True)
+class WordStatistics:
+    """Marked words with their log-odds, the most marking first, and common clean words, the most frequent first."""
+
+    odds: dict[str, float]
+    clean: list[str]
+
+
+def log_odds(toxic, clean, n_toxic, n_clean, log=np.log):
+    """Of a word in ``toxic`` and ``clean`` documents out of so many, shrunk towards none for rare words; numbers or Columns."""
+    return log((toxic + 0.05) / n_toxic) - log((clean + 0.5) / n_clean)
+
+
+def word_statistics(docs: DataFrame, known: DataFrame) -> WordStatistics | None:
+    """Document frequencies per label over all labelled documents of ``known`` (doc_id, toxic); None without both labels.
+
+    Words are counted per task first. The driver gets ``TOXIC_LANDMARKS`` marked words and ``CLEAN_WORDS`` clean ones.
+    """
+    size = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    if set(size) != {0, 1}:
+        return None
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[int]] = {}
+        for b in batches:
+            for text, label in zip(b.column("text"), b.column("toxic").to_pylist()):
+                for w in words_of_text(text.as_py()):
+                    held.setdefault(w, [0, 0])[label] += 1
+            if len(held) > MEMO:
+                yield _counted(held)
+                held = {}
+        yield _counted(held)
+
+    def _counted(held: dict[str, list[int]]) -> pa.RecordBatch:
+        return pa.record_batch({"w": pa.array(list(held), pa.string()), "clean": pa.array([c for c, _ in held.values()], pa.int64()),
+                                "toxic": pa.array([t for _, t in held.values()], pa.int64())})
+
+    labelled = docs.select("doc_id", text_of().alias("text")).filter(maybe_of("doc_id", known)).join(known, "doc_id").select("text", "toxic")
+    counts = written(labelled.mapInArrow(per_task, "w string, clean long, toxic long").groupBy("w").agg(
+        F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "word-counts")
+    odds = log_odds(F.col("toxic"), F.col("clean"), F.lit(float(size[1])), F.lit(float(size[0])), F.log)
+    marked = counts.filter("toxic >= 2").withColumn("odds", odds).orderBy(F.desc(F.col("odds") * F.log1p("toxic")), "w").limit(TOXIC_LANDMARKS).collect()
+    clean = counts.filter((F.col("toxic") == 0) | ((F.col("toxic") >= 2) & (odds < 0))).filter("clean > 0") \
+        .orderBy(F.desc("clean"), "w").limit(CLEAN_WORDS).collect()
+    release(counts)
+    return WordStatistics({r["w"]: r["odds"] for r in marked}, [r["w"] for r in clean])
+
+
+def train(texts: list[str], toxic: list[int], statistics: WordStatistics | None) -> ToxicModel | None:
+    """A model from labelled texts and the words' statistics, or None without both classes."""
     y = np.array(toxic)
-    if not len(y) or y.min() == y.max():
+    if not len(y) or y.min() == y.max() or statistics is None or not statistics.odds:
         return None
     one: dict[str, str] = {}  # equal words share one object
     docs = [[[one.setdefault(p, p) for raw in s for p in stretches(raw)] for s in sentences(t)] for t in texts]
-    df = {0: Counter(), 1: Counter()}
-    for d, label in zip(docs, y.tolist()):
-        df[label].update({w for s in d for w in s if len(w) > 2})
-    n1, n0 = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
-    # Log-odds, shrunk towards none for rare words.
-    odds = {w: np.log((a + 0.05) / n1) - np.log((df[0][w] + 0.5) / n0) for w, a in df[1].items() if a >= 2}
-    marked = sorted(odds, key=lambda w: (-odds[w] * np.log1p(df[1][w]), w))[:TOXIC_LANDMARKS]
-    if not marked:
-        return None
-    clean = sorted((w for w in df[0] if w not in df[1] or odds.get(w, 1) < 0), key=lambda w: (-df[0][w], w))[:30_000]
+    odds, marked, clean = statistics.odds, list(statistics.odds), statistics.clean
     near = Kernel(marked)(clean)
     # The clean words nearest to each marked word in turn, so that every family has its counterweight.
     ranked = np.argsort(-near, axis=0, kind="stable")[:8]
@@ -252,7 +298,7 @@ def train(texts: list[str], toxic: list[int]) -> ToxicModel | None:
         return None
     x, owner = np.array(rows), np.array(owner)
     bent_rows = np.array(extra, np.float32).reshape(-1, x.shape[1])
-    del rows, extra, one, df
+    del rows, extra, one
     is_toxic = y[owner] == 1
     v, b = x[is_toxic].mean(0) - (x[~is_toxic].mean(0) if (~is_toxic).any() else 0), 0.0
     quiet = np.concatenate((x, np.zeros((1, x.shape[1]), x.dtype)))
@@ -310,14 +356,16 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame) -> ToxicModel | None:
     """A model from labelled documents that are not held out."""
-    known = (labels.filter(~held_out()).filter("doc_id is not null and toxic is not null")
-             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    known = written(labels.filter(~held_out()).filter("doc_id is not null and toxic is not null")
+                    .groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic")), "toxic-labels")
     order = (F.xxhash64("doc_id"), "doc_id")
     sample = known.filter("toxic = 1").orderBy(*order).limit(FIT_DOCS).unionAll(
         known.filter("toxic = 0").orderBy(*order).limit(2 * FIT_DOCS))
     rows = (docs.select("doc_id", text_of().alias("text")).join(F.broadcast(sample), "doc_id")
             .dropDuplicates(["doc_id", "text"]).toPandas().sort_values(["doc_id", "text"]))
-    return train(rows["text"].tolist(), rows["toxic"].tolist())
+    model = train(rows["text"].tolist(), rows["toxic"].tolist(), word_statistics(docs, known))
+    release(known)
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel | None) -> DataFrame:

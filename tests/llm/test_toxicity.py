@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -60,6 +61,29 @@ def test_query(spark, folder):
     assert got[9002]["predicted"] == 1 and got[9000]["predicted"] == got[9001]["predicted"] == 0 and got[9000]["score"] == got[9001]["score"]
 
 
+def test_statistics_count_all_labels(spark, documents, monkeypatch):
+    rows = corpus(300)
+    known = spark.createDataFrame([(i, x) for i, _, x in rows if i % 7], "doc_id bigint, toxic int")
+    got = T.word_statistics(documents([(i, t) for i, t, _ in rows] + [(900, None)]), known)
+    counts = {0: Counter(), 1: Counter()}
+    for i, t, x in rows:
+        if i % 7:
+            counts[x].update(T.words_of_text(t))
+    n = Counter(x for i, _, x in rows if i % 7)
+    odds = {w: T.log_odds(a, counts[0][w], n[1], n[0]) for w, a in counts[1].items() if a >= 2}
+    best = sorted(odds, key=lambda w: (-odds[w] * np.log1p(counts[1][w]), w))[:T.TOXIC_LANDMARKS]
+    assert list(got.odds)[:3] == best[:3] and set(got.odds) == set(best) and all(abs(got.odds[w] - odds[w]) < 1e-9 for w in best)
+    assert {"grumpfkin", "zwockel", "brathuzz"} == set(best[:3])
+    want = sorted((w for w in counts[0] if w not in counts[1] or odds.get(w, 1) < 0), key=lambda w: (-counts[0][w], w))
+    assert got.clean == want[:T.CLEAN_WORDS]
+    # An insult that is in none of the few documents of the fit still is a landmark.
+    monkeypatch.setattr(T, "FIT_DOCS", 10)
+    labels = spark.createDataFrame([(i, 1, x) for i, _, x in rows], "doc_id bigint, quality int, toxic int")
+    model = T.fit(documents([(i, t) for i, t, _ in rows]), labels)
+    assert {"grumpfkin", "zwockel", "brathuzz"} <= set(model.landmarks)
+    assert T.word_statistics(documents([]), known.filter("toxic = 1")) is None
+
+
 def test_nothing(spark, documents):
     labels = spark.createDataFrame([(1, 1, 0)], "doc_id bigint, quality int, toxic int")
     assert T.fit(documents([(1, "a b")]), labels) is None
