@@ -161,3 +161,40 @@ def test_candidates_reach_the_recall(spark):
     exact = similar.similar_all(df, "id", "e", 5).filter(asks)
     assert similar.recall_at(found, exact, "id").first()["recall"] >= 0.9
     assert found.filter("id = neighbour_id").count() == 0 and found.groupBy("id").count().count() == 100
+
+
+def test_only_some_rows_ask(spark, monkeypatch):
+    monkeypatch.setattr(search, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(8)
+    copied = rng.normal(size=6)
+    points = {i: rng.normal(size=6) for i in range(120)} | {i: copied for i in range(200, 230)}
+    df = spark.createDataFrame([(i, [float(x) for x in p]) for i, p in points.items()] + [(None, [1.0] * 6)], SCHEMA)
+    report = {}
+    got = similar.similar_all(df, "id", "e", 3, report, queries=F.col("id") % 20 == 5)
+    assert sorted((r[0], r[1], r[2] + 0.0, r[3]) for r in got.collect() if r[0] is not None) == [r for r in brute(points, 3) if r[0] % 20 == 5]
+    assert report["share"] < 0.2
+
+
+def test_groups_do_not_grow_in_number():
+    """A vector goes to no more groups when there are more vectors, until a group would not fit a task."""
+    assert all(-(-n // search.group_rows(n, 64)) <= search.GROUPS for n in (10_000, 100_000, 600_000))
+    assert all(8 * 64 * search.group_rows(n, 64) <= search.GROUP_BYTES for n in (600_000, 10 ** 8))
+
+
+def test_leaves_find_what_all_pairs_find():
+    rng = np.random.default_rng(9)
+    points = np.abs(rng.normal(size=(4000, 8))) + 1
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    owner = rng.integers(0, 3000, size=4000)
+    held = search._Held(points, owner, np.arange(4000), 5)
+    asked = points[:50]
+    keys, met = held.search(asked, np.full(50, -np.inf))
+    exact = np.round(asked @ points.T, search.DECIMALS)
+    for i in range(50):
+        best = {}
+        for o, s in zip(owner, exact[i]):
+            best[o] = max(best.get(o, -9.0), s)
+        want = sorted((-s, o) for o, s in best.items())[:5]
+        got = sorted((-np.ceil(k / held.base) / 10 ** search.DECIMALS, held.others[int(p)]) for k, p in zip(keys[i], held.places(keys[i])))
+        assert [o for _, o in got] == [o for _, o in want] and np.allclose([s for s, _ in got], [s for s, _ in want])
+    assert met.mean() < 0.8 * 4000
