@@ -50,12 +50,21 @@ def _buckets(words: Column) -> Column:
     return let(words, _buckets_of)
 
 
+def _bucket(*words: Column) -> Column:
+    # BUCKETS is a power of two: the low bits are the remainder.
+    return F.xxhash64(*words).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
+
+
+def _single(words: Column) -> Column:
+    return F.transform(words, lambda w: _bucket(w))
+
+
+def _pairs(words: Column) -> Column:
+    return F.transform(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda w, i: _bucket(words[i], w))
+
+
 def _buckets_of(words: Column) -> Column:
-    single = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(BUCKETS)).cast("int"))
-    pairs = F.transform(
-        F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-        lambda w, i: F.pmod(F.xxhash64(words[i], w), F.lit(BUCKETS)).cast("int"))
-    return F.concat(single, pairs)
+    return F.concat(_single(words), _pairs(words))
 
 
 def _lowered(text: str = "text") -> Column:
@@ -134,29 +143,35 @@ def score_of(words: Column, weights: list[float]) -> Column:
     """Mean log ratio over the n-grams of lower-cased ``words``; 0.0 without any."""
     # One literal: Spark folds the cast of the joined text.
     table_ = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")
-    mean = lambda b: F.aggregate(b, F.lit(0.0), lambda a, x: a + table_[x]) / F.size(b)
-    return let(_buckets(words), lambda b: F.when(F.size(b) > 0, mean(b)).otherwise(F.lit(0.0)))
+    total = lambda w: F.aggregate(_pairs(w), F.aggregate(w, F.lit(0.0), lambda a, x: a + table_[_bucket(x)]),
+                                  lambda a, x: a + table_[x])
+    return let(words, lambda w: F.when(F.size(w) > 0, total(w) / (2 * F.size(w) - 1)).otherwise(F.lit(0.0)))
 
 
 def _repeats(words: Column) -> Column:
     """Words inside three-word windows that the text holds twice or more.
 
-    Windows are compared by hash first; only texts where a hash returns sort the windows themselves, so the
+    Windows are compared by hash first; only those whose hash returns are sorted and compared themselves, so the
     count is exact. ``words`` must be bound (see ``let``).
     """
     n = F.size(words)
-    at = F.sequence(F.lit(0), n - 3)
-    window = lambda i: (words[i], words[i + 1], words[i + 2])
+    place = lambda x: x.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+    # 33 bits of a window's hash, then its place: sorted as whole numbers, windows that may be equal are neighbours.
+    keys = F.transform(F.slice(words, 3, n - 2), lambda w, i: F.shiftleft(F.xxhash64(words[i], words[i + 1], w), 31).bitwiseOR(i.cast("long")))
+
+    def returning(s: Column) -> Column:
+        same = lambda a, b: F.coalesce(F.shiftright(a.bitwiseXOR(F.get(s, b)), 31) == 0, F.lit(False))
+        return F.transform(F.filter(s, lambda x, j: same(x, j + 1) | same(x, j - 1)), place)
 
     def covered(s: Column) -> Column:
         same = lambda a, b: F.coalesce(F.get(s, a)["g"] == F.get(s, b)["g"], F.lit(False))
-        again = F.filter(at, lambda j: same(j, j - 1) | same(j, j + 1))
+        again = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda j: same(j, j - 1) | same(j, j + 1))
         return F.size(F.array_distinct(F.flatten(F.transform(
             again, lambda j: F.array(s[j]["i"], s[j]["i"] + 1, s[j]["i"] + 2)))))
 
-    ordered = F.sort_array(F.transform(at, lambda i: F.struct(F.concat_ws(" ", *window(i)).alias("g"), i.alias("i"))))
-    hashes = F.transform(at, lambda i: F.xxhash64(*window(i)))
-    return F.when(n < 4, 0).when(F.size(F.array_distinct(hashes)) == n - 2, 0).otherwise(let(ordered, covered))
+    window = lambda i: F.struct(F.concat_ws(" ", words[i], words[i + 1], words[i + 2]).alias("g"), i.alias("i"))
+    exact = lambda at: F.when(F.size(at) == 0, 0).otherwise(let(F.sort_array(F.transform(at, window)), covered))
+    return F.when(n < 4, 0).otherwise(let(let(F.sort_array(keys), returning), exact))
 
 
 def _stats(weights: list[float]) -> Column:

@@ -23,7 +23,7 @@ def text_of(name: str = "text") -> Column:
 
 def words_of(text: Column) -> Column:
     """The words of a text, in order."""
-    return F.filter(F.split(text, SPLIT), lambda w: w != "")
+    return F.array_remove(F.split(text, SPLIT), "")
 
 
 def ascii_lower(text: Column) -> Column:
