@@ -12,7 +12,7 @@ a shorter partner may be in. Lines of thousands of characters cost (k + 1)^2 / 2
 
 The result needs to know only whether an earlier near line exists, so all pairs of a list are not made. First every line meets the earliest holder of each
 of its segments. Lines that are answered stop asking. Then, in lists with someone still asking, lines meet by list and exact length, and pairs whose letter counts differ by more than
-the budget can explain never leave the join. What meets is verified with Hyyro's banded bit-parallel distance, after equal beginnings and ends are cut off.
+the budget can explain, or that share an earlier list, never leave the join. What meets is verified with Hyyro's banded bit-parallel distance, after equal beginnings and ends are cut off.
 
 Scale: documents are read once for the join. Equal lines are combined on the map side, so a line that a third of all documents hold is one row; each distinct line is
 shuffled once and written, and all later steps read that table. Segment keys meet their list's leader in a join whose hot keys Spark can split. Texts are fetched
@@ -35,6 +35,8 @@ from cohortsieve.llm.texts import LOWER, SPACES, let, table, text_of
 
 CHARS_PER_EDIT, MOST_EDITS = 100, 30
 SEGMENT = 50
+#: So many of a line's lists, the first ones, are looked through for an earlier meeting of a pair.
+FIRST_LISTS = 64
 #: An occurrence as one whole number: doc_id, line number (31 bits), hash of the text (30 bits).
 _LINE, _HASH = 1 << 31, 1 << 30
 #: Marks of a matching place and of what lies beyond a line's ends: code points that are no characters.
@@ -229,6 +231,22 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return linked.select(F.when(F.col("at_a") > F.col("at_b"), F.col("id_a")).otherwise(F.col("id_b")).alias("id")).distinct()
 
 
+def meeting_once(members: DataFrame) -> DataFrame:
+    """Pairs (id_a, id_b) of ``members`` (id, asks, keys, size, at, letters) that share a list, may be near, and whose later line asks.
+
+    Near copies share many lists. They meet in the first one only, as far as it is among the ``FIRST_LISTS`` first ones of both.
+    """
+    rows = members.select("id", "asks", "size", "at", "letters", "keys", F.posexplode("keys").alias("pos", "key"))
+    rows = rows.withColumn("before", F.slice("keys", F.lit(1), F.least("pos", F.lit(FIRST_LISTS))))
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "asks", "size", "at", "letters", "before")]
+    short = rows.select("key", F.col("size").alias("length"), *side("a"))
+    long = rows.select("key", F.explode(F.sequence(F.col("size") - budget(F.col("size")), "size")).alias("length"), *side("b"))
+    later = F.when(F.col("at_a") > F.col("at_b"), F.col("asks_a")).otherwise(F.col("asks_b"))
+    return short.join(long, (short["key"] == long["key"]) & (short["length"] == long["length"]) & (F.col("id_a") != F.col("id_b"))
+                      & ((F.col("size_a") < F.col("size_b")) | (F.col("id_a") < F.col("id_b"))) & later & _likely("a", "b")
+                      & ~F.arrays_overlap("before_a", "before_b")).select("id_a", "id_b")
+
+
 def near_earlier(lines: DataFrame) -> DataFrame:
     """(id), a written table: the lines that are near to one with an earlier first occurrence."""
     met = meetings(lines)
@@ -237,16 +255,12 @@ def near_earlier(lines: DataFrame) -> DataFrame:
     pairs = met.select(F.least("id", "leader").alias("id_a"), F.greatest("id", "leader").alias("id_b")).distinct()
     answered = written(verified(pairs, texts), "near-lines")
     # Then, in lists with three lines or more, the others among themselves, as far as the later one still asks.
-    asking = met.join(answered.withColumn("done", F.lit(True)), "id", "left").select("key", "id", F.col("done").isNull().alias("asks")).distinct()
+    asking = met.join(answered.withColumn("done", F.lit(True)), "id", "left").select("key", "id", F.col("done").isNull().alias("asks"))
     open_ = asking.groupBy("key").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.max("asks").alias("asks")).filter("x < y and asks").select("key")
-    members = written(asking.join(open_, "key", "left_semi").join(texts.select("id", "size", "at", "letters"), "id"), "open-lists")
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "asks", "size", "at", "letters")]
-    short = members.select("key", F.col("size").alias("length"), *side("a"))
-    long = members.select("key", F.explode(F.sequence(F.col("size") - budget(F.col("size")), "size")).alias("length"), *side("b"))
-    later = F.when(F.col("at_a") > F.col("at_b"), F.col("asks_a")).otherwise(F.col("asks_b"))
-    among = short.join(long, (short["key"] == long["key"]) & (short["length"] == long["length"]) & (F.col("id_a") != F.col("id_b"))
-                       & ((F.col("size_a") < F.col("size_b")) | (F.col("id_a") < F.col("id_b"))) & later & _likely("a", "b"))
-    more = verified(among.select("id_a", "id_b").distinct(), texts)
+    lists = asking.join(open_, "key", "left_semi").groupBy("id", "asks").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    members = written(lists.join(texts.select("id", "size", "at", "letters"), "id"), "open-lists")
+    among = meeting_once(members)
+    more = verified(among.distinct(), texts)
     every = written(answered.union(more).distinct(), "near-lines")
     release(met, texts, ids, answered, members)
     return every

@@ -176,3 +176,11 @@ def test_rows_of(spark, monkeypatch):
 
 def test_no_document_reaches_a_shuffle_of_the_join(spark, documents):
     assert re.search("Exchange", L._lines(documents(corpus()))._jdf.queryExecution().toString()) is None
+
+
+def test_near_copies_beyond_the_budget_meet_once(spark):
+    """Lines that share many segments are compared once, not once for each."""
+    rows = [(i, True, 400, i, (0, 0, 0, 0), sorted(set(range(j % 3, 30 + i)) | {100 + i})) for i, j in enumerate([0, 1, 2, 1, 0, 2])]
+    kind = "id long, asks boolean, size int, at long, letters struct<c0:long,c1:long,c2:long,c3:long>, keys array<bigint>"
+    met = [tuple(r) for r in L.meeting_once(spark.createDataFrame(rows, kind)).collect()]
+    assert sorted(met) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
