@@ -7,7 +7,7 @@ last; light sets large enough to link with a heavy one stand in the lists too. T
 over the sizes of all documents.
 
 Each list (of a subset or a shingle) is scanned in rounds. First every member meets one leader, namely the one it shares most lists with; lists whose members are in one component by
-then are done, and the others take new leaders, up to ``ROUNDS`` times or until no link is added. Then members that are still in different components meet in their lists. A pair that never meets is in one component already, so components are exact, and a list of thousands of near copies
+then are done, and the others take new leaders, up to ``ROUNDS`` times or until no link is added. Then members that are still in different components meet in the first list they share. A pair that never meets is in one component already, so components are exact, and a list of thousands of near copies
 costs thousands of tests, not millions. Pairs pass size, parity and histogram bounds on the symmetric difference before their whole sets are compared.
 
 Scale: sets are sketched in map passes and go to the shared folder; lists are grouped with partial aggregates; joins are equi-joins whose hot keys Spark's skew join
@@ -43,6 +43,8 @@ BUCKETS = 64
 FINE, FINE_FROM = 512, 1000
 #: Leader rounds at most; what they leave is joined pair by pair.
 ROUNDS = 4
+#: So many of a node's lists, the first ones, are looked through for an earlier meeting of a pair.
+FIRST_LISTS = 64
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -268,6 +270,24 @@ def _open(members: DataFrame, comps: DataFrame | None) -> DataFrame:
     return placed.join(still, "e", "left_semi")
 
 
+def meeting_once(mixed: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of ``mixed`` (k, root, in, n, coarse, p0 to p3) in different components that share a list and may link.
+
+    ``in`` holds a node's lists as (place, e), in order. Near copies share many lists; they meet in the first one only, as far as it is among the
+    ``FIRST_LISTS`` first ones of both.
+    """
+    rows = mixed.select("*", F.posexplode("in").alias("pos", "list"))
+    rows = rows.withColumn("before", F.slice(F.col("in.e"), F.lit(1), F.least("pos", F.lit(FIRST_LISTS))))
+    side = lambda x, y: rows.select(F.col("list.e").alias("e"), F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("coarse").alias(f"c{x}"), F.col("root").alias(y),
+                                    F.col("list.place").alias(f"at{x}"), F.col("before").alias(f"before{x}"), *[F.col(f"p{i}").alias(f"p{i}{x}") for i in range(4)])
+    left, right = side("a", "xa"), side("b", "xb")
+    # At the first shingle that two sets share, in the order of all lists, what follows must be enough for the overlap.
+    rest = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
+    return left.join(right, (left["e"] == right["e"]) & (F.col("xa") != F.col("xb")) & (F.col("a") < F.col("b"))
+                     & _fits("na", "nb", percent) & (rest * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
+                     & _parity(percent) & _coarse("ca", "cb", percent) & ~F.arrays_overlap("beforea", "beforeb")).select("a", "b")
+
+
 def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -> DataFrame:
     """doc_id, n_shingles, component_id of every row of ``docs``: the least doc_id reachable by links."""
     docs = docs.select("doc_id", "text")
@@ -315,16 +335,10 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
             break
 
     # Then members of one list that are still in different components, all of them.
-    mixed = written(_open(members, comps).withColumnRenamed("b", "k").join(nodes.select("k", "n", "coarse", "p0", "p1", "p2", "p3"), "k"), "open-lists")
-    side = lambda x, y: mixed.select("e", F.col("k").alias(x), F.col("n").alias(f"n{x}"), F.col("coarse").alias(f"c{x}"), F.col("root").alias(y),
-                                     F.col("place").alias(f"at{x}"), *[F.col(f"p{i}").alias(f"p{i}{x}") for i in range(4)])
-    left, right = side("a", "xa"), side("b", "xb")
-    # At the first shingle that two sets share, in the order of all lists, what follows must be enough for the overlap.
-    rest = F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb"))
-    met = left.join(right, (left["e"] == right["e"]) & (F.col("xa") != F.col("xb")) & (F.col("a") < F.col("b"))
-                    & _fits("na", "nb", percent) & (rest * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
-                    & _parity(percent) & _coarse("ca", "cb", percent))
-    more = verified(named, met.select("a", "b").distinct(), nodes, percent, gram)
+    mine = _open(members, comps).withColumnRenamed("b", "k").groupBy("k", "root").agg(F.sort_array(F.collect_list(F.struct("place", "e"))).alias("in"))
+    mixed = written(mine.join(nodes.select("k", "n", "coarse", "p0", "p1", "p2", "p3"), "k"), "open-lists")
+    met = meeting_once(mixed, percent)
+    more = verified(named, met.distinct(), nodes, percent, gram)
     if not more.isEmpty():
         comps = components(links.unionAll(more))
     comps = written(comps, "components")

@@ -94,3 +94,11 @@ def test_boundary_follows_cost():
     assert 0 <= J.boundary({}, 85) <= J.MOST_LIGHT
     assert J.boundary({3: 1000, 4: 1000}, 85) >= 4
     assert J.boundary({24: 1000}, 85) < 24
+
+
+def test_near_copies_beyond_the_threshold_meet_once(spark):
+    """Sets that share many shingles are compared once, also where a first list is not shared."""
+    rows = [(i, i, [(p, 1000 - p if p or i % 2 else 5000 + i) for p in range(8)], 200, 0, 0, 0, 0, 0) for i in range(1, 7)]
+    kind = "k long, root long, in array<struct<place:int,e:long>>, n int, coarse long, p0 long, p1 long, p2 long, p3 long"
+    met = [tuple(r) for r in J.meeting_once(spark.createDataFrame(rows, kind), 85).collect()]
+    assert sorted(met) == [(a, b) for a in range(1, 7) for b in range(a + 1, 7)]
