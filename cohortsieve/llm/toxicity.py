@@ -8,7 +8,8 @@ come from labelled documents: those of clean documents are negative; of each tox
 after each fit. A document scores by its most toxic sentence, turned into a probability by Platt's scaling.
 
 Scale: one map pass without a shuffle; a word's contribution is computed once per worker while it stays in a bounded memo. The word statistics that choose the landmarks count
-all labelled documents that are not held out; of them the driver gets the words with the highest ranks. The SVM and Platt's scaling use at
+all labelled documents that are not held out: up to ``SHIPPED`` labelled ids, counted first, are broadcast to the texts; beyond that, the texts that a bit map
+of labelled ids lets through are shuffled once. Of the words the driver gets the words with the highest ranks. The SVM and Platt's scaling use at
 most ``FIT_DOCS`` toxic and twice as many clean labelled documents, those with the smallest hash of doc_id; of texts only theirs reach the driver, so its memory hangs on their lengths.
 
 Defined cases: a NULL or empty text has no sentence, and the score of one without any word like a landmark. Texts are read whole; a word of more than
@@ -37,6 +38,8 @@ TOXIC_LANDMARKS, CLEAN_LANDMARKS, GROUPS = 96, 96, 16
 CLEAN_WORDS = 30_000
 ROUNDS, RIDGE, STRONG = 3, 1e-6, 3.0
 WORD, MEMO = 32, 600_000
+#: The most labelled ids that are broadcast.
+SHIPPED = 500_000
 _SENTENCE = re.compile(r"[.!?]+(?=\s|$)|\n+")
 _SPELT = re.compile(r"(?<!\S)(?:\w[^\w\s]?[ \t]){2,}\w(?!\S)")
 _SIGN = re.compile(r"[\W_]+")
@@ -241,7 +244,9 @@ def word_statistics(docs: DataFrame, known: DataFrame) -> WordStatistics | None:
         return pa.record_batch({"w": pa.array(list(held), pa.string()), "clean": pa.array([c for c, _ in held.values()], pa.int64()),
                                 "toxic": pa.array([t for _, t in held.values()], pa.int64())})
 
-    labelled = docs.select("doc_id", text_of().alias("text")).filter(maybe_of("doc_id", known)).join(known, "doc_id").select("text", "toxic")
+    rows = docs.select("doc_id", text_of().alias("text"))
+    few = size[0] + size[1] <= SHIPPED
+    labelled = (rows.join(F.broadcast(known), "doc_id") if few else rows.filter(maybe_of("doc_id", known)).join(known, "doc_id")).select("text", "toxic")
     counts = written(labelled.mapInArrow(per_task, "w string, clean long, toxic long").groupBy("w").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")), "word-counts")
     odds = log_odds(F.col("toxic"), F.col("clean"), F.lit(float(size[1])), F.lit(float(size[0])), F.log)

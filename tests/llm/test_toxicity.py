@@ -89,3 +89,15 @@ def test_nothing(spark, documents):
     assert T.fit(documents([(1, "a b")]), labels) is None
     assert [tuple(r) for r in T.score_toxicity(documents([(2, "a"), (2, "a")]), None).collect()] == [(2, False, 0.0, 0)] * 2
     assert T.score_toxicity(documents([]), None).count() == 0
+
+
+def test_word_statistics_do_not_shuffle_texts(spark, documents, monkeypatch):
+    """A counted number of labels is broadcast; beyond it the statistics are the same."""
+    docs = documents([(i, f"you vile{i % 3} thing" if i % 4 == 0 else f"a calm day number{i % 5}") for i in range(1, 60)])
+    known = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1, 50)], "doc_id long, toxic int")
+    plans, write = [], T.written
+    monkeypatch.setattr(T, "written", lambda df, purpose: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or write(df, purpose))
+    found = T.word_statistics(docs, known)
+    assert "strategy=broadcast" in plans[0]
+    monkeypatch.setattr(T, "SHIPPED", 3)
+    assert T.word_statistics(docs, known) == found and "strategy=broadcast" not in plans[1]
