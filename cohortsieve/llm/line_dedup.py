@@ -39,6 +39,8 @@ SEGMENT = 50
 FIRST_LISTS = 64
 #: An occurrence as one whole number: doc_id, line number (31 bits), hash of the text (30 bits).
 _LINE, _HASH = 1 << 31, 1 << 30
+#: Letter counts in a long.
+_LANES = 7
 #: Marks of a matching place and of what lies beyond a line's ends: code points that are no characters.
 _MARK, _EDGE = "\ufdd0", "\ufdd1"
 
@@ -55,7 +57,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     low = F.pmod("h", F.lit(_HASH)).cast("decimal(20,0)")
     rows = rows.select("h", (whole * F.lit(_LINE * _HASH).cast("decimal(20,0)") + low).cast("decimal(38,0)").alias("base"),
                        F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    at = (F.col("base") + F.col("line_no").cast("decimal(10,0)") * F.lit(_HASH).cast("decimal(10,0)")).cast("decimal(38,0)")
+    at = (F.col("base") + (F.col("line_no").cast("long") * F.lit(_HASH)).cast("decimal(20,0)")).cast("decimal(38,0)")
     return rows.select(at.alias("at"), "h", F.trim(F.col("line"), F.lit(SPACES)).alias("line")).filter("line <> ''")
 
 
@@ -92,15 +94,26 @@ def segment_keys(lines: DataFrame, probes: bool, *columns: str) -> DataFrame:
 
 
 def _letter_counts(line: Column) -> Column:
-    """Counts of the letters a to z, eight to a long, up to 127 each; an edit changes two of them at most."""
+    """Counts of the letters a to z, seven to a long, eight bits apart, up to 127 each; an edit raises one of them at most and lowers one."""
     count = lambda c: F.least(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(127)).cast("long")
     pack = lambda letters: reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(count(c), 8 * i) for i, c in enumerate(letters)])
-    return F.struct(*[pack(LOWER[i:i + 8]).alias(f"c{i // 8}") for i in range(0, len(LOWER), 8)])
+    return F.struct(*[pack(LOWER[i:i + _LANES]).alias(f"c{i // _LANES}") for i in range(0, len(LOWER), _LANES)])
 
 
-def _count_distance(a: str, b: str) -> Column:
-    part = lambda x, i: F.shiftright(F.col(f"{x}.c{i // 8}"), i % 8 * 8).bitwiseAND(F.lit(127))
-    return reduce(lambda x, y: x + y, [F.abs(part(a, i) - part(b, i)) for i in range(len(LOWER))])
+def _counts_above(a: Column, b: Column) -> Column:
+    """By how much the counts of ``a`` are above those of ``b``, in all, seven counts at a time."""
+    every = lambda v: F.lit(sum(v << 8 * i for i in range(_LANES)))
+    pairs = F.lit(0x00FF00FF00FF00FF)
+
+    def above(c: str) -> Column:
+        # The eighth bit of a count stays where it is at least the other's.
+        apart = a[c].bitwiseOR(every(128)) - b[c]
+        kept = apart.bitwiseAND(F.shiftright(apart, 7).bitwiseAND(every(1)) * 127)
+        return kept.bitwiseAND(pairs) + F.shiftright(kept, 8).bitwiseAND(pairs)
+
+    total = reduce(lambda x, y: x + y, [above(f"c{i}") for i in range(-(-len(LOWER) // _LANES))])
+    half = total + F.shiftright(total, 32)
+    return (half + F.shiftright(half, 16)).bitwiseAND(F.lit(0xFFFF))
 
 
 def _shared(a: Column, b: Column, part, most: Column) -> Column:
@@ -189,14 +202,17 @@ def _cells_left(a: Column, b: Column, k: Column) -> Column:
 def near(a: Column, b: Column) -> Column:
     """Whether two strings are within the budget of the shorter one."""
     k = budget(F.least(F.length(a), F.length(b)))
-    return (F.when(k == 0, a == b)
-            .when(~_cells_left(F.substring(a, F.lit(1), CHARS_PER_EDIT * (k + 1)), b, k), False).otherwise(within(a, b, k)))
+    # What the first characters of one became is among as many of the other, and k more.
+    begin = let(CHARS_PER_EDIT * (k + 1), lambda n: F.struct(F.substring(a, F.lit(1), n).alias("a"), F.substring(b, F.lit(1), n + k).alias("b"), k.alias("k")))
+    return F.when(k == 0, a == b).when(~let(begin, lambda p: _cells_left(p["a"], p["b"], p["k"])), False).otherwise(within(a, b, k))
 
 
 def meetings(lines: DataFrame) -> DataFrame:
     """(key, id, leader), a written table: lines that find a segment of another line, and that segment's earliest holder."""
     some = lines.filter(F.col("size") >= CHARS_PER_EDIT)
-    leaders = segment_keys(some, False, "id", "at").groupBy("key").agg(F.min_by("id", "at").alias("leader"))
+    # A double orders occurrences well enough to choose leaders by, and takes less room than the exact number.
+    early = some.withColumn("about", F.col("at").cast("double"))
+    leaders = segment_keys(early, False, "id", "about").groupBy("key").agg(F.min_by("id", "about").alias("leader"))
     # Under a new name and value the keys are dealt anew, so that Spark can split those that many lines probe.
     leaders = leaders.select(F.bitwise_not("key").alias("at_key"), "leader")
     probes = segment_keys(some, True, "id").select(F.bitwise_not("key").alias("key"), "id")
@@ -214,8 +230,10 @@ def _texts(lines: DataFrame, met: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _likely(short: str, long: str) -> Column:
     """Whether lengths and letter counts of two lines (size_x, letters_x) allow them to be near."""
     k = budget(F.least(f"size_{short}", f"size_{long}"))
-    return ((F.abs(F.col(f"size_{short}") - F.col(f"size_{long}")) <= k)
-            & (_count_distance(f"letters_{short}", f"letters_{long}") <= 2 * k))
+    both = F.struct(F.col(f"letters_{short}").alias("a"), F.col(f"letters_{long}").alias("b"), k.alias("k"))
+    # Inside a lambda, as the code of a join with all of this in one method is too long for Java to compile.
+    alike = let(both, lambda p: (_counts_above(p["a"], p["b"]) <= p["k"]) & (_counts_above(p["b"], p["a"]) <= p["k"]))
+    return (F.abs(F.col(f"size_{short}") - F.col(f"size_{long}")) <= k) & alike
 
 
 def _side(texts: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -236,12 +254,15 @@ def meeting_once(members: DataFrame) -> DataFrame:
 
     Near copies share many lists. They meet in the first one only, as far as it is among the ``FIRST_LISTS`` first ones of both.
     """
-    rows = members.select("id", "asks", "size", "at", "letters", "keys", F.posexplode("keys").alias("pos", "key"))
+    about = F.col("at").cast("double")
+    rows = members.select("id", "asks", "size", about.alias("about"), "letters", "keys", F.posexplode("keys").alias("pos", "key"))
     rows = rows.withColumn("before", F.slice("keys", F.lit(1), F.least("pos", F.lit(FIRST_LISTS))))
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "asks", "size", "at", "letters", "before")]
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "asks", "size", "about", "letters", "before")]
     short = rows.select("key", F.col("size").alias("length"), *side("a"))
     long = rows.select("key", F.explode(F.sequence(F.col("size") - budget(F.col("size")), "size")).alias("length"), *side("b"))
-    later = F.when(F.col("at_a") > F.col("at_b"), F.col("asks_a")).otherwise(F.col("asks_b"))
+    # Where doubles do not tell which line is later, either may be.
+    later = (F.when(F.col("about_a") > F.col("about_b"), F.col("asks_a")).when(F.col("about_a") < F.col("about_b"), F.col("asks_b"))
+             .otherwise(F.col("asks_a") | F.col("asks_b")))
     return short.join(long, (short["key"] == long["key"]) & (short["length"] == long["length"]) & (F.col("id_a") != F.col("id_b"))
                       & ((F.col("size_a") < F.col("size_b")) | (F.col("id_a") < F.col("id_b"))) & later & _likely("a", "b")
                       & ~F.arrays_overlap("before_a", "before_b")).select("id_a", "id_b")
@@ -273,12 +294,13 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     judged = lines.select("id", "at", "h").join(near.withColumn("near", F.lit(True)), "id", "left")
     step = F.lit(_LINE * _HASH).cast("decimal(20,0)")
     low = F.pmod(F.col("at"), step)
-    base = ((F.col("at") - low) / step).cast("decimal(20,0)")
-    whole = judged.select(F.when(base >= F.lit(-(1 << 63)).cast("decimal(20,0)"), base.cast("long")).alias("doc_id"), "h",
+    whole = judged.select((F.col("at") - low).cast("decimal(38,0)").alias("start"), "h",
                           F.shiftright(low.cast("long"), 30).cast("int").alias("line_no"), F.coalesce("near", F.lit(False)).alias("near"))
-    found = whole.groupBy("doc_id", "h").agg(
+    found = whole.groupBy("start", "h").agg(
         F.sort_array(F.collect_list(F.when(~F.col("near"), F.col("line_no")))).alias("kept_lines"),
         F.sum(F.col("near").cast("long")).alias("n_near"))
+    base = (F.col("start") / step).cast("decimal(20,0)")
+    found = found.select(F.when(base >= F.lit(-(1 << 63)).cast("decimal(20,0)"), base.cast("long")).alias("doc_id"), "h", "kept_lines", "n_near")
     found = written(found, "line-decisions")
     release(lines, near)
     return found

@@ -174,6 +174,22 @@ def test_rows_of(spark, monkeypatch):
             assert sorted(r["k"] for r in steps.rows_of(df, "k", ids).collect()) == wanted
 
 
+def test_bit_map_of_numbers_dealt_out_per_partition(spark):
+    """Ids that differ in their high bits only do not fill the map."""
+    df = spark.range(6400).selectExpr("(id % 64 << 33) + id div 64 as k")
+    ids = df.filter(F.pmod(F.xxhash64("k"), F.lit(10)) == 0)
+    assert ids.count() <= df.filter(steps.maybe_of("k", ids)).count() < 2000
+    assert df.selectExpr("if(k = 0, null, k) as k").filter(F.col("k").isNull() & steps.maybe_of("k", ids)).count() == 0
+
+
+def test_letter_counts_above(spark):
+    rng = random.Random(12)
+    pairs = [("a" * 300, "b" * 300), ("", "z" * 127), ("zzz", "")] + [(prose(rng, 90, "abghnouz"), prose(rng, 60, "abhotuvz")) for _ in range(50)]
+    df = spark.createDataFrame(pairs, "a string, b string").select("a", "b", L._counts_above(L._letter_counts(F.col("a")), L._letter_counts(F.col("b"))).alias("n"))
+    cut = lambda t: Counter({c: min(n, 127) for c, n in Counter(t).items()})
+    assert [r for r in df.collect() if r["n"] != (cut(r["a"]) - cut(r["b"])).total()] == []
+
+
 def test_no_document_reaches_a_shuffle_of_the_join(spark, documents):
     assert re.search("Exchange", L._lines(documents(corpus()))._jdf.queryExecution().toString()) is None
 
