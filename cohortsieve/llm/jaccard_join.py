@@ -28,17 +28,18 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
 from cohortsieve.llm.steps import maybe_of, release, written
-from cohortsieve.llm.texts import LOWER, UPPER, ascii_lower, table, text_of, words_of
+from cohortsieve.llm.texts import LOWER, SPACES, UPPER, table, text_of
 
 GRAM, PERCENT = 4, 85
 FREQUENT, LONG_LIST = 1 << 17, 40
 MOST_LIGHT = 24
 BUCKETS = 64
+#: What a map pass works on at a time.
+PART_ROWS, PART_BYTES = 500, 1 << 23
 #: Large sets (and those that may link with one) have a finer histogram as well.
 FINE, FINE_FROM = 512, 1000
 #: Leader rounds at most; what they leave is joined pair by pair.
@@ -48,6 +49,12 @@ FIRST_LISTS = 64
 _P = np.uint64(0x9E3779B97F4A7C15)
 
 
+#: Per byte: whether it separates words, and its lower case. Per number of bytes: the mask that keeps so many of eight.
+_SPACE = np.isin(np.arange(256), [ord(c) for c in SPACES])
+_LOWER = np.array([b + 32 if ord("A") <= b <= ord("Z") else b for b in range(256)], np.uint8)
+_KEPT = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
 def _mix(h: np.ndarray) -> np.ndarray:
     """Spreads 64 bits evenly (a public finaliser)."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -62,6 +69,35 @@ def _fold(parts: list[np.ndarray]) -> np.ndarray:
     return _mix(h)
 
 
+def word_hashes(text: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of many texts (UTF-8 bytes, end to end), A-Z lower-cased, and where each text's words begin among them.
+
+    A word is read in pieces of eight bytes; their mixed values and the word's length make its hash.
+    """
+    inside = np.zeros(len(text) + 2, bool)
+    inside[1:-1] = ~_SPACE[text]
+    # A word ends where its text does.
+    starts = inside[1:-1] & ~inside[:-2]
+    edges = offsets[:-1][np.diff(offsets) > 0]
+    starts[edges] = inside[1:-1][edges]
+    stops = inside[1:-1] & ~inside[2:]
+    lasts = offsets[1:][np.diff(offsets) > 0] - 1
+    stops[lasts] = inside[1:-1][lasts]
+    begin, end = np.flatnonzero(starts), np.flatnonzero(stops) + 1
+    size = end - begin
+    padded = np.concatenate((_LOWER[text], np.zeros(8, np.uint8)))
+    eights = np.ndarray(len(text) + 1, "<u8", padded, strides=(1,))
+    h = _mix(size.astype(np.uint64) * _P)
+    rest, at, turn = np.arange(len(begin)), begin, 0
+    while len(rest):
+        left = size[rest] - 8 * turn
+        piece = eights[at] & _KEPT[np.minimum(left, 8)]
+        h[rest] = _mix(h[rest] * _P + _mix(piece + np.uint64(turn)))
+        on = left > 8
+        rest, at, turn = rest[on], at[on] + 8, turn + 1
+    return h, np.searchsorted(begin, offsets)
+
+
 def shingle_sets(words: np.ndarray, offsets: np.ndarray, gram: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingles of each document, from hashes of its words."""
     words = words.view(np.uint64)
@@ -122,16 +158,29 @@ def boundary(sizes: dict[int, int], percent: int) -> int:
 NODE = "doc_id long, n int, k long, coarse long, hist array<smallint>, fine array<smallint>, p0 long, p1 long, p2 long, p3 long, keys array<bigint>"
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    words = words_of(ascii_lower(text_of()))
-    return docs.select("doc_id", F.transform(words, lambda w: F.xxhash64(w)).alias("w"))
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", text_of().alias("text"))
+
+
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of some rows and, where there are two or more, of some bytes of text."""
+    ends = np.cumsum([0] + [len(t.as_buffer()) for t in batch.column("text")])
+    at = 0
+    while at < batch.num_rows:
+        most = int(np.searchsorted(ends, ends[at] + PART_BYTES, "right")) - 1
+        rows = max(min(most - at, PART_ROWS), 1)
+        yield batch.slice(at, rows)
+        at += rows
 
 
 def _sets(batch: pa.RecordBatch, gram: int) -> list[np.ndarray]:
-    w = batch.column("w")
-    flat = w.flatten().to_numpy(zero_copy_only=False)
-    sizes = pa.compute.list_value_length(w).to_numpy(zero_copy_only=False)
-    return list(shingle_sets(flat, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64), gram))
+    if not batch.num_rows:
+        return []
+    texts = batch.column("text").cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    text = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+    return list(shingle_sets(*word_hashes(text, offsets - offsets[0]), gram))
 
 
 def _list(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -147,29 +196,41 @@ def node_key(s: np.ndarray) -> int:
     return int(_mix(total + np.array([len(s)], np.uint64)).view(np.int64)[0])
 
 
+def _keys(s: np.ndarray, often: np.ndarray, light: int, percent: int) -> np.ndarray:
+    """The lists that a set stands in; ``often`` are the frequent shingles, sorted."""
+    n, out = len(s), []
+    if not n:
+        return s
+    if n <= light:
+        out.append(subsets(s, light, percent))
+    if n > light or n >= min(partners(light + 1, percent)):
+        if len(often):
+            late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
+            s = np.concatenate((s[~late], s[late]))
+        out.append(s[:n - (-(-percent * n // 100)) + 1])
+    return np.concatenate(out) if out else s[:0]
+
+
+def plain_lists(docs: DataFrame, percent: int, gram: int) -> DataFrame:
+    """(n, keys) per row: size of its set, and the lists it stands in if all sets are heavy and no shingle is frequent."""
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in _parts(whole):
+                sets = _sets(b, gram)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([len(s) for s in sets], pa.int32()), _list([_keys(s, s[:0], 0, percent).view(np.int64) for s in sets], pa.int64())], ["n", "keys"])
+
+    return _texts(docs).mapInArrow(per_batch, "n int, keys array<bigint>")
+
+
 def sketches(docs: DataFrame, light: int, frequent: np.ndarray, percent: int, gram: int) -> DataFrame:
     """(doc_id, n, k, coarse, hist, keys) per row: size and node of its set, histograms, and the lists it stands in."""
     shipped = docs.sparkSession.sparkContext.broadcast(frequent)
-    bridging = min(partners(light + 1, percent))
-
-    def keys(s: np.ndarray, often: np.ndarray) -> np.ndarray:
-        n, out = len(s), []
-        if not n:
-            return s
-        if n <= light:
-            out.append(subsets(s, light, percent))
-        if n > light or n >= bridging:
-            if len(often):
-                late = often[np.minimum(np.searchsorted(often, s), len(often) - 1)] == s
-                s = np.concatenate((s[~late], s[late]))
-            out.append(s[:n - (-(-percent * n // 100)) + 1])
-        return np.concatenate(out) if out else s[:0]
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shipped.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
+            for b in _parts(whole):
                 sets = _sets(b, gram)
                 hist = [np.minimum(np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=BUCKETS), 32767).astype(np.int16) for s in sets]
                 fine = [np.minimum(np.bincount((s >> np.uint64(55)).astype(np.int64), minlength=FINE), 32767).astype(np.int16)
@@ -181,23 +242,22 @@ def sketches(docs: DataFrame, light: int, frequent: np.ndarray, percent: int, gr
                     b.column("doc_id"), pa.array([len(s) for s in sets], pa.int32()), pa.array([node_key(s) for s in sets], pa.int64()),
                     pa.array(coarse, pa.int64()), _list(list(hist), pa.int16()), _list(fine, pa.int16()),
                     *(pa.array(parity[:, i], pa.int64()) for i in range(4)),
-                    _list([keys(s, often).view(np.int64) for s in sets], pa.int64())],
+                    _list([_keys(s, often, light, percent).view(np.int64) for s in sets], pa.int64())],
                     ["doc_id", "n", "k", "coarse", "hist", "fine", "p0", "p1", "p2", "p3", "keys"])
 
-    return _hashed(docs).mapInArrow(per_batch, NODE)
+    return _texts(docs).mapInArrow(per_batch, NODE)
 
 
 def whole_sets(docs: DataFrame, gram: int) -> DataFrame:
     """(doc_id, k, s): the whole set of each row."""
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                b = whole.slice(at, 500)
+            for b in _parts(whole):
                 sets = _sets(b, gram)
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([node_key(s) for s in sets], pa.int64()),
                                                   _list([s.view(np.int64) for s in sets], pa.int64())], ["doc_id", "k", "s"])
 
-    return _hashed(docs).mapInArrow(per_batch, "doc_id long, k long, s array<bigint>")
+    return _texts(docs).mapInArrow(per_batch, "doc_id long, k long, s array<bigint>")
 
 
 def _fits(na: str, nb: str, percent: int):
@@ -293,7 +353,7 @@ def with_components(docs: DataFrame, percent: int = PERCENT, gram: int = GRAM) -
     docs = docs.select("doc_id", "text")
     named = docs.filter("doc_id is not null")
     # First pass: sizes for the boundary, and shingles whose lists are long in plain hash order.
-    plain = written(sketches(named, 0, np.zeros(0, np.uint64), percent, gram).select("n", "keys"), "plain-lists")
+    plain = written(plain_lists(named, percent, gram), "plain-lists")
     sizes = {r["n"]: r["c"] for r in plain.filter(F.col("n") <= 2 * MOST_LIGHT).groupBy("n").agg(F.count("*").alias("c")).collect()}
     light = boundary(sizes, percent)
     often = (plain.select(F.explode("keys").alias("e")).groupBy("e").agg(F.count("*").alias("c"))

@@ -102,3 +102,25 @@ def test_near_copies_beyond_the_threshold_meet_once(spark):
     kind = "k long, root long, in array<struct<place:int,e:long>>, n int, coarse long, p0 long, p1 long, p2 long, p3 long"
     met = [tuple(r) for r in J.meeting_once(spark.createDataFrame(rows, kind), 85).collect()]
     assert sorted(met) == [(a, b) for a in range(1, 7) for b in range(a + 1, 7)]
+
+
+def test_words_of_a_batch():
+    """Words are read from a batch's bytes; equal words have equal hashes, others do not, and no word goes beyond its text."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abAB zé中\t\n\x0b\x0c\r\x1c\0") for _ in range(rng.choice([0, 1, 2, 5, 40, 200]))) for _ in range(500)]
+    texts += ["", "x" * 8, "x" * 9, "X" * 16, "x" * 17, "a\0", "a", "\0", "\0\0", "ab", "ab"]
+    raw = [t.encode() for t in texts]
+    h, at = J.word_hashes(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0] + [len(b) for b in raw]))
+    hashes, words = {}, {}
+    for i, t in enumerate(texts):
+        want = [x for x in re.split(r"[\x20\x09-\x0D]+", t.translate(LOWER)) if x]
+        assert len(want) == at[i + 1] - at[i]
+        for word, x in zip(want, h[at[i]:at[i + 1]].tolist()):
+            assert hashes.setdefault(word, x) == x and words.setdefault(x, word) == word
+
+
+def test_parts_of_a_batch(monkeypatch):
+    monkeypatch.setattr(J, "PART_BYTES", 10)
+    batch = J.pa.RecordBatch.from_pydict({"text": ["a" * 4, "b" * 6, "", "c" * 25, "d", "é" * 5, "e"]})
+    parts = [p.column("text").to_pylist() for p in J._parts(batch)]
+    assert parts == [["a" * 4, "b" * 6, ""], ["c" * 25], ["d"], ["é" * 5], ["e"]]
