@@ -12,7 +12,7 @@ a shorter partner may be in. Lines of thousands of characters cost (k + 1)^2 / 2
 
 The result needs to know only whether an earlier near line exists, so all pairs of a list are not made. First every line meets the earliest holder of each
 of its segments. Lines that are answered stop asking. Then, in lists with someone still asking, lines meet by list and exact length, and pairs whose letter counts differ by more than
-the budget can explain, or that share an earlier list, never leave the join. What meets is verified with Hyyro's banded bit-parallel distance, after equal beginnings and ends are cut off.
+the budget can explain (in Gray code, one bit for each step of a count), or that share an earlier list, never leave the join. What meets is verified with Hyyro's banded bit-parallel distance, after equal beginnings and ends are cut off.
 
 Scale: documents are read once for the join. Equal lines are combined on the map side, so a line that a third of all documents hold is one row; each distinct line is
 shuffled once and written, and all later steps read that table. Segment keys meet their list's leader in a join whose hot keys Spark can split. Texts are fetched
@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortsieve.llm.registry import query
-from cohortsieve.llm.steps import release, rows_of, written
+from cohortsieve.llm.steps import HASHED_PARTITION, release, rows_of, written
 from cohortsieve.llm.texts import LOWER, SPACES, let, table, text_of
 
 CHARS_PER_EDIT, MOST_EDITS = 100, 30
@@ -41,13 +41,20 @@ FIRST_LISTS = 64
 _LINE, _HASH = 1 << 31, 1 << 30
 #: Letter counts in a long.
 _LANES = 7
+_COUNTS = [f"c{i}" for i in range(-(-len(LOWER) // _LANES))]
 #: Marks of a matching place and of what lies beyond a line's ends: code points that are no characters.
 _MARK, _EDGE = "\ufdd0", "\ufdd1"
 
 
 def _counts(line: Column) -> Column:
     """Whether a line is judged: it is not blank."""
-    return F.trim(line, F.lit(SPACES)) != ""
+    return F.ltrim(line, F.lit(SPACES)) != ""
+
+
+def _trimmed(line: Column) -> Column:
+    """The line without SPACES at its ends. ``trim`` with a set of characters takes apart the whole line, so it is asked only where one is at the end."""
+    at_end = reduce(lambda a, b: a | b, [F.endswith(line, F.lit(c)) for c in SPACES])
+    return F.when(at_end, F.trim(line, F.lit(SPACES))).otherwise(F.ltrim(line, F.lit(SPACES)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -58,7 +65,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     rows = rows.select("h", (whole * F.lit(_LINE * _HASH).cast("decimal(20,0)") + low).cast("decimal(38,0)").alias("base"),
                        F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     at = (F.col("base") + (F.col("line_no").cast("long") * F.lit(_HASH)).cast("decimal(20,0)")).cast("decimal(38,0)")
-    return rows.select(at.alias("at"), "h", F.trim(F.col("line"), F.lit(SPACES)).alias("line")).filter("line <> ''")
+    return rows.filter(_counts(F.col("line"))).select(at.alias("at"), "h", _trimmed(F.col("line")).alias("line"))
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
@@ -74,28 +81,37 @@ def budget(size: Column) -> Column:
     return F.least(F.floor(size / CHARS_PER_EDIT).cast("int"), F.lit(MOST_EDITS))
 
 
+def _cut(text: Column, start: Column, n: Column, narrow: Column) -> Column:
+    """``n`` characters from ``start`` on. Where every character is one byte (``narrow``), bytes are cut, which walks over no characters."""
+    return F.when(narrow, F.substring(text.cast("binary"), start, n).cast("string")).otherwise(F.substring(text, start, n))
+
+
 def segment_keys(lines: DataFrame, probes: bool, *columns: str) -> DataFrame:
     """(key, *columns): a row for each of a line's own segments; with ``probes`` for each substring that a shorter line, or one as long, may have as a segment."""
-    k, reach = budget(F.col("size")), SEGMENT + 1
+    size, k, reach = F.col("size"), budget(F.col("size")), SEGMENT + 1
     left, right = F.floor(k / 2).cast("int") + 1, F.floor((k + 1) / 2).cast("int")
-    # Segments from the start are numbered from 0, those from the end from -1 down.
-    rows = lines.select(*columns, F.substring("line", F.lit(1), left * reach).alias("head"), F.right("line", right * reach).alias("tail"),
-                        F.least(right * reach, F.col("size")).alias("end"), k.alias("class"),
-                        F.greatest(budget(F.col("size") - k), F.lit(1)).alias("low"), F.explode(F.sequence(-right, left - 1)).alias("j"))
-    start = F.when(F.col("j") >= 0, F.col("j") * SEGMENT).otherwise(F.col("end") + F.col("j") * SEGMENT)
-    rows = rows.withColumns({"start": start + 1, "text": F.when(F.col("j") >= 0, F.col("head")).otherwise(F.col("tail"))})
+    # Segments from the start are numbered from 0, those from the end from -1 down; both ends are within a line of 100 characters for each edit.
+    rows = lines.select(*columns, "line", "size", (F.octet_length("line") == size).alias("narrow"), (left * reach).alias("of_head"), (right * reach).alias("of_tail"),
+                        k.alias("class"), F.greatest(budget(size - k), F.lit(1)).alias("low"), F.sequence(-right, left - 1).alias("segments"))
+    rows = rows.select(*columns, "narrow", "class", "low", "of_tail", _cut(F.col("line"), F.lit(1), F.col("of_head"), F.col("narrow")).alias("head"),
+                       _cut(F.col("line"), size - F.col("of_tail") + 1, F.col("of_tail"), F.col("narrow")).alias("tail"), F.explode("segments").alias("j"))
+    first = F.when(F.col("j") >= 0, F.col("j") * SEGMENT).otherwise(F.col("of_tail") + F.col("j") * SEGMENT) + 1
+    most = F.when(F.col("j") >= 0, F.col("j")).otherwise(-1 - F.col("j")) if probes else F.lit(0)
+    # What all moves of a segment reach is cut out first, so that a probe walks over few characters.
+    rows = rows.select(*columns, "narrow", "class", "low", "j", most.alias("most"), F.when(F.col("j") >= 0, F.col("head")).otherwise(F.col("tail")).alias("end"), first.alias("first"))
+    rows = rows.withColumn("text", _cut(F.col("end"), F.col("first") - F.col("most"), SEGMENT + 2 * F.col("most"), F.col("narrow")))
     if probes:
-        most = F.when(F.col("j") >= 0, F.col("j")).otherwise(-1 - F.col("j"))
-        rows = rows.withColumn("moved", F.explode(F.sequence(-most, most))).withColumn("start", F.col("start") + F.col("moved"))
-        rows = rows.withColumn("hash", F.xxhash64(F.substring("text", F.col("start"), F.lit(SEGMENT)), "j"))
+        rows = rows.withColumn("from", F.explode(F.sequence(F.lit(1), 2 * F.col("most") + 1)))
+        rows = rows.withColumn("text", _cut(F.col("text"), F.col("from"), F.lit(SEGMENT), F.col("narrow")))
+        rows = rows.withColumn("hash", F.xxhash64("text", "j"))
         rows = rows.withColumn("class", F.explode(F.sequence("low", "class")))
         return rows.select(F.xxhash64("hash", "class").alias("key"), *columns)
-    return rows.select(F.xxhash64(F.xxhash64(F.substring("text", F.col("start"), F.lit(SEGMENT)), "j"), "class").alias("key"), *columns)
+    return rows.select(F.xxhash64(F.xxhash64("text", "j"), "class").alias("key"), *columns)
 
 
 def _letter_counts(line: Column) -> Column:
     """Counts of the letters a to z, seven to a long, eight bits apart, up to 127 each; an edit raises one of them at most and lowers one."""
-    count = lambda c: F.least(F.length(line) - F.length(F.replace(line, F.lit(c), F.lit(""))), F.lit(127)).cast("long")
+    count = lambda c: F.least(F.octet_length(line) - F.octet_length(F.replace(line, F.lit(c), F.lit(""))), F.lit(127)).cast("long")
     pack = lambda letters: reduce(lambda a, b: a.bitwiseOR(b), [F.shiftleft(count(c), 8 * i) for i, c in enumerate(letters)])
     return F.struct(*[pack(LOWER[i:i + _LANES]).alias(f"c{i // _LANES}") for i in range(0, len(LOWER), _LANES)])
 
@@ -116,6 +132,17 @@ def _counts_above(a: Column, b: Column) -> Column:
     return (half + F.shiftright(half, 16)).bitwiseAND(F.lit(0xFFFF))
 
 
+def _marks(letters: Column) -> Column:
+    """Letter counts in Gray code: a count that goes up or down by one changes one bit."""
+    low = F.lit(sum(63 << 8 * i for i in range(_LANES)))
+    return F.struct(*[letters[c].bitwiseXOR(F.shiftright(letters[c], 1).bitwiseAND(low)).alias(c) for c in _COUNTS])
+
+
+def _marks_allow(a: Column, b: Column, k: Column, moved: Column) -> Column:
+    """Whether ``k`` edits, ``moved`` of which at least add or drop a character, can explain the marks: a replaced character changes two counts, another edit one."""
+    return reduce(lambda x, y: x + y, [F.bit_count(a[c].bitwiseXOR(b[c])) for c in _COUNTS]) <= 2 * k - moved
+
+
 def _shared(a: Column, b: Column, part, most: Column) -> Column:
     """How many characters two strings have in common at one end (``part`` takes that many), up to ``most``, by halving."""
     def longer(p: Column, i: Column) -> Column:
@@ -180,7 +207,7 @@ def within(a: Column, b: Column, k: Column) -> Column:
         # The longer rest backwards, in overlapping blocks: what a step sees of it reads as a binary number once the step's character is marked.
         edge, chars = F.repeat(F.lit(_EDGE), p["k"] + 1), F.array_join(F.array_distinct(F.split(x, "")), "")
         blocks = let(F.concat(edge, F.reverse(x), edge), lambda t: F.transform(
-            F.sequence(F.lit(0), F.shiftright(F.length(x), 6)), lambda b: F.substring(t, b * 64 + 1, F.lit(2 * 64))))
+            F.sequence(F.lit(0), F.shiftright(F.length(x), 6)), lambda b: F.substring(t, b * 64 + 1, 64 + width)))
         band = F.struct(blocks.alias("x"), F.split(y, "").alias("y"), F.length(x).alias("m"), p["k"].alias("k"),
                         width.alias("width"), (up(num(1), width) - 1).alias("full"), F.concat(F.lit(_MARK + _EDGE), chars).alias("chars"),
                         F.concat(F.lit("10"), F.repeat(F.lit("0"), F.length(chars))).alias("bits"))
@@ -217,7 +244,8 @@ def meetings(lines: DataFrame) -> DataFrame:
     leaders = leaders.select(F.bitwise_not("key").alias("at_key"), "leader")
     probes = segment_keys(some, True, "id").select(F.bitwise_not("key").alias("key"), "id")
     met = probes.join(leaders, F.col("key") == F.col("at_key")).filter("id <> leader").select("key", "id", "leader")
-    return written(met, "line-meetings")
+    # Leaders are one row per key and small: while all their partitions are, they are hashed and the many probes need no sort.
+    return written(met, "line-meetings", {HASHED_PARTITION: "64m"})
 
 
 def _texts(lines: DataFrame, met: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -230,10 +258,13 @@ def _texts(lines: DataFrame, met: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _likely(short: str, long: str) -> Column:
     """Whether lengths and letter counts of two lines (size_x, letters_x) allow them to be near."""
     k = budget(F.least(f"size_{short}", f"size_{long}"))
-    both = F.struct(F.col(f"letters_{short}").alias("a"), F.col(f"letters_{long}").alias("b"), k.alias("k"))
+    longer = F.col(f"size_{long}") - F.col(f"size_{short}")
+    # Edits that add (or drop) characters until the lengths agree raise counts of one line only.
+    both = F.struct(F.col(f"letters_{short}").alias("a"), F.col(f"letters_{long}").alias("b"),
+                    (k - F.greatest(longer, F.lit(0))).alias("most_a"), (k + F.least(longer, F.lit(0))).alias("most_b"))
     # Inside a lambda, as the code of a join with all of this in one method is too long for Java to compile.
-    alike = let(both, lambda p: (_counts_above(p["a"], p["b"]) <= p["k"]) & (_counts_above(p["b"], p["a"]) <= p["k"]))
-    return (F.abs(F.col(f"size_{short}") - F.col(f"size_{long}")) <= k) & alike
+    alike = let(both, lambda p: (_counts_above(p["a"], p["b"]) <= p["most_a"]) & (_counts_above(p["b"], p["a"]) <= p["most_b"]))
+    return (F.abs(longer) <= k) & alike
 
 
 def _side(texts: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -255,16 +286,19 @@ def meeting_once(members: DataFrame) -> DataFrame:
     Near copies share many lists. They meet in the first one only, as far as it is among the ``FIRST_LISTS`` first ones of both.
     """
     about = F.col("at").cast("double")
-    rows = members.select("id", "asks", "size", about.alias("about"), "letters", "keys", F.posexplode("keys").alias("pos", "key"))
+    rows = members.select("id", "asks", "size", about.alias("about"), _marks(F.col("letters")).alias("marks"), "keys")
+    rows = rows.select("*", F.posexplode("keys").alias("pos", "key"))
     rows = rows.withColumn("before", F.slice("keys", F.lit(1), F.least("pos", F.lit(FIRST_LISTS))))
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "asks", "size", "about", "letters", "before")]
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "asks", "size", "about", "marks", "before")]
     short = rows.select("key", F.col("size").alias("length"), *side("a"))
     long = rows.select("key", F.explode(F.sequence(F.col("size") - budget(F.col("size")), "size")).alias("length"), *side("b"))
     # Where doubles do not tell which line is later, either may be.
     later = (F.when(F.col("about_a") > F.col("about_b"), F.col("asks_a")).when(F.col("about_a") < F.col("about_b"), F.col("asks_b"))
              .otherwise(F.col("asks_a") | F.col("asks_b")))
+    k, longer = budget(F.col("size_a")), F.col("size_b") - F.col("size_a")
     return short.join(long, (short["key"] == long["key"]) & (short["length"] == long["length"]) & (F.col("id_a") != F.col("id_b"))
-                      & ((F.col("size_a") < F.col("size_b")) | (F.col("id_a") < F.col("id_b"))) & later & _likely("a", "b")
+                      & ((longer > 0) | (F.col("id_a") < F.col("id_b"))) & (longer <= k) & later
+                      & _marks_allow(F.col("marks_a"), F.col("marks_b"), k, longer)
                       & ~F.arrays_overlap("before_a", "before_b")).select("id_a", "id_b")
 
 

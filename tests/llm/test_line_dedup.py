@@ -200,3 +200,53 @@ def test_near_copies_beyond_the_budget_meet_once(spark):
     kind = "id long, asks boolean, size int, at long, letters struct<c0:long,c1:long,c2:long,c3:long>, keys array<bigint>"
     met = [tuple(r) for r in L.meeting_once(spark.createDataFrame(rows, kind)).collect()]
     assert sorted(met) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
+
+
+def test_trimmed(spark):
+    rng = random.Random(13)
+    rows = ["", " ", "\t\r", "a", " a", "a ", " a ", "é\r", "中 \x0b", "\x0c \U0001f600"]
+    rows += ["".join(rng.choice("ab é　" + SPACES) for _ in range(rng.randrange(9))) for _ in range(300)]
+    got = spark.createDataFrame([(r,) for r in rows], "t string").select("t", L._trimmed(F.col("t")).alias("x"), L._counts(F.col("t")).alias("n")).collect()
+    assert [r for r in got if r["x"] != r["t"].strip(SPACES) or r["n"] != bool(r["x"])] == []
+
+
+def test_cut(spark):
+    rows = [(t, start, n) for t in ("abcdefghij", "aébc中d\U0001f600efg", "") for start in range(1, 11) for n in range(1, 12)]
+    df = spark.createDataFrame(rows, "t string, start int, n int")
+    cut = L._cut(F.col("t"), F.col("start"), F.col("n"), F.octet_length("t") == F.length("t"))
+    assert [r for r in df.select("*", cut.alias("x")).collect() if r["x"] != r["t"][r["start"] - 1:][:r["n"]]] == []
+
+
+def test_filters_keep_near_pairs_either_way_round(spark):
+    rng = random.Random(14)
+    budget = lambda a: min(len(a) // 100, 30)
+    pairs = []
+    for a in [prose(rng, n, "abcxyzé ") for n in (100, 199, 250, 333, 1050, 3050) for _ in range(15)]:
+        k = rng.randrange(budget(a) + 1)
+        # Edits of all kinds, and those of one kind only.
+        pairs += [(a, b, k) for b in (edited(rng, a, k), "z" * k + a, "é" * k + a, a[k:], "x" * k + a[k:])]
+    pairs = [p for a, b, k in pairs if k <= budget(b) for p in ((a, b), (b, a))]
+    columns = [x for c, n in (("s", "a"), ("l", "b")) for x in (F.length(c).alias(f"size_{n}"), L._letter_counts(F.col(c)).alias(f"letters_{n}"))]
+    df = spark.createDataFrame(pairs, "s string, l string").select(*columns)
+    allowed = L._marks_allow(L._marks(F.col("letters_a")), L._marks(F.col("letters_b")), L.budget(F.least("size_a", "size_b")), F.abs(F.col("size_a") - F.col("size_b")))
+    assert len(pairs) > 500 and df.filter(~L._likely("a", "b") | ~allowed).count() == 0
+
+
+def test_pairs_are_ruled_out_by_compiled_code(spark):
+    """What every pair of a list is asked has no lambda, which Spark interprets for each pair."""
+    kind = "id long, asks boolean, size int, at long, letters struct<c0:long,c1:long,c2:long,c3:long>, keys array<bigint>"
+    far = 0x2A2A2A2A2A2A2A
+    rows = [(1, True, 400, 1, (0, 0, 0, 0), [1]), (2, True, 400, 2, (3, 1, 0, 0), [1]), (3, True, 401, 3, (far, 0, 0, 0), [1]), (4, True, 405, 4, (0, 0, 0, 0), [1])]
+    met = L.meeting_once(spark.createDataFrame(rows, kind))
+    assert "lambda" not in met._jdf.queryExecution().optimizedPlan().toString()
+    # Counts are too far apart for four edits, or lengths.
+    assert sorted(tuple(r) for r in met.collect()) == [(1, 2)]
+
+
+def test_settings_of_a_written_step(spark, monkeypatch):
+    before = [spark.conf.get(x) for x in (steps.HASHED_PARTITION, steps._CLEANUP)]
+    seen = []
+    monkeypatch.setattr(steps, "cut_lineage", lambda df, purpose: seen.append([spark.conf.get(x) for x in (steps.HASHED_PARTITION, steps._CLEANUP)]) or 1 // 0)
+    with pytest.raises(ZeroDivisionError):
+        steps.written(spark.range(1), "x", {steps.HASHED_PARTITION: "64m"})
+    assert seen == [["64m", "true"]] and before == [spark.conf.get(x) for x in (steps.HASHED_PARTITION, steps._CLEANUP)]
