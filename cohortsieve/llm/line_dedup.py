@@ -12,7 +12,7 @@ a shorter partner may be in. Lines of thousands of characters cost (k + 1)^2 / 2
 
 The result needs to know only whether an earlier near line exists, so all pairs of a list are not made. First every line meets the earliest holder of each
 of its segments. Lines that are answered stop asking. Then, in lists with someone still asking, lines meet by list and exact length, and pairs whose letter counts differ by more than
-the budget can explain (in Gray code, one bit for each step of a count), or that share an earlier list, never leave the join. What meets is verified with Hyyro's banded bit-parallel distance, after equal beginnings and ends are cut off.
+the budget can explain (first in Gray code, one bit for each step of a count), or that share an earlier list, never leave the join. What meets is verified with Hyyro's banded bit-parallel distance, after equal beginnings and ends are cut off.
 
 Scale: documents are read once for the join. Equal lines are combined on the map side, so a line that a third of all documents hold is one row; each distinct line is
 shuffled once and written, and all later steps read that table. Segment keys meet their list's leader in a join whose hot keys Spark can split. Texts are fetched
@@ -286,10 +286,9 @@ def meeting_once(members: DataFrame) -> DataFrame:
     Near copies share many lists. They meet in the first one only, as far as it is among the ``FIRST_LISTS`` first ones of both.
     """
     about = F.col("at").cast("double")
-    rows = members.select("id", "asks", "size", about.alias("about"), _marks(F.col("letters")).alias("marks"), "keys")
-    rows = rows.select("*", F.posexplode("keys").alias("pos", "key"))
+    rows = members.select("id", "asks", "size", about.alias("about"), "letters", "keys", F.posexplode("keys").alias("pos", "key"))
     rows = rows.withColumn("before", F.slice("keys", F.lit(1), F.least("pos", F.lit(FIRST_LISTS))))
-    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "asks", "size", "about", "marks", "before")]
+    side = lambda x: [F.col(c).alias(f"{c}_{x}") for c in ("id", "asks", "size", "about", "letters", "before")]
     short = rows.select("key", F.col("size").alias("length"), *side("a"))
     long = rows.select("key", F.explode(F.sequence(F.col("size") - budget(F.col("size")), "size")).alias("length"), *side("b"))
     # Where doubles do not tell which line is later, either may be.
@@ -298,8 +297,9 @@ def meeting_once(members: DataFrame) -> DataFrame:
     k, longer = budget(F.col("size_a")), F.col("size_b") - F.col("size_a")
     return short.join(long, (short["key"] == long["key"]) & (short["length"] == long["length"]) & (F.col("id_a") != F.col("id_b"))
                       & ((longer > 0) | (F.col("id_a") < F.col("id_b"))) & (longer <= k) & later
-                      & _marks_allow(F.col("marks_a"), F.col("marks_b"), k, longer)
-                      & ~F.arrays_overlap("before_a", "before_b")).select("id_a", "id_b")
+                      # The exact counts are asked last: Spark interprets their lambda.
+                      & _marks_allow(_marks(F.col("letters_a")), _marks(F.col("letters_b")), k, longer)
+                      & ~F.arrays_overlap("before_a", "before_b") & _likely("a", "b")).select("id_a", "id_b")
 
 
 def near_earlier(lines: DataFrame) -> DataFrame:
